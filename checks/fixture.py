@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from haulmetrics.functions.numeric import haversine_km, round_even
 from haulmetrics.schema import ORDER_COLUMNS
+from haulmetrics.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +29,7 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     side = lambda p: nation.select(F.col("n_nationkey").alias(f"{p}_nk"),
                                    F.col("n_name").alias(f"{p}_nation"),
                                    F.col("r_name").alias(f"{p}_region"))
-    return (t("lineitem")
+    return (spread(t("lineitem"))
             .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -115,7 +116,7 @@ def shipments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tracking_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracking events with padded types, malformed times and duplicates."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     kind = F.when(F.col("event_type") == "error", "delayed").otherwise(F.col("event_type"))
     copies = F.when(F.col("event_id") % 50 == 0, F.array(F.lit(0), F.lit(1))) \
         .otherwise(F.array(F.lit(0)))
@@ -179,7 +180,7 @@ def market_text(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     text = lambda c: F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
     taken = F.when(k % 77 == 0, F.lit(-18_000)).otherwise(
         (k % 20) * 86_400 + (k % 24) * 3_600)
-    orders = t("orders").select(
+    orders = spread(t("orders")).select(
         hexid("o-", "o_orderkey").alias("order_id"),
         hexid("c-", "o_orderkey").alias("customer_id"),
         word("o_orderstatus").alias("order_status"),
@@ -188,7 +189,7 @@ def market_text(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(k % 30 != 0, at((1 + k % 3) * 86_400)).alias("order_delivered_carrier_date"),
         F.when(k % 25 != 0, at(taken)).alias("order_delivered_customer_date"),
         at((2 + k % 15) * 86_400 + 7_200).alias("order_estimated_delivery_date"))
-    items = t("lineitem").select(
+    items = spread(t("lineitem")).select(
         hexid("o-", "l_orderkey").alias("order_id"),
         text("l_linenumber").alias("order_item_id"),
         hexid("p-", "l_partkey").alias("product_id"),

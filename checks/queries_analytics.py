@@ -22,17 +22,17 @@ def _rounded(df, columns, digits=6):
 
 _CARRIER_MONTH = f"""
 SELECT carrier, strftime(order_date, '%Y-%m') AS order_month, count(order_id) AS order_count,
-  {S.r('avg(is_delayed)', 6)} AS on_time_violation_rate,
-  {S.r('avg(delivery_delay)', 6)} AS avg_delivery_delay_days,
-  {S.r('avg(shipping_cost_per_unit)', 6)} AS avg_shipping_cost_per_unit,
-  {S.r('avg(carrier_performance_score)', 6)} AS avg_carrier_performance_score
+  {S.r('avg(is_delayed)', 8)} AS on_time_violation_rate,
+  {S.r('avg(delivery_delay)', 8)} AS avg_delivery_delay_days,
+  {S.r('avg(shipping_cost_per_unit)', 8)} AS avg_shipping_cost_per_unit,
+  {S.r('avg(carrier_performance_score)', 8)} AS avg_carrier_performance_score
 FROM featured GROUP BY 1, 2"""
 
 
 def carrier_month_rounded(featured):
     return _rounded(analytics.carrier_month(featured), [
         "on_time_violation_rate", "avg_delivery_delay_days", "avg_shipping_cost_per_unit",
-        "avg_carrier_performance_score"])
+        "avg_carrier_performance_score"], digits=8)
 
 
 @query("a02_carrier_month", _featured(_CARRIER_MONTH))

@@ -77,7 +77,7 @@ SELECT origin_warehouse_id, strftime(order_day, '%Y-%m-%d') AS order_day,
   max(wh_units)::BIGINT AS units, max(warehouse_utilization) AS utilization
 FROM featured GROUP BY 1, 2"""))
 def warehouse_utilization(spark, sf):
-    daily = plan.stage(plan.daily_warehouse_units(stages.clean(spark, sf)), "warehouse_days")
+    daily = plan.daily_warehouse_units(stages.clean(spark, sf))
     return plan.warehouse_load(daily, plan.capacity_table(spark)).select(
         "origin_warehouse_id", "order_day", "units",
         F.col("warehouse_utilization").alias("utilization"))
@@ -88,7 +88,7 @@ SELECT product_category, strftime(order_day, '%Y-%m-%d') AS order_day,
   min(inventory_turnover) AS turnover FROM featured GROUP BY 1, 2"""))
 def inventory_turnover(spark, sf):
     daily = plan.stage(plan.daily_category_units(stages.clean(spark, sf)), "category_days")
-    return plan.category_turnover(daily).select(
+    return plan.category_days(daily, plan.month_index(daily)).select(
         "product_category", "order_day", F.col("inventory_turnover").alias("turnover"))
 
 
@@ -96,7 +96,7 @@ def _risk(spark, sf):
     rows = _base(spark, sf)
     lateness = plan.stage(plan.lateness_by_carrier_category(rows), "lateness")
     daily = plan.stage(plan.daily_category_units(rows), "category_days")
-    volatility = plan.category_volatility(daily, plan.stage(plan.month_index(daily), "months"))
+    volatility = plan.category_volatility(daily, plan.month_index(daily))
     return lateness, volatility
 
 
@@ -104,7 +104,7 @@ def _risk(spark, sf):
 SELECT carrier, product_category, {S.r('min(pair_late)', 6)} AS late_share FROM featured
 GROUP BY 1, 2"""))
 def pair_late_share(spark, sf):
-    return plan.reorder_risk(*_risk(spark, sf)).select(
+    return plan.pair_scores(*_risk(spark, sf)).select(
         "carrier", "product_category", round_even("pair_late_share", 6).alias("late_share"))
 
 
@@ -118,10 +118,11 @@ def demand_volatility(spark, sf):
 
 
 @query("w09_reorder_risk", S.with_(S.FEATURED, """
-SELECT DISTINCT carrier, product_category, reorder_risk_score FROM featured"""))
+SELECT DISTINCT carrier, product_category, carrier_performance_score, reorder_risk_score
+FROM featured"""))
 def reorder_risk(spark, sf):
-    return plan.reorder_risk(*_risk(spark, sf)).select("carrier", "product_category",
-                                                       "reorder_risk_score")
+    return plan.pair_scores(*_risk(spark, sf)).select(
+        "carrier", "product_category", "carrier_performance_score", "reorder_risk_score")
 
 
 _FEATURES = ", ".join(FEATURE_COLUMNS)
@@ -137,7 +138,7 @@ SELECT f.origin_warehouse_id, coalesce(c.capacity_units_per_day, max(wh_units)):
 FROM featured f LEFT JOIN capacity c ON f.origin_warehouse_id = c.warehouse_id
 GROUP BY f.origin_warehouse_id, c.capacity_units_per_day"""))
 def capacity_lookup(spark, sf):
-    daily = plan.stage(plan.daily_warehouse_units(stages.clean(spark, sf)), "warehouse_days")
+    daily = plan.daily_warehouse_units(stages.clean(spark, sf))
     load = plan.warehouse_load(daily, plan.capacity_table(spark))
     return load.select("origin_warehouse_id", "capacity").distinct()
 

@@ -10,7 +10,7 @@ from haulmetrics.functions.numeric import as_col
 
 def strip(value: Column | str) -> Column:
     """Drop leading and trailing white space of any kind (``trim`` drops blanks only)."""
-    return F.regexp_replace(F.regexp_replace(as_col(value), r"^\s+", ""), r"\s+$", "")
+    return F.btrim(as_col(value), F.lit(" \t\n\r\x0b\x0c"))
 
 
 def title(value: Column | str) -> Column:

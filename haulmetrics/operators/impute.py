@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmetrics.operators.attach import attach
@@ -19,14 +19,9 @@ def group_medians(df: DataFrame, specs: Sequence[tuple[str, Sequence[str]]],
     aggregated shuffle serves every column. Groups with a missing key have no
     median. Returns (sizes, medians), both staged.
     """
-    records = []
-    for i, (column, keys) in enumerate(specs):
-        known = F.lit(True)
-        for key in keys:
-            known = known & F.col(key).isNotNull()
-        group = F.when(known, F.array(*[F.col(k).cast("string") for k in keys]))
-        records.append(F.struct(F.lit(i).alias("spec"), group.alias("group"),
-                                F.col(column).cast("double").alias("value")))
+    records = [F.struct(F.lit(i).alias("spec"), _group_key(keys).alias("group"),
+                        F.col(column).cast("double").alias("value"))
+               for i, (column, keys) in enumerate(specs)]
     long = df.select(F.explode(F.array(*records)).alias("r")).select("r.*")
     sizes = group_sizes(long, ["spec", "group"], "value")
     medians = exact_quantiles(long.where("group is not null"), ["spec", "group"], "value", [0.5],
@@ -34,6 +29,12 @@ def group_medians(df: DataFrame, specs: Sequence[tuple[str, Sequence[str]]],
     return sizes, medians
 
 
+def _group_key(keys: Sequence[str]) -> Column:
+    """The key columns as one text; null when any of them is missing."""
+    parts = [F.col(k).cast("string") for k in keys]
+    return F.concat(*[x for part in parts for x in (part, F.lit("\u0001"))])
+
+
 def fill_from_groups(df: DataFrame, specs: Sequence[tuple[str, Sequence[str]]],
                      **options) -> DataFrame:
     """Replace missing values of each column by its group median, else by the
@@ -52,10 +53,8 @@ def fill_from_groups(df: DataFrame, specs: Sequence[tuple[str, Sequence[str]]],
         if i not in missing:
             continue
         table = medians.where(F.col("spec") == i).select(
-            *[F.col("group")[k].alias(f"__g{k}") for k in range(len(keys))],
-            F.col("q")[0].alias("__median"), "n")
-        out = out.withColumns({f"__g{k}": F.col(key).cast("string") for k, key in enumerate(keys)})
-        out = attach(out, table, [f"__g{k}" for k in range(len(keys))], weight="n")
+            F.col("group").alias("__group"), F.col("q")[0].alias("__median"), "n")
+        out = attach(out.withColumn("__group", _group_key(keys)), table, ["__group"], weight="n")
         out = out.withColumn(column, F.coalesce(column, "__median")).select(*columns)
         if gaps.get(i):
             rest = exact_median(out, column, **options)

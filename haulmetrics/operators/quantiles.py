@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from haulmetrics.operators.attach import attach
 from haulmetrics.session import stage
 
-SMALL_GROUP = 100_000
+SMALL_GROUP = 1_000_000
 ACCURACY = 10_000
 
 
@@ -27,13 +27,13 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     """``keys``, ``n`` and array ``q`` of interpolated quantiles (position p * (n - 1)).
 
     ``df`` is read up to three times and should be a staged or source table;
-    the result is a staged table. While every group is small the built-in
-    ``percentile`` does the work. It keeps a map of all values of a group in
-    one task, so beyond ``small_group`` values a mergeable sketch first
-    brackets each quantile (rank error at most n / accuracy) and only values
-    inside the brackets are counted one by one; all others are counted by the
-    side they fall on. The result is exact either way: should a rank fall
-    outside its bracket, every value is counted.
+    the result is a staged table. Values are counted per group and the counts
+    cumulated in value order. That puts the distinct values of a group in one
+    task, so for groups beyond ``small_group`` values a mergeable sketch first
+    brackets each quantile (rank error at most n / accuracy); only values
+    inside a bracket are counted one by one, all others by the side they fall
+    on. The result is exact either way: should a rank fall outside its
+    bracket, every value is counted.
     """
     keys, probs = list(keys), list(probs)
     base = df.select(*keys, F.col(value).cast("double").alias("__v")).where("__v is not null")
@@ -41,67 +41,59 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         sizes = group_sizes(base, keys, "__v")
     largest = sizes.agg(F.max("n")).first()[0] or 0
 
+    whole = base.withColumn("edges", F.lit(None).cast("array<double>"))
     if largest <= small_group:
-        q = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]))
-        out = base.groupBy(*keys).agg(F.count("*").alias("n"), q.alias("q"))
-        return stage(out.where("n > 0"), "quantiles")
+        return stage(_ranked(whole, keys, probs), "quantiles")
 
     slack = 2.0 / accuracy
     edges = [e for p in probs for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
     sketch = F.percentile_approx("__v", F.array(*[F.lit(e) for e in edges]), accuracy)
-    brackets = stage(base.groupBy(*keys).agg(F.count("*").alias("n"), sketch.alias("edges"))
-                     .withColumn("weight", F.col("n"))
-                     .withColumn("edges", F.when(F.col("n") > small_group, F.col("edges"))),
-                     "brackets")
-    out = stage(_ranked(base, brackets, keys, probs), "quantiles")
+    large = F.col("weight") > small_group
+    brackets = stage(base.groupBy(*keys).agg(F.count("*").alias("weight"), sketch.alias("edges"))
+                     .withColumn("edges", F.when(large, F.col("edges"))), "brackets")
+    if keys:
+        rows = attach(base, brackets, keys, weight="weight", null_safe=True)
+    else:
+        known = brackets.first()["edges"]
+        rows = base.withColumn("edges", F.array(*[F.lit(float(e)) for e in known]))
+    out = stage(_ranked(rows, keys, probs), "quantiles")
     if out.where(F.exists("q", lambda x: x.isNull())).isEmpty():
         return out
-    open_ended = brackets.withColumn("edges", F.lit(None).cast("array<double>"))
-    return stage(_ranked(base, open_ended, keys, probs), "quantiles")
+    return stage(_ranked(whole, keys, probs), "quantiles")
 
 
-def _ranked(base: DataFrame, brackets: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    if keys:
-        rows = attach(base, brackets, keys, weight="weight", null_safe=True)
-    else:
-        only = brackets.first()
-        known = (F.array(*[F.lit(float(e)) for e in only["edges"]]) if only["edges"]
-                 else F.lit(None).cast("array<double>"))
-        rows = base.withColumn("n", F.lit(only["n"])).withColumn("edges", known)
-
-    v, lows, highs = F.col("__v"), [], []
-    for i in range(len(probs)):
-        lows.append(F.col("edges")[2 * i])
-        highs.append(F.col("edges")[2 * i + 1])
+def _ranked(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Quantiles from counts cumulated in value order, within the ``edges`` of each row."""
+    v = F.col("__v")
+    lows = [F.col("edges")[2 * i] for i in range(len(probs))]
+    highs = [F.col("edges")[2 * i + 1] for i in range(len(probs))]
     inside: Column = F.col("edges").isNull()
     for low, high in zip(lows, highs):
         inside = inside | v.between(low, high)
     inside = F.coalesce(inside, F.lit(False))
     # A value outside all brackets stands for "just above the last bracket below it".
     below = F.greatest(F.lit(-inf), F.lit(-inf), *[F.when(v > high, high) for high in highs])
-    counts = (rows.groupBy(*keys, "n", F.when(inside, v).otherwise(below).alias("at"),
+    counts = (rows.groupBy(*keys, F.when(inside, v).otherwise(below).alias("at"),
                            (~inside).alias("outside"))
               .agg(F.count("*").alias("c")))
 
-    order = Window.partitionBy(*keys).orderBy("at", "outside")
-    upto = F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    counts = counts.withColumn("upto", upto)
+    group = Window.partitionBy(*keys)
+    order = group.orderBy("at", "outside").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.select(*keys, "at", "outside", "c", F.sum("c").over(order).alias("upto"),
+                           F.sum("c").over(group).alias("n"))
 
     def value_at(rank: Column) -> Column:
         hit = (F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto")) & ~F.col("outside")
         return F.max(F.when(hit, F.col("at")))
 
-    picks = []
+    picks, mixed = [], []
     for i, p in enumerate(probs):
         position = F.lit(float(p)) * (F.col("n") - 1)
         picks += [value_at(F.floor(position)).alias(f"a{i}"),
                   value_at(F.ceil(position)).alias(f"b{i}")]
-    ranked = counts.groupBy(*keys, "n").agg(*picks)
-    mixed = []
-    for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (F.col("n") - 1)
         mixed.append(F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}"))
                      * (position - F.floor(position)))
+    ranked = counts.groupBy(*keys, "n").agg(*picks)
     return ranked.select(*keys, "n", F.array(*mixed).alias("q"))
 
 

@@ -105,7 +105,7 @@ def clean_report(df: DataFrame) -> DataFrame:
     valid = dated & valid_coordinates()
 
     def tally(condition: Column) -> Column:
-        return F.coalesce(F.sum(condition.cast("bigint")), F.lit(0))
+        return F.count(F.when(condition, 1))
 
     counters = [
         F.coalesce(F.sum("__copies"), F.lit(0)).alias("input_rows"),

@@ -8,7 +8,7 @@ each result is attached with one join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from haulmetrics.functions.dates import day
@@ -109,14 +109,20 @@ def month_index(daily: DataFrame) -> DataFrame:
                          .alias("seasonal_demand_index"))
 
 
-def category_turnover(daily: DataFrame) -> DataFrame:
-    """Units of a category on a day over thirty mean quantities of the category."""
-    per_category = daily.groupBy("product_category").agg(
-        (F.sum("units") / F.sum("counted")).alias("mean_quantity"))
-    return (daily.join(per_category, "product_category")
-            .select("product_category", "order_day", "rows",
-                    round_even(ratio("units", F.col("mean_quantity") * 30), 4)
-                    .alias("inventory_turnover")))
+def category_days(daily: DataFrame, months: DataFrame) -> DataFrame:
+    """Turnover and seasonal index per (category, day).
+
+    Turnover is the units of the day over thirty mean quantities of the
+    category. The window holds one row per day of a category.
+    """
+    category = Window.partitionBy("product_category")
+    mean = F.sum("units").over(category) / F.sum("counted").over(category)
+    turnover = F.when(F.col("product_category").isNotNull(),
+                      round_even(ratio("units", mean * 30), 4))
+    rows = daily.select("product_category", "order_day", "rows",
+                        F.trunc("order_day", "month").alias("order_month"),
+                        turnover.alias("inventory_turnover"))
+    return rows.join(months.drop("rows"), "order_month", "left").drop("order_month")
 
 
 def category_volatility(daily: DataFrame, months: DataFrame) -> DataFrame:
@@ -130,28 +136,36 @@ def category_volatility(daily: DataFrame, months: DataFrame) -> DataFrame:
               .agg(F.sum("rows").alias("n")))
     counts = counts.join(months.select("order_month", F.col("seasonal_demand_index").alias("x")),
                          "order_month")
-    means = counts.groupBy("product_category").agg(
-        (F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("mean"), F.sum("n").alias("total"))
-    spread = (counts.join(means, "product_category")
+    # One row per month of a category.
+    category = Window.partitionBy("product_category")
+    total = F.sum("n").over(category)
+    mean = F.sum(F.col("n") * F.col("x")).over(category) / total
+    squares = F.sum(F.col("n") * F.pow(F.col("x") - F.col("mean"), 2))
+    spread = (counts.select("product_category", "n", "x", total.alias("total"),
+                            mean.alias("mean"))
               .groupBy("product_category", "total")
-              .agg(F.sum(F.col("n") * F.pow(F.col("x") - F.col("mean"), 2)).alias("squares"))
-              .select("product_category", F.coalesce(
-                  F.sqrt(F.try_divide(F.col("squares"), F.col("total") - 1)), F.lit(0.0))
-                  .alias("volatility")))
+              .agg(F.coalesce(F.sqrt(F.try_divide(squares, F.col("total") - 1)), F.lit(0.0))
+                   .alias("volatility")))
     low, high = (spread.agg(f("volatility")).scalar() for f in (F.min, F.max))
     return spread.select("product_category", "volatility",
                          ((F.col("volatility") - low) / (high - low + F.lit(1e-9)))
                          .alias("volatility_scaled"))
 
 
-def reorder_risk(lateness: DataFrame, volatility: DataFrame) -> DataFrame:
-    """0.65 of the pair's late share plus 0.35 of the category's scaled volatility."""
-    known = lateness.where("carrier is not null and product_category is not null")
-    score = 0.65 * (F.col("late") / F.col("rows")) + 0.35 * F.col("volatility_scaled")
-    return (known.join(volatility, "product_category")
-            .select("carrier", "product_category", "rows",
-                    (F.col("late") / F.col("rows")).alias("pair_late_share"),
-                    "volatility_scaled", round_even(score, 4).alias("reorder_risk_score")))
+def pair_scores(lateness: DataFrame, volatility: DataFrame) -> DataFrame:
+    """Scores per (carrier, category): the carrier's on-time share and the reorder risk.
+
+    The risk is 0.65 of the pair's late share plus 0.35 of the category's
+    scaled volatility; it is unknown where carrier or category is.
+    """
+    late_share = F.when(F.col("carrier").isNotNull() & F.col("product_category").isNotNull(),
+                        F.col("late") / F.col("rows"))
+    risk = round_even(0.65 * F.col("pair_late_share") + 0.35 * F.col("volatility_scaled"), 4)
+    return (lateness.withColumn("pair_late_share", late_share)
+            .join(carrier_scores(lateness).drop("rows"), "carrier", "left")
+            .join(volatility, "product_category", "left")
+            .select("carrier", "product_category", "rows", "carrier_performance_score",
+                    "pair_late_share", risk.alias("reorder_risk_score")))
 
 
 def daily_warehouse_units(df: DataFrame) -> DataFrame:
@@ -160,14 +174,16 @@ def daily_warehouse_units(df: DataFrame) -> DataFrame:
 
 
 def warehouse_load(daily: DataFrame, capacity: DataFrame) -> DataFrame:
-    """Units of a warehouse on a day over its capacity, else over its busiest day."""
-    peaks = daily.groupBy("origin_warehouse_id").agg(F.max("units").alias("peak"))
+    """Units of a warehouse on a day over its capacity, else over its busiest day.
+
+    The window holds one row per day of a warehouse.
+    """
     listed = F.broadcast(capacity.select(F.col("warehouse_id").alias("origin_warehouse_id"),
                                          "capacity_units_per_day"))
-    limits = peaks.join(listed, "origin_warehouse_id", "left").select(
-        "origin_warehouse_id",
-        F.nullif(F.coalesce("capacity_units_per_day", "peak"), F.lit(0)).alias("capacity"))
-    return (daily.join(limits, "origin_warehouse_id")
+    peak = F.max("units").over(Window.partitionBy("origin_warehouse_id"))
+    limit = F.nullif(F.coalesce("capacity_units_per_day", "peak"), F.lit(0))
+    return (daily.withColumn("peak", peak).join(listed, "origin_warehouse_id", "left")
+            .withColumn("capacity", limit)
             .select("origin_warehouse_id", "order_day", "rows", "units", "capacity",
                     round_even(ratio("units", "capacity"), 4).alias("warehouse_utilization")))
 
@@ -182,22 +198,17 @@ def engineer_features(orders: DataFrame, **options) -> DataFrame:
 
     speeds = stage(region_speed(base), "region_speed")
     lateness = stage(lateness_by_carrier_category(base), "lateness")
-    by_category = stage(daily_category_units(base), "category_days")
-    by_warehouse = stage(daily_warehouse_units(base), "warehouse_days")
-    months = stage(month_index(by_category), "months")
-    risk = stage(reorder_risk(lateness, category_volatility(by_category, months))
-                 .select("carrier", "product_category", "rows", "reorder_risk_score"), "risk")
-    turnover = stage(category_turnover(by_category), "turnover")
-    load = stage(warehouse_load(by_warehouse, capacity_table(spark))
+    daily = stage(daily_category_units(base), "category_units")
+    months = month_index(daily)
+    pairs = stage(pair_scores(lateness, category_volatility(daily, months))
+                  .drop("pair_late_share"), "pairs")
+    days = stage(category_days(daily, months), "category_days")
+    load = stage(warehouse_load(daily_warehouse_units(base), capacity_table(spark))
                  .drop("units", "capacity"), "load")
 
-    rows = add_route_efficiency(rows, speeds)
-    rows = rows.withColumns({"order_day": day("order_date"),
-                             "order_month": F.to_date(F.trunc(day("order_date"), "month"))})
-    rows = attach(rows, stage(carrier_scores(lateness), "carriers"), ["carrier"], weight="rows")
-    rows = attach(rows, months, ["order_month"], weight="rows")
-    rows = attach(rows, risk, ["carrier", "product_category"], weight="rows")
-    rows = attach(rows, turnover, ["product_category", "order_day"], weight="rows")
+    rows = add_route_efficiency(rows, speeds).withColumn("order_day", day("order_date"))
+    rows = attach(rows, pairs, ["carrier", "product_category"], weight="rows", null_safe=True)
+    rows = attach(rows, days, ["product_category", "order_day"], weight="rows", null_safe=True)
     rows = attach(rows, load, ["origin_warehouse_id", "order_day"], weight="rows")
     return rows.select(*columns, *FEATURE_COLUMNS)
 

@@ -72,8 +72,7 @@ def suite_from_json(text: str) -> list[Rule]:
 
 
 def _count(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.coalesce(condition.cast("bigint"), F.lit(0).cast("bigint"))),
-                      F.lit(0).cast("bigint"))
+    return F.count(F.when(condition, 1))
 
 
 def violates(rule: Rule) -> Column:
@@ -93,7 +92,8 @@ def violates(rule: Rule) -> Column:
 def repeated_rows(df: DataFrame, column: str) -> DataFrame:
     """One row: how many rows carry a known value that occurs more than once."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    return counts.agg(_count((F.col("n") > 1).cast("bigint") * F.col("n")).alias("repeated"))
+    return counts.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
+                      .alias("repeated"))
 
 
 def compile_rules(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:

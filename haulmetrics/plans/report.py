@@ -227,14 +227,17 @@ def correlations(df: DataFrame, target: str = "delivery_delay",
 
 
 def histogram(df: DataFrame, column: str = "delivery_delay", bins: int = 40) -> DataFrame:
-    """Equal-width counts; the last bin includes the maximum. Empty bins have no row."""
+    """Equal-width counts; the last bin includes the maximum. Empty bins have no row.
+
+    A constant column spreads its bins over one unit around the constant.
+    """
     low, high = (df.agg(f(column)).scalar().cast("double") for f in (F.min, F.max))
+    pad = F.when(low == high, 0.5).otherwise(0.0)
     value = F.col(column).cast("double")
-    width = (high - low) / bins
-    index = F.least(F.floor(F.try_divide(value - low, width)), F.lit(bins - 1))
+    index = F.least(F.floor((value - low + pad) / ((high - low + 2 * pad) / bins)),
+                    F.lit(bins - 1))
     return (df.where(F.col(column).isNotNull())
-            .groupBy((F.coalesce(index, F.lit(0)) + 1).cast("int").alias("bin"))
-            .agg(F.count("*").alias("orders")))
+            .groupBy((index + 1).cast("int").alias("bin")).agg(F.count("*").alias("orders")))
 
 
 def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -56,3 +56,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out rows when a scan yields fewer partitions than there are cores.
+
+    A no-op on any table of real size; it keeps one small file from pinning
+    the work to one core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
