@@ -8,25 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmetrics.operators.attach import attach
-from haulmetrics.operators.quantiles import exact_median, exact_quantiles, group_sizes
+from haulmetrics.operators.quantiles import exact_median, exact_quantiles
 
 
-def group_medians(df: DataFrame, specs: Sequence[tuple[str, Sequence[str]]],
-                  **options) -> tuple[DataFrame, DataFrame]:
-    """Medians for several (column, keys) pairs in one pass over ``df``.
+def _group_values(df: DataFrame, specs: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """Narrow (spec, group, value) records for all (column, keys) pairs.
 
-    Rows are turned into narrow (spec, group, value) records, so one partially
-    aggregated shuffle serves every column. Groups with a missing key have no
-    median. Returns (sizes, medians), both staged.
+    One partially aggregated shuffle then serves every column. Groups with a
+    missing key get no group.
     """
     records = [F.struct(F.lit(i).alias("spec"), _group_key(keys).alias("group"),
                         F.col(column).cast("double").alias("value"))
                for i, (column, keys) in enumerate(specs)]
-    long = df.select(F.explode(F.array(*records)).alias("r")).select("r.*")
-    sizes = group_sizes(long, ["spec", "group"], "value")
-    medians = exact_quantiles(long.where("group is not null"), ["spec", "group"], "value", [0.5],
-                              sizes=sizes, **options)
-    return sizes, medians
+    return df.select(F.explode(F.array(*records)).alias("r")).select("r.*")
 
 
 def _group_key(keys: Sequence[str]) -> Column:
@@ -42,21 +36,31 @@ def fill_from_groups(df: DataFrame, specs: Sequence[tuple[str, Sequence[str]]],
 
     ``df`` should be a staged table.
     """
-    sizes, medians = group_medians(df, specs, **options)
-    gaps = {r["spec"]: r["open"] for r in sizes.groupBy("spec").agg(
-        F.sum(F.when((F.col("n") == 0) | F.col("group").isNull(), F.col("rows") - F.col("n")))
-        .alias("open")).collect()}  # one row per spec
-    missing = {r["spec"] for r in sizes.where("rows > n").select("spec").distinct().collect()}
+    values = _group_values(df, specs)
+    n, rows = F.col("n"), F.col("rows")
+    sizes = values.groupBy("spec", "group").agg(F.count("*").alias("rows"),
+                                                F.count("value").alias("n"))
+    # One row per spec: missing values, those no group can fill, largest group.
+    facts = {r["spec"]: r for r in sizes.groupBy("spec").agg(
+        F.sum(rows - n).alias("missing"),
+        F.sum(F.when((n == 0) | F.col("group").isNull(), rows - n)).alias("unfilled"),
+        F.max(F.when(F.col("group").isNotNull(), n)).alias("largest")).collect()}
+    wanted = [i for i, fact in facts.items() if fact["missing"]]
+    if not wanted:
+        return df
+    medians = exact_quantiles(
+        values.where(F.col("group").isNotNull() & F.col("spec").isin(wanted)), ["spec", "group"],
+        "value", [0.5], largest=max(facts[i]["largest"] or 0 for i in wanted), **options)
 
     columns, out = df.columns, df
     for i, (column, keys) in enumerate(specs):
-        if i not in missing:
+        if i not in wanted:
             continue
         table = medians.where(F.col("spec") == i).select(
             F.col("group").alias("__group"), F.col("q")[0].alias("__median"), "n")
         out = attach(out.withColumn("__group", _group_key(keys)), table, ["__group"], weight="n")
         out = out.withColumn(column, F.coalesce(column, "__median")).select(*columns)
-        if gaps.get(i):
+        if facts[i]["unfilled"]:
             rest = exact_median(out, column, **options)
             out = out.withColumn(column, F.coalesce(column, F.lit(rest).cast("double")))
     return out

@@ -15,19 +15,14 @@ SMALL_GROUP = 1_000_000
 ACCURACY = 10_000
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows (``rows``) and non-missing values (``n``) per group, staged."""
-    return stage(df.groupBy(*keys).agg(F.count("*").alias("rows"), F.count(value).alias("n")),
-                 "sizes")
-
-
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], *,
-                    sizes: DataFrame | None = None, small_group: int = SMALL_GROUP,
+                    largest: int | None = None, small_group: int = SMALL_GROUP,
                     accuracy: int = ACCURACY) -> DataFrame:
     """``keys``, ``n`` and array ``q`` of interpolated quantiles (position p * (n - 1)).
 
     ``df`` is read up to three times and should be a staged or source table;
-    the result is a staged table. Values are counted per group and the counts
+    the result is a staged table. ``largest`` is the size of the largest group,
+    if already known. Values are counted per group and the counts
     cumulated in value order. That puts the distinct values of a group in one
     task, so for groups beyond ``small_group`` values a mergeable sketch first
     brackets each quantile (rank error at most n / accuracy); only values
@@ -37,9 +32,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     """
     keys, probs = list(keys), list(probs)
     base = df.select(*keys, F.col(value).cast("double").alias("__v")).where("__v is not null")
-    if sizes is None:
-        sizes = group_sizes(base, keys, "__v")
-    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest is None:
+        counts = base.groupBy(*keys).agg(F.count("*").alias("n"))
+        largest = counts.agg(F.max("n")).first()[0] or 0
 
     whole = base.withColumn("edges", F.lit(None).cast("array<double>"))
     if largest <= small_group:

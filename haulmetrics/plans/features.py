@@ -146,7 +146,9 @@ def category_volatility(daily: DataFrame, months: DataFrame) -> DataFrame:
               .groupBy("product_category", "total")
               .agg(F.coalesce(F.sqrt(F.try_divide(squares, F.col("total") - 1)), F.lit(0.0))
                    .alias("volatility")))
-    low, high = (spread.agg(f("volatility")).scalar() for f in (F.min, F.max))
+    ends = spread.agg(F.struct(F.min("volatility").alias("low"),
+                               F.max("volatility").alias("high"))).scalar()
+    low, high = ends["low"], ends["high"]
     return spread.select("product_category", "volatility",
                          ((F.col("volatility") - low) / (high - low + F.lit(1e-9)))
                          .alias("volatility_scaled"))
@@ -199,7 +201,7 @@ def engineer_features(orders: DataFrame, **options) -> DataFrame:
     speeds = stage(region_speed(base), "region_speed")
     lateness = stage(lateness_by_carrier_category(base), "lateness")
     daily = stage(daily_category_units(base), "category_units")
-    months = month_index(daily)
+    months = stage(month_index(daily), "months")
     pairs = stage(pair_scores(lateness, category_volatility(daily, months))
                   .drop("pair_late_share"), "pairs")
     days = stage(category_days(daily, months), "category_days")

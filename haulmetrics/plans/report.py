@@ -231,7 +231,9 @@ def histogram(df: DataFrame, column: str = "delivery_delay", bins: int = 40) ->
 
     A constant column spreads its bins over one unit around the constant.
     """
-    low, high = (df.agg(f(column)).scalar().cast("double") for f in (F.min, F.max))
+    ends = df.agg(F.struct(F.min(column).cast("double").alias("low"),
+                           F.max(column).cast("double").alias("high"))).scalar()
+    low, high = ends["low"], ends["high"]
     pad = F.when(low == high, 0.5).otherwise(0.0)
     value = F.col(column).cast("double")
     index = F.least(F.floor((value - low + pad) / ((high - low + 2 * pad) / bins)),
