@@ -57,7 +57,7 @@ def buyer_segment(df: DataFrame) -> DataFrame:
     Missing customer ids are one group, as they compare equal to each other.
     """
     counts = stage(df.groupBy("customer_unique_id").agg(F.count("*").alias("n"))
-                   .withColumn("repeat", F.col("n") > 1), "buyers")
+                   .where("n > 1").withColumn("repeat", F.lit(True)), "buyers")
     rows = attach(df, counts, ["customer_unique_id"], weight="n", null_safe=True)
     return (rows.withColumn("customer_segment",
                             F.when(F.col("repeat"), "Returning").otherwise("New"))

@@ -81,14 +81,20 @@ def summary_rows(df: DataFrame, **options) -> DataFrame:
     return out
 
 
-def summary_documents(rows: DataFrame) -> DataFrame:
-    """Each section of the summary as one JSON object of label to value.
+def summary_documents(rows: DataFrame, labels_per_document: int = 10_000) -> DataFrame:
+    """Each section of the summary as JSON objects of label to value.
 
-    One object per section, since carriers may be many; the target names ride
-    along as a constant.
+    A section is one object unless it has very many labels (carriers may be
+    many); it is then dealt over several objects by label hash. The target
+    names ride along as a constant.
     """
+    # One row per section, and the sections are fixed.
+    sizes = rows.groupBy("section").agg(F.ceil(F.count("*") / labels_per_document).alias("parts"))
+    part = F.pmod(F.xxhash64("label"), F.col("parts"))
     entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "value"))))
-    return (rows.groupBy("section").agg(F.to_json(entries).alias("document"))
+    return (rows.join(F.broadcast(sizes), "section")
+            .groupBy("section", (part + 1).alias("part"))
+            .agg(F.to_json(entries).alias("document"))
             .withColumn("targets", F.lit(",".join(SPLIT_TARGETS))))
 
 
@@ -133,7 +139,7 @@ def align_labels(table: DataFrame, label: str, labels: Sequence[str]) -> DataFra
     """Rows in the order of ``labels``; labels without a row stay, with nulls."""
     order = table.sparkSession.createDataFrame(
         [(name, i) for i, name in enumerate(labels, start=1)], f"{label} string, position int")
-    return F.broadcast(order).join(table, label, "left").orderBy("position")
+    return order.join(table, label, "left").orderBy("position")
 
 
 def delay_by_distance_ordered(df: DataFrame) -> DataFrame:

@@ -58,6 +58,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark: SparkSession) -> bool:
+    """Delete the intermediate tables of this application, once results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal out rows when a scan yields fewer partitions than there are cores.
 

@@ -364,6 +364,16 @@ def test_summary_documents(spark):
     assert docs["size"].startswith('{"n_features":22.0,"test_rows":')
 
 
+def test_long_sections_become_several_documents(spark):
+    rows = spark.range(95).select(F.lit("s").alias("section"),
+                                  F.format_string("l%03d", "id").alias("label"),
+                                  F.col("id").cast("double").alias("value"))
+    docs = report.summary_documents(rows, labels_per_document=20)
+    assert docs.count() == 5
+    flat = docs.select(F.explode(F.from_json("document", "map<string,double>")))
+    assert sorted(tuple(r) for r in flat.collect()) == [(f"l{i:03d}", float(i)) for i in range(95)]
+
+
 def test_sample_size_and_threshold_path(spark):
     df = spark.range(9_000).withColumn("id", F.col("id").cast("string"))
     small = sorted(r[0] for r in report.hash_sample(df, "id", 50).collect())
