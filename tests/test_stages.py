@@ -12,7 +12,8 @@ from haulmetrics.functions.dates import parse_timestamp, whole_days
 from haulmetrics.functions.hashing import stable_fraction
 from haulmetrics.functions.numeric import binned, haversine_km, ratio, round_even, to_number
 from haulmetrics.functions.text import strip
-from haulmetrics.plans import clean, features, quality, report, split
+from haulmetrics.operators.attach import attach
+from haulmetrics.plans import analytics, clean, features, quality, report, split
 from haulmetrics.schema import (DISTANCE_BINS, FEATURE_COLUMNS, LABEL_COLUMNS, ORDER_COLUMNS,
                                 SIZE_BINS)
 from haulmetrics.session import stage
@@ -380,3 +381,32 @@ def test_sample_size_and_threshold_path(spark):
     plain = sorted(r[0] for r in df.orderBy(F.xxhash64("id", F.lit(42)), "id").limit(50).collect())
     assert small == plain
     assert report.hash_sample(df, "id", 10_000).count() == 9_000
+
+
+def test_features_do_not_depend_on_the_join_path(spark, monkeypatch):
+    """Broadcast statistics, salted hot keys and shuffled cold keys give the same rows."""
+    changes = [dict(order_date=f"2024-0{1 + i % 3}-0{1 + i % 5}", quantity=float(1 + i % 7),
+                    carrier=[None, "A", "A", "A", "B"][i % 5], distance_km=10.0 * i,
+                    product_category=["x", "y", None][i % 3], shipping_mode="First Class",
+                    destination_region=["r", "r", "s", None][i % 4],
+                    origin_warehouse_id=["WH-001", "X", "X", None][i % 4],
+                    actual_delivery_days=None if i % 6 == 0 else float(i % 8))
+               for i in range(60)]
+    source = raw(spark, *changes)
+    want = by_id(features.engineer_features(stage(clean.clean_orders(source), "clean")),
+                 "actual_delivery_days", *FEATURE_COLUMNS)
+    monkeypatch.setitem(attach.__kwdefaults__, "broadcast_rows", 0)
+    monkeypatch.setitem(attach.__kwdefaults__, "hot_keys", 3)
+    got = by_id(features.engineer_features(stage(clean.clean_orders(source, small_group=3,
+                                                                    accuracy=20), "clean")),
+                "actual_delivery_days", *FEATURE_COLUMNS)
+    assert len(want) == 60 and got == want
+
+
+def test_rolling_trend_does_not_depend_on_chunks(spark):
+    df = stage(featured(spark, *[dict(order_date=f"2024-01-{1 + i % 9:02d}",
+                                      carrier="AB"[i % 4 == 0],
+                                      actual_delivery_days=float(i % 11)) for i in range(80)]), "f")
+    name = "rolling_avg_delay_7orders"
+    assert by_id(analytics.rolling_delay(df), name) \
+        == by_id(analytics.rolling_delay(df, chunk_rows=5), name)
