@@ -32,9 +32,11 @@ def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """Items with their order, product, customer, seller, translation and both points.
 
     Plain equi-joins: table sizes known from the files decide which side is
-    broadcast, and skewed partitions are split at run time.
+    broadcast, and skewed partitions are split at run time. The centroids are
+    staged so that their size is known too; otherwise each of their two joins
+    would shuffle the items.
     """
-    points = centroids(tables["geolocation"])
+    points = stage(centroids(tables["geolocation"]), "centroids")
     joined = (tables["items"]
               .join(tables["orders"], "order_id", "inner")
               .join(tables["products"], "product_id", "left")

@@ -175,3 +175,35 @@ def test_buyers_without_id_are_one_group(spark):
     df = stage(spark.createDataFrame([(None,), (None,), ("x",)], "customer_unique_id string"), "b")
     got = sorted((r[0] or "", r[1]) for r in marketplace.buyer_segment(df).collect())
     assert got == [("", "Returning"), ("", "Returning"), ("x", "New")]
+
+
+def test_raw_tables_are_replaced(spark, tmp_path):
+    for n in (3, 5):
+        names = tables.store_raw({"t_orders": spark.range(n), "t_events": spark.range(n + 1)},
+                                 str(tmp_path / str(n)))
+        assert [spark.table(t).count() for t in names] == [n, n + 1]
+    spark.sql("drop table t_orders")
+    spark.sql("drop table t_events")
+
+
+def test_analytics_tables_written(spark, tmp_path):
+    from haulmetrics.plans.analytics import write_analytics
+    df = spark.sql("""select 'o1' order_id, 'A' carrier, timestamp'2024-01-01' order_date,
+        2 delivery_delay, 1 is_delayed, 1.5D shipping_cost_per_unit, 0.5D carrier_performance_score,
+        'r' destination_region, 'Local' distance_category, 0.5D route_efficiency_score,
+        10.0D distance_km""")
+    paths = write_analytics(df, str(tmp_path))
+    assert {name: spark.read.parquet(p).count() for name, p in paths.items()} == {
+        "carrier_monthly_performance": 1, "region_route_summary": 1, "rolling_delay_trend": 1}
+
+
+def test_work_folder_needs_a_shared_path_on_a_cluster():
+    from haulmetrics.session import work_dir
+
+    class Session:
+        conf = {"spark.app.id": "a", "spark.master": "yarn"}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(Session())
+    Session.conf["spark.checkpoint.dir"] = "hdfs://shared/dir/"
+    assert work_dir(Session()) == "hdfs://shared/dir/haulmetrics-a"
