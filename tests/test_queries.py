@@ -8,11 +8,12 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as entry_module  # noqa: E402
+from checks import registry  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
