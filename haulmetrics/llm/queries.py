@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmetrics.llm import url_filter
-from haulmetrics.llm.common import table
+from haulmetrics.llm import exact_dedup, secret_scan, url_filter
+from haulmetrics.llm.common import crc32_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +50,24 @@ found AS (SELECT parts.*, h || p AS rule, v,
   ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM found WHERE k = 1
 """
+
+
+@query
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents, by key, are the snapshot; the others arrive."""
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"), crc32_mod("doc_id", 2) == 0)
+
+
+ORACLES["op8_exact_dedup"] = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+g AS (SELECT doc_id, max(doc_id) OVER (PARTITION BY text) AS keep_id,
+    count(*) OVER (PARTITION BY text) AS group_size, sha256(text) AS text_sha256 FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return secret_scan.digest_columns(found)
