@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmetrics.llm import exact_dedup, secret_scan, url_filter
+from haulmetrics.llm import exact_dedup, secret_scan, source_mix, url_filter
 from haulmetrics.llm.common import crc32_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"),
                              public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return secret_scan.digest_columns(found)
+
+
+@query
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = source_mix.mix(table(spark, sf_dir, "documents"), source_mix.cycled([3, 1, 2]))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
