@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from haulmetrics.llm import exact_dedup, secret_scan, source_mix, url_filter
+from haulmetrics.llm import (exact_dedup, language_id, line_quality, secret_scan, source_mix,
+                             url_filter)
 from haulmetrics.llm.common import crc32_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +79,21 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix(table(spark, sf_dir, "documents"), source_mix.cycled([3, 1, 2]))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(crc32_mod("doc_id", 5) == 0, F.lit(True))
+    model = language_id.fit(docs.where(~held_out))
+    return language_id.predict(docs, model, keep={"held_out": held_out})
+
+
+@query
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc32_mod("doc_id", 4) == 2, F.lit(False))
+    model = line_quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return line_quality.score(docs, model, keep={"doc_id": F.col("doc_id"),
+                                                 "held_out": held_out}).withColumn(
+        "predicted", (F.col("score") >= line_quality.THRESHOLD).cast("int"))
