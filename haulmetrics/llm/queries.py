@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmetrics.llm import (exact_dedup, language_id, line_quality, secret_scan, source_mix,
-                             url_filter)
+from haulmetrics.llm import (exact_dedup, language_id, line_quality, secret_scan, simhash,
+                             source_mix, url_filter)
 from haulmetrics.llm.common import crc32_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.score(docs, model, keep={"doc_id": F.col("doc_id"),
                                                  "held_out": held_out}).withColumn(
         "predicted", (F.col("score") >= line_quality.THRESHOLD).cast("int"))
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
