@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmetrics.llm import (exact_dedup, language_id, line_quality, secret_scan, simhash,
-                             source_mix, url_filter)
+                             source_mix, url_filter, warc)
 from haulmetrics.llm.common import crc32_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,19 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op7_warc"] = """
+WITH t AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+    min(page_id) OVER (PARTITION BY html) AS first FROM t)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM g
+"""
