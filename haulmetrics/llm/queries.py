@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmetrics.llm import (exact_dedup, language_id, line_quality, secret_scan, simhash,
-                             source_mix, url_filter, warc)
+from haulmetrics.llm import (exact_dedup, language_id, line_quality, phrase_index,
+                             secret_scan, simhash, source_mix, url_filter, warc)
 from haulmetrics.llm.common import crc32_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,13 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
 FROM g
 """
+
+
+@query
+def op4_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_index.contamination(table(spark, sf_dir, "documents"),
+                                       table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit",
+                        F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
