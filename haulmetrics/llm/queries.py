@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmetrics.llm import (exact_dedup, language_id, line_quality, phrase_index,
-                             secret_scan, simhash, source_mix, url_filter, warc)
+                             secret_scan, simhash, source_mix, token_shards, url_filter, warc)
 from haulmetrics.llm.common import crc32_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,9 @@ def op4_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.round_trip(table(spark, sf_dir, "documents"),
+                                   public_tokenizers.path("word_bpe_49k.json"))
