@@ -12,8 +12,8 @@ a Parquet table with
 Symbols below ``terminals`` are ids. Re-Pair replaces frequent pairs by nonterminals
 again and again. A round takes the most frequent pairs whose left symbols are not right
 symbols of another, so that no two occurrences overlap, or all pairs of one symbol with
-itself; rounds end when no pair is frequent or a round saves less than one symbol in
-``LEAST_GAIN``. With the expansion lengths any range of ids is decoded without the rest.
+itself; rounds end when no pair is frequent or a round of the first sort saves less than
+one symbol in ``LEAST_GAIN``. With the expansion lengths any range of ids is decoded without the rest.
 
 Words are encoded once and kept in a bounded cache of the worker. That is exact, because
 the vocabulary's rules never look across white space; texts that hold a special token's
@@ -41,7 +41,7 @@ from haulmetrics.session import new_path
 END_ID = 2
 SHARD_IDS = 1 << 20
 LEAST_COUNT = 16
-LEAST_GAIN = 50
+LEAST_GAIN = 100
 PAIRS_PER_ROUND = 4096
 CACHE_WORDS = 400_000
 SEPARATOR = "\x1e"
@@ -155,7 +155,7 @@ class Grammar:
             left.append(a)
             right.append(b)
             symbols += len(a)
-            if gain * least_gain < before:
+            if gain * least_gain < before and a[0] != b[0]:
                 break
         none = np.zeros(0, np.int64)
         left, right = (np.concatenate([none, *x]) for x in (left, right))
