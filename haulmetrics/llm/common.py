@@ -39,3 +39,27 @@ def map_batches(df: DataFrame, schema: str,
 def crc32_mod(key: str, n: int) -> Column:
     """crc32 of a column as text, modulo ``n``; null for a null key."""
     return F.crc32(F.col(key).cast("string")) % n
+
+
+def row_id(key: str = "doc_id", text: str = "text") -> Column:
+    """What tells rows apart that may share a key or lack one: key (null last) and text."""
+    return F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"),
+                    F.xxhash64(F.col(text).isNull(), F.col(text)).alias("text"))
+
+
+def join_by_row(docs: DataFrame, found: DataFrame, how: str, *, key: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """Equi-join rows with ``found``, whose ``__id`` is a ``row_id``; a null key equals one.
+
+    Keeps the columns of ``docs`` and those of ``found`` other than ``__id``.
+    """
+    names = ["__no_key", "__at_key", "__at_text"]
+
+    def parts(row: Column) -> dict[str, Column]:
+        # a key stands in for null, as a flag beside it tells them apart
+        text_key = F.coalesce(row["key"].cast("string"), F.lit(""))
+        return dict(zip(names, [row["no_key"], text_key, row["text"]]))
+
+    left = docs.withColumns(parts(row_id(key, text)))
+    right = found.withColumns(parts(F.col("__id"))).drop("__id")
+    return left.join(right, names, how).drop(*names)

@@ -17,6 +17,7 @@ every document scores 0.5. Rows are scored one by one; whole texts are read.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -221,3 +222,16 @@ def score(docs: DataFrame, model: LineModel, *, text: str = "text",
 
     schema = "".join(f"`{n}` {t}, " for n, t in rows.dtypes[:-1])
     return map_batches(rows, schema + "score double", run)
+
+
+def keep_good(docs: DataFrame, model: LineModel, *, text: str = "text",
+              threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [shared.value.score(v.as_py()) >= threshold for v in batch[text]]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
