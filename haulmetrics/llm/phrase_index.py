@@ -93,10 +93,16 @@ class Segment:
         a, b = self.postings[term]
         return b - a
 
-    def starts_at(self, phrase: list[bytes], slop: int = 0) -> np.ndarray:
-        """Places where the phrase begins; with slop, where its rarest term says so."""
+    def occurrences(self, phrase: list[bytes], slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Places where the phrase begins, as its rarest term says, and their documents.
+
+        Terms of other documents are further off than ``slop`` allows.
+        """
+        none = np.zeros(0, np.int32)
+        if slop and len(phrase) + slop > GAP:
+            raise ValueError(f"phrase and slop beyond {GAP} words")
         if any(term not in self.postings for term in phrase):
-            return np.zeros(0, np.int32)
+            return none, none
         order = sorted(range(len(phrase)), key=lambda i: self.size(phrase[i]))
         found = None
         for i in order:
@@ -105,20 +111,11 @@ class Segment:
             if found is None:
                 found = moved
                 continue
-            at = np.searchsorted(moved, found - slop)
-            near = moved[np.minimum(at, len(moved) - 1)]
-            found = found[(near >= found - slop) & (near <= found + slop)]
+            at = np.minimum(np.searchsorted(moved, found - slop), len(moved) - 1)
+            found = found[np.abs(moved[at] - found) <= slop]
             if not len(found):
-                break
-        return self._inside(found, len(phrase), slop)
-
-    def _inside(self, found: np.ndarray, width: int, slop: int) -> np.ndarray:
-        """Drop what begins before its document or ends behind it."""
-        document = np.searchsorted(self.starts, found, side="right") - 1
-        keep = document >= 0
-        found, document = found[keep], document[keep]
-        fits = found - self.starts[document] + width <= self.counts[document] + slop
-        return found[fits]
+                return none, none
+        return found, np.searchsorted(self.starts, found + order[0], side="right") - 1
 
 
 def build_index(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -174,11 +171,9 @@ def search(index: DataFrame, phrases: DataFrame, *, slop: int = 0,
                 for row in batch.to_pylist():
                     segment, out = Segment(row), []
                     for number, phrase in shared.value:
-                        found = segment.starts_at(phrase, slop)
-                        if len(found):
-                            of = np.searchsorted(segment.starts, found, side="right") - 1
-                            out += [(row["__segment"], int(d), int(p - segment.starts[d]),
-                                     len(phrase), number) for d, p in zip(of, found)]
+                        found, of = segment.occurrences(phrase, slop)
+                        out += [(row["__segment"], int(d), int(p - segment.starts[d]),
+                                 len(phrase), number) for d, p in zip(of, found)]
                     columns = list(zip(*out)) or [[]] * 5
                     types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
                     yield pa.RecordBatch.from_arrays(
