@@ -32,6 +32,10 @@ DIM = 1 << DIM_BITS
 ORDERS = (1, 2, 3)
 WINDOW = 1 << 18
 SAMPLE_ROWS = 3000
+#: Brings the norm of a text's features near 1.
+SCALE = 10.0
+#: Passes over the sample are repeated up to about this many steps.
+STEPS = 9000
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -153,14 +157,14 @@ def calibrate(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def fit(train: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang",
         sample_rows: int = SAMPLE_ROWS, alpha: float = 0.3, beta: float = 1.0,
-        l1: float = 2e-3, l2: float = 1e-3, epochs: int = 3) -> LanguageModel:
+        l1: float = 0.02, l2: float = 1e-3, steps: int = STEPS) -> LanguageModel:
     """Fit on rows with a text and a label; ``sample_rows`` bounds what the driver reads."""
     train = train.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(
         F.col(key).alias("__key"), F.col(text).alias("__text"), F.col(label).alias("__label"))
     df, rows = document_frequencies(train.select("__text"))
     if not rows:
         return LanguageModel([], np.zeros((DIM, 0), np.float32), np.zeros(0))
-    idf = np.log((1 + rows) / (1 + df)) + 1
+    idf = SCALE * (np.log((1 + rows) / (1 + df)) + 1)
     picked = (train.select("__key", "__label", F.xxhash64(F.col("__key").cast("string"))
                            .alias("__draw"), F.length("__text").alias("__length"))
               .orderBy("__draw", "__key", "__label", "__length").limit(sample_rows))
@@ -196,7 +200,8 @@ def fit(train: DataFrame, *, key: str = "doc_id", text: str = "text", label: str
                      np.append(values[i].values.to_numpy() * idf[own], 1.0),
                      languages.index(marks[i])))
     own, held = [r for i, r in enumerate(data) if i % 5], data[::5]
-    w = ftrl(own or data, len(languages), alpha=alpha, beta=beta, l1=l1, l2=l2, epochs=epochs)
+    w = ftrl(own or data, len(languages), alpha=alpha, beta=beta, l1=l1, l2=l2,
+             epochs=-(-steps // max(1, len(own or data))))
     logits = np.array([x @ w[ids] for ids, x, _ in held])
     temperature = calibrate(logits, np.array([y for _, _, y in held]))
     return LanguageModel(languages, (w[:DIM] * idf[:, None]).astype(np.float32), w[DIM],

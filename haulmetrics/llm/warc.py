@@ -16,8 +16,8 @@ a payload that holds the magic are put together again. What is behind a broken r
 cannot be reached and is left out.
 
 Only these few numbers of a candidate are grouped by file, so a task holds a file's
-candidates, some 40 bytes each. Payloads stay where they were read: a record without
-magic inside is hashed by the task that reads it; only the pieces of others are shuffled.
+candidates, some 40 bytes each. A record without magic inside is hashed by the task that
+reads it; bytes are only shuffled for the others, or where payloads are asked for.
 
 Null payloads count as empty. Null keys and urls are left out of the header and read back
 as null. Line breaks in a url are percent-encoded in the header. An empty table gives an
@@ -147,24 +147,22 @@ def read_archives(spark: SparkSession, path: str, *, payloads: bool = False) ->
     own = F.expr("cast(value AS binary)")
     whole = F.col("length") == F.col("body_at") + F.col("content") + len(END)
     payload = F.substring(own, F.col("body_at") + F.lit(1), F.col("content"))
-    held = pieces.select(
+    held = stage(pieces.select(
         "file", "block", "seq", "length", "body_at", "content",
         F.when(F.col("content").isNotNull(), F.col("head")).alias("head"),
-        F.when(whole, F.sha2(payload, 256)).alias("digest"),
-        F.when(~F.coalesce(whole, F.lit(False)) | F.lit(payloads), own).alias("bytes"))
-    held = stage(held, "warc_pieces")
+        F.when(whole, F.sha2(payload, 256)).alias("digest"), own.alias("bytes")), "warc_pieces")
     marks = held.select("file", "block", "seq", "length", "body_at", "content") \
         .groupBy("file").applyInPandas(
             _reach, "file string, block long, seq long, record long, is_head boolean, pieces long")
-    marks = stage(marks, "warc_boundaries")
-    # seq is not repeated in a file, nor in a folder
-    joined = held.join(marks.where("record >= 0").select("seq", "record", "is_head", "pieces"),
-                       "seq")
-    single = joined.where("is_head AND pieces = 1").select(
-        "head", "digest", "content", F.when(
-            F.lit(payloads), F.substring("bytes", F.col("body_at") + F.lit(1), F.col("content"))
-        ).alias("payload"))
-    several = joined.where("pieces > 1")
+    marks = stage(marks.where("record >= 0"), "warc_boundaries")
+    # seq numbers the pieces of all files; bytes of single pieces are read only if asked for
+    needed = ["seq", "head", "digest", "content"] + ["body_at", "bytes"] * payloads
+    single = (held.select(*needed).join(marks.where("is_head AND pieces = 1").select("seq"), "seq")
+              .select("head", "digest", "content", *[
+                  F.substring("bytes", F.col("body_at") + F.lit(1), F.col("content"))
+                  .alias("payload")] * payloads))
+    several = held.drop("block").join(
+        marks.where("pieces > 1").select("seq", "record", "is_head"), "seq")
     parts = F.sort_array(F.collect_list(F.struct("seq", "bytes")))
     joint = F.aggregate(F.slice(F.col("parts"), F.lit(2), F.size("parts") - 1),
                         F.col("parts")[0]["bytes"],
@@ -177,8 +175,7 @@ def read_archives(spark: SparkSession, path: str, *, payloads: bool = False) ->
                        F.substring(joint, F.col("body_at") + F.lit(1),
                                    F.col("content")).alias("payload")))
     records = single.unionByName(several.select(
-        "head", F.sha2("payload", 256).alias("digest"), "content",
-        F.when(F.lit(payloads), F.col("payload")).alias("payload")))
+        "head", F.sha2("payload", 256).alias("digest"), "content", *["payload"] * payloads))
     return _parsed(records, payloads)
 
 
