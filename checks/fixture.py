@@ -41,8 +41,8 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_key() -> Column:
     return F.concat(F.col("l_orderkey").cast("string"),
                     F.lpad(F.col("l_linenumber").cast("string"), 2, "0"),
-                    F.lpad(F.col("l_partkey").cast("string"), 6, "0"),
-                    F.lpad(F.col("l_suppkey").cast("string"), 4, "0"),
+                    F.lpad(F.col("l_partkey").cast("string"), 12, "0"),
+                    F.lpad(F.col("l_suppkey").cast("string"), 12, "0"),
                     F.date_format("l_shipdate", "yyyyMMdd"))
 
 
@@ -147,6 +147,7 @@ def vendor_feed(spark: SparkSession, sf_dir: str, *, ids: str = "unique") -> Dat
         "Product Card Id": F.col("l_partkey").cast("string"),
         "Category Name": F.col("p_type"),
         "Order Item Quantity": F.when(F.col("l_orderkey") % 61 == 0, "n.a.")
+        .when(F.col("l_orderkey") % 59 == 0, F.concat(whole(F.col("l_quantity")), F.lit("D")))
         .otherwise(whole(F.col("l_quantity"))),
         "Order Item Discount Rate": F.format_string("%.2f", F.col("l_discount")),
         "Product Price": F.format_string("%.2f", F.col("l_extendedprice")),

@@ -9,7 +9,11 @@ from checks.registry import query
 from haulmetrics.functions.hashing import stable_fraction
 from haulmetrics.functions.numeric import round_even
 from haulmetrics.plans import analytics, report, split
-from haulmetrics.schema import (FEATURE_COLUMNS, SPLIT_FEATURES, SPLIT_IDS, SPLIT_TARGETS)
+from haulmetrics.schema import (DISTANCE_LABELS, FEATURE_COLUMNS, SPLIT_FEATURES, SPLIT_IDS,
+                                SPLIT_TARGETS)
+from haulmetrics.sources.json_pages import explode_rates
+
+_MODEL = [*SPLIT_IDS, *SPLIT_FEATURES, *SPLIT_TARGETS]
 
 
 def _featured(body: str) -> str:
@@ -53,10 +57,14 @@ def region_route(spark, sf):
                     ["avg_route_efficiency_score", "delay_rate", "avg_distance_km"])
 
 
-@query("t01_ordered_results", _featured(_REGION_ROUTE + """
-ORDER BY destination_region, distance_category"""))
+@query("t01_ordered_results", _featured(f"""
+SELECT destination_region, distance_category, row_number() OVER
+  (ORDER BY destination_region NULLS FIRST, distance_category NULLS FIRST) AS position
+FROM ({_REGION_ROUTE})"""))
 def ordered_results(spark, sf):
-    return region_route(spark, sf)
+    """The place at which each row comes out."""
+    return report.with_position(analytics.region_route(stages.featured(spark, sf))).select(
+        "destination_region", "distance_category", "position")
 
 
 @query("w01_rolling_delay", _featured(f"""
@@ -144,9 +152,13 @@ def carrier_table(spark, sf):
     return report.carrier_table(stages.featured(spark, sf))
 
 
-@query("t03_ordered_by_aggregate", _featured(_CARRIER_TABLE))
+@query("t03_ordered_by_aggregate", _featured(f"""
+SELECT carrier, row_number() OVER (ORDER BY on_time_rate, carrier) AS position
+FROM ({_CARRIER_TABLE})"""))
 def ordered_by_aggregate(spark, sf):
-    return report.carrier_table(stages.featured(spark, sf))
+    """The place at which each row comes out."""
+    return report.with_position(report.carrier_table(stages.featured(spark, sf))).select(
+        "carrier", "position")
 
 
 @query("a13_region_table", _featured(f"""
@@ -161,18 +173,20 @@ SELECT o.label AS distance_category, o.position, g.avg_delay
 FROM (VALUES ('Local', 1), ('Regional', 2), ('Long-Haul', 3), ('International', 4))
   AS o(label, position)
 LEFT JOIN (SELECT distance_category, {S.r('avg(delivery_delay)', 2)} AS avg_delay FROM featured
-           WHERE {{}} GROUP BY 1) g ON o.label = g.distance_category"""
+           GROUP BY 1) g ON o.label = g.distance_category"""
 
 
-@query("a14_delay_by_distance_ordered", _featured(_ALIGNED.format("true")))
+@query("a14_delay_by_distance_ordered", _featured(_ALIGNED))
 def delay_by_distance_ordered(spark, sf):
     return report.delay_by_distance_ordered(stages.featured(spark, sf))
 
 
-@query("j10_fixed_label_order", _featured(_ALIGNED.format("distance_km > 500")))
+@query("j10_fixed_label_order", _featured(_ALIGNED.replace(
+    "('International', 4))", "('International', 4), ('Orbital', 5))")))
 def fixed_label_order(spark, sf):
-    """The Local label has no rows here and must survive with a null."""
-    return report.delay_by_distance_ordered(stages.featured(spark, sf).where("distance_km > 500"))
+    """The last label has no rows and must survive with a null."""
+    return report.delay_by_distance_ordered(stages.featured(spark, sf),
+                                            [*DISTANCE_LABELS, "Orbital"])
 
 
 @query("t04_top_categories", _featured("""
@@ -196,9 +210,11 @@ def top_warehouses(spark, sf):
     return report.top_with_rest(counts, "origin_warehouse_id", "orders")
 
 
-@query("t06_first_rows")
+@query("t06_first_rows", S.with_(S.SPLIT, f"""
+SELECT * REPLACE (strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date)
+FROM (SELECT {S.columns(_MODEL)} FROM train ORDER BY order_id LIMIT 5)"""))
 def first_rows(spark, sf):
-    return stages.train(spark, sf).limit(5)
+    return stages.train(spark, sf).orderBy("order_id").limit(5)
 
 
 @query("a16_carrier_exploration", S.with_(S.SPLIT, f"""
@@ -253,12 +269,18 @@ def correlations(spark, sf):
 
 
 @query("a20_delay_histogram", S.with_(S.SPLIT, """
-SELECT (least(floor((delivery_delay - lo) / ((hi - lo) / 40e0)), 39) + 1)::INTEGER AS bin,
-  count(*) AS orders
-FROM train, (SELECT min(delivery_delay)::DOUBLE AS lo, max(delivery_delay)::DOUBLE AS hi FROM train)
-GROUP BY 1"""))
+SELECT b.bin, {0} AS low, {1} AS high, coalesce(c.orders, 0) AS orders
+FROM (SELECT unnest(range(1, 41))::INTEGER AS bin) b
+CROSS JOIN (SELECT min(delivery_delay)::DOUBLE AS lo, max(delivery_delay)::DOUBLE AS hi FROM train)
+LEFT JOIN (
+  SELECT (least(floor((delivery_delay - lo) / ((hi - lo) / 40e0)), 39) + 1)::INTEGER AS bin,
+    count(*) AS orders
+  FROM train,
+    (SELECT min(delivery_delay)::DOUBLE AS lo, max(delivery_delay)::DOUBLE AS hi FROM train)
+  GROUP BY 1) c ON b.bin = c.bin""".format(
+    S.r("lo + (b.bin - 1) * ((hi - lo) / 40e0)", 6), S.r("lo + b.bin * ((hi - lo) / 40e0)", 6))))
 def delay_histogram(spark, sf):
-    return report.histogram(stages.train(spark, sf))
+    return _rounded(report.histogram(stages.train(spark, sf)), ["low", "high"])
 
 
 _COVERED = ["shipping_cost", "weight_kg", "distance_km", "promised_delivery_days",
@@ -312,9 +334,12 @@ def summary(spark, sf):
     return report.summary_rows(stages.featured(spark, sf))
 
 
-@query("a23_summary_documents")
+@query("a23_summary_documents", S.with_(S.SPLIT, f"""
+SELECT *, '{",".join(SPLIT_TARGETS)}' AS targets FROM ({_SUMMARY})"""))
 def summary_documents(spark, sf):
-    return report.summary_documents(report.summary_rows(stages.featured(spark, sf)))
+    documents = report.summary_documents(report.summary_rows(stages.featured(spark, sf)))
+    return explode_rates(documents.drop("label"), "document", "label", "value",
+                         keep=("section", "targets"))
 
 
 # --- split --------------------------------------------------------------------
@@ -335,9 +360,6 @@ def train_test(spark, sf):
             .unionByName(test.select("order_id", F.lit("test").alias("split"))))
 
 
-_MODEL = [*SPLIT_IDS, *SPLIT_FEATURES, *SPLIT_TARGETS]
-
-
 @query("m03_modelling_table", S.with_(S.SPLIT, f"""
 SELECT * REPLACE (strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date)
 FROM (SELECT {S.columns(_MODEL)} FROM marked)"""))

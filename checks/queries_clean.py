@@ -114,9 +114,9 @@ def valid_coordinates(spark, sf):
 
 
 @query("p24_converted_types", S.with_(S.RAW, f"""
-SELECT order_id, trunc(quantity)::INTEGER AS quantity,
-  {S.r('actual_delivery_days')}::INTEGER AS actual_delivery_days,
-  trunc(promised_delivery_days)::INTEGER AS promised_delivery_days,
+SELECT order_id, trunc(quantity)::BIGINT AS quantity,
+  {S.r('actual_delivery_days')}::BIGINT AS actual_delivery_days,
+  trunc(promised_delivery_days)::BIGINT AS promised_delivery_days,
   {S.r('unit_price', 2)} AS unit_price, {S.r('shipping_cost', 2)} AS shipping_cost
 FROM shipments_raw"""))
 def converted_types(spark, sf):

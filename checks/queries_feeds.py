@@ -33,7 +33,7 @@ def absent_as_null(spark, sf):
 
 _ID_SHOWN = ["order_id", "order_date", "product_category", "unit_price", "quantity"]
 _DIGITS = r"'ORD-' || regexp_replace(order_id, '\D', '', 'g')"
-_NUMBERED = f"'ORD-' || lpad({S.content_number(ORDER_COLUMNS)}::VARCHAR, 7, '0')"
+_NUMBERED = f"'ORD-' || printf('%07d', {S.content_number(ORDER_COLUMNS)})"
 
 
 def _with_ids(ids: str, expression: str) -> str:
@@ -319,16 +319,16 @@ def great_circle(spark, sf):
                                            marketplace.distance().alias("distance_km"))
 
 
-_MAPPED_SHOWN = [c for c in ORDER_COLUMNS
-                 if c not in ("destination_latitude", "destination_longitude")]
+_POINT = ["destination_latitude", "destination_longitude"]
 
 
 @query("p10_marketplace_mapping", S.with_(S.MAPPED, f"""
-SELECT {S.columns(_MAPPED_SHOWN)} FROM (SELECT * REPLACE (
-  strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date, quantity::INTEGER AS quantity)
-  FROM mapped)"""))
+SELECT {S.columns(ORDER_COLUMNS)} FROM (SELECT * REPLACE (
+  strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date, quantity::INTEGER AS quantity,
+  {", ".join(f"{S.r(c, 6)} AS {c}" for c in _POINT)}) FROM mapped)"""))
 def marketplace_mapping(spark, sf):
-    return marketplace.map_to_schema(stages.joined(spark, sf)).select(*_MAPPED_SHOWN)
+    rows = marketplace.map_to_schema(stages.joined(spark, sf)).select(*ORDER_COLUMNS)
+    return rows.withColumns({c: round_even(c, 6) for c in _POINT})
 
 
 @query("w10_repeat_buyers", S.with_(S.MAPPED, """
@@ -380,9 +380,11 @@ def page(spark, sf):
     return page_slice(text, page=3, by=S.EVENT_COLUMNS)
 
 
-@query("t07_seeded_sample")
+@query("t07_seeded_sample", S.with_(S.MAPPED, f"""
+SELECT order_id, carrier, order_status FROM mapped
+ORDER BY {S.draw('sample')}, order_id LIMIT 500"""))
 def seeded_sample(spark, sf):
-    return report.hash_sample(stages.mapped(spark, sf), "order_id", 60_000).select(
+    return report.hash_sample(stages.mapped(spark, sf), "order_id", 500).select(
         "order_id", "carrier", "order_status")
 
 
@@ -402,14 +404,8 @@ def carrier_milestone_rate(spark, sf):
     return report.carrier_event_rate(marketplace.milestone_events(stages.mapped(spark, sf)))
 
 
-@query("j09_late_counts_all_carriers", S.with_(S.MILESTONED, """
-SELECT c.carrier, coalesce(l.late, 0) AS late
-FROM (SELECT DISTINCT carrier FROM milestones) c
-LEFT JOIN (SELECT carrier, count(*) AS late FROM milestones WHERE delay_reason ILIKE '%late%'
-           AND carrier < 'Seller-8' GROUP BY 1) l ON c.carrier = l.carrier"""))
+@query("j09_late_counts_all_carriers", S.with_(S.EVENTS, """
+SELECT carrier, count(*) FILTER (event_type = 'DELAYED') AS late FROM clean_events GROUP BY 1"""))
 def late_counts_all_carriers(spark, sf):
-    events = marketplace.milestone_events(stages.mapped(spark, sf))
-    late = report.late_counts(events).where("carrier < 'Seller-8'")
-    carriers = events.select("carrier").distinct()
-    return carriers.join(late, "carrier", "left").select(
-        "carrier", F.coalesce("late", F.lit(0)).alias("late"))
+    """Carriers without a late event are reported with 0."""
+    return report.late_counts_all(stages.events(spark, sf))

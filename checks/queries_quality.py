@@ -71,11 +71,11 @@ def mean_between(spark, sf):
         "rule", "success", "observed_value")
 
 
-@query("q07_suite_from_json", _suite_sql(quality.ORDER_SUITE[1:]))
+@query("q07_suite_from_json", _suite_sql(quality.ORDER_SUITE))
 def suite_from_json(spark, sf):
-    """The suite written as JSON, read back and run: one pass, without uniqueness."""
-    suite = quality.suite_from_json(quality.suite_to_json(quality.ORDER_SUITE))
-    return quality.compile_rules(stages.featured(spark, sf), suite[1:]).select(*_SHOWN)
+    """The suite stored as an expectation suite, read back and run."""
+    suite = quality.suite_from_expectations(quality.suite_to_expectations(quality.ORDER_SUITE))
+    return quality.compile_rules(stages.featured(spark, sf), suite).select(*_SHOWN)
 
 
 @query("q08_validate", _suite_sql(quality.ORDER_SUITE))
@@ -92,10 +92,18 @@ SELECT (SELECT count(*) FROM featured) AS dataset_rows, 37 AS dataset_columns,
   count(*) AS total_expectations, count(*) FILTER (success) AS passed,
   count(*) FILTER (NOT success) AS failed,
   {S.r('100 * count(*) FILTER (success) / count(*)', 2)} AS success_rate_pct,
-  bool_and(success) AS overall_success FROM checks"""))
+  bool_and(success) AS overall_success,
+  coalesce(string_agg(rule || ' ' || unexpected_count, ', ' ORDER BY rule)
+           FILTER (NOT success), '') AS failed_rules FROM checks"""))
 def report(spark, sf):
     df = stages.featured(spark, sf)
-    return quality.report(quality.validate(df), len(df.columns)).drop("failed_expectations")
+    summary = quality.report(quality.validate(df), len(df.columns))
+    failed = F.from_json("failed_expectations",
+                         "array<struct<kind:string,column:string,unexpected_count:bigint>>")
+    named = F.transform(failed, lambda x: F.concat(x["column"], F.lit(":"), x["kind"], F.lit(" "),
+                                                   x["unexpected_count"]))
+    return summary.withColumn("failed_rules", F.array_join(F.array_sort(named), ", ")) \
+        .drop("failed_expectations")
 
 
 @query("q10_pass_rate_gate", S.with_(_REPORT, f"""

@@ -6,19 +6,18 @@ from pyspark.sql import functions as F
 
 from checks import fixture, sql as S, stages
 from checks.registry import query
+from haulmetrics.functions.dates import parse_timestamp
+from haulmetrics.functions.numeric import to_number
 from haulmetrics.plans import analytics, quality, report
-from haulmetrics.schema import MARKET_DATES
+from haulmetrics.schema import MARKET_DATES, ORDER_COLUMNS
 from haulmetrics.session import new_path
 from haulmetrics.sources import csv, json_pages, tables
 
-SCANNED = ["order_id", "order_date", "product_category", "quantity", "unit_price", "distance_km",
-           "shipping_mode", "actual_delivery_days", "delay_reason"]
-
-
 @query("s01_csv_scan", S.with_(S.RAW, f"""
-SELECT {S.columns(SCANNED)} FROM shipments_raw WHERE source_system = 'dataco'"""))
+SELECT {S.columns(ORDER_COLUMNS)} FROM shipments_raw WHERE source_system = 'dataco'"""))
 def csv_scan(spark, sf):
-    return csv.read_order_feed(spark, stages.order_csv(spark, sf, "dataco")).select(*SCANNED)
+    """The file holds the columns in another order, and others besides."""
+    return csv.read_order_feed(spark, stages.order_csv(spark, sf, "dataco"))
 
 
 @query("s02_optional_second_feed", S.with_(S.RAW, """
@@ -56,29 +55,53 @@ def csv_dates(spark, sf):
     return orders.select("order_id", *MARKET_DATES)
 
 
-@query("s05_seven_tables", S.with_(S.MARKET, """
-SELECT 'orders' AS name, count(*) AS n, count(order_delivered_customer_date) AS known FROM m_orders
-UNION ALL SELECT 'items', count(*), count(price) FROM m_items
-UNION ALL SELECT 'products', count(*), count(product_weight_g) FROM m_products
-UNION ALL SELECT 'customers', count(*), count(customer_city) FROM m_customers
-UNION ALL SELECT 'sellers', count(*), count(seller_state) FROM m_sellers
-UNION ALL SELECT 'geolocation', count(*), count(geolocation_lat) FROM m_geolocation
-UNION ALL SELECT 'translation', count(*), count(product_category_name_english)
-FROM m_translation"""))
+_CONTENTS = {
+    "orders": (["order_id", "customer_id", "order_status"], []),
+    "items": (["order_id", "order_item_id", "product_id", "seller_id"], ["price", "freight_value"]),
+    "products": (["product_id", "product_category_name"], ["product_weight_g"]),
+    "customers": (["customer_id", "customer_unique_id", "customer_zip_code_prefix",
+                   "customer_city", "customer_state"], []),
+    "sellers": (["seller_id", "seller_zip_code_prefix", "seller_state"], []),
+    "geolocation": (["geolocation_zip_code_prefix"], ["geolocation_lat", "geolocation_lng"]),
+    "translation": (["product_category_name", "product_category_name_english"], []),
+}
+_SEVEN = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS name, concat_ws('|', {', '.join(f'{c}::VARCHAR' for c in texts)}) AS texts,"
+    f" {f'{numbers[0]}::DOUBLE' if numbers else 'NULL::DOUBLE'} AS number1,"
+    f" {f'{numbers[1]}::DOUBLE' if numbers[1:] else 'NULL::DOUBLE'} AS number2 FROM m_{name}"
+    for name, (texts, numbers) in _CONTENTS.items())
+
+
+@query("s05_seven_tables", S.with_(S.MARKET, _SEVEN))
 def seven_tables(spark, sf):
+    """All rows of all tables: the text columns joined, and the numbers."""
     read = csv.read_market(spark, stages.market_csv(spark, sf))
-    shown = {"orders": "order_delivered_customer_date", "items": "price",
-             "products": "product_weight_g", "customers": "customer_city",
-             "sellers": "seller_state", "geolocation": "geolocation_lat",
-             "translation": "product_category_name_english"}
-    return csv.stack([read[name].agg(F.lit(name).alias("name"), F.count("*").alias("n"),
-                                     F.count(column).alias("known"))
-                      for name, column in shown.items()])
 
+    def shown(name, texts, numbers):
+        columns = [F.col(c).cast("double") for c in numbers] + [F.lit(None).cast("double")] * 2
+        return read[name].select(
+            F.lit(name).alias("name"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in texts]).alias("texts"),
+            columns[0].alias("number1"), columns[1].alias("number2"))
+
+    return csv.stack([shown(name, *columns) for name, columns in _CONTENTS.items()])
+
+
+def _column_type(position: int, name: str) -> str:
+    text = f"{name}::VARCHAR"
+    kind = f"""CASE WHEN count({name}) = 0 THEN 'text'
+      WHEN bool_and(regexp_full_match({text}, '[+-]?[0-9]+')) THEN 'integer'
+      WHEN bool_and(regexp_full_match({text}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?'))
+        THEN 'number' ELSE 'text' END"""
+    return (f"SELECT {position} AS position, '{name}' AS \"column\", {kind} AS type,"
+            f" count({name}) AS known FROM shipments_raw WHERE source_system = 'dataco'")
 
-@query("s06_inspect_columns")
+
+@query("s06_inspect_columns", S.with_(S.RAW, "\nUNION ALL ".join(
+    _column_type(i, c) for i, c in enumerate(ORDER_COLUMNS, start=1))))
 def inspect_columns(spark, sf):
-    return tables.describe_columns(csv.read_csv(spark, stages.order_csv(spark, sf, "dataco")))
+    feed = csv.read_csv(spark, stages.order_csv(spark, sf, "dataco"), ORDER_COLUMNS)
+    return tables.describe_columns(feed)
 
 
 _EVENTS_SQL = S.with_(S.EVENTS, f"SELECT {S.EVENT_TEXT} FROM clean_events")
@@ -99,30 +122,40 @@ def json_object_rows(spark, sf):
     return json_pages.explode_rates(events, "props", keep=("event_id",))
 
 
-@query("s09_sql_scan", S.with_(S.RAW, """
-SELECT order_id, order_date, carrier, quantity, source_system FROM shipments_raw"""))
+_RAW_ALL = S.with_(S.RAW, f"SELECT {S.columns([*ORDER_COLUMNS, 'source_system'])} FROM shipments_raw")
+
+
+@query("s09_sql_scan", _RAW_ALL)
 def sql_scan(spark, sf):
-    return tables.scan_sql(stages.raw(spark, sf), "orders_raw").select(
-        "order_id", "order_date", "carrier", "quantity", "source_system")
+    return tables.scan_sql(stages.raw(spark, sf), "orders_raw")
 
 
-@query("s10_parquet_scan", """
-SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_quantity >= 25""")
+@query("s10_parquet_scan", "SELECT * FROM supplier")
 def parquet_scan(spark, sf):
-    return (tables.read_parquet(spark, f"{sf}/lineitem.parquet")
-            .where("l_quantity >= 25").select("l_orderkey", "l_partkey", "l_quantity"))
+    return tables.read_parquet(spark, f"{sf}/supplier.parquet")
 
 
-@query("s11_raw_tables", S.with_(S.RAW + "," + S.TRACK, """
-SELECT 'orders_raw' AS name, count(*) AS n FROM shipments_raw
-UNION ALL SELECT 'shipping_events_raw', count(*) FROM tracking_raw"""))
+@query("s11_raw_tables", S.with_(S.RAW + "," + S.EVENTS, f"""
+SELECT 'orders_raw' AS name, concat_ws('|', order_id, carrier, delay_reason) AS content,
+  quantity::DOUBLE AS number FROM shipments_raw
+UNION ALL SELECT 'shipping_events_raw', concat_ws('|', {S.columns(S.EVENT_COLUMNS)}), NULL
+FROM tracking_raw
+UNION ALL SELECT 'carrier_performance_raw', carrier,
+  {S.r("1 - count(*) FILTER (event_type = 'DELAYED') / count(*)", 4)}
+FROM clean_events GROUP BY carrier"""))
 def raw_tables(spark, sf):
-    stored = {"haulmetrics_orders_raw": stages.raw(spark, sf),
-              "haulmetrics_shipping_events_raw": stages.tracking(spark, sf)}
-    names = tables.store_raw(stored, new_path(spark, "raw_tables"))
-    return csv.stack([spark.table(name).agg(
-        F.lit(name.removeprefix("haulmetrics_")).alias("name"), F.count("*").alias("n"))
-        for name in names])
+    """All three raw tables, replaced and read back from the catalog."""
+    rates = report.carrier_event_rate(stages.events(spark, sf))
+    shown = {"orders_raw": (stages.raw(spark, sf), ["order_id", "carrier", "delay_reason"],
+                            F.col("quantity").cast("double")),
+             "shipping_events_raw": (stages.tracking(spark, sf), S.EVENT_COLUMNS,
+                                     F.lit(None).cast("double")),
+             "carrier_performance_raw": (rates, ["carrier"], F.col("on_time_rate"))}
+    tables.store_raw({f"haulmetrics_{name}": df for name, (df, *_) in shown.items()},
+                     new_path(spark, "raw_tables"))
+    return csv.stack([spark.table(f"haulmetrics_{name}").select(
+        F.lit(name).alias("name"), F.concat_ws("|", *texts).alias("content"),
+        number.alias("number")) for name, (_, texts, number) in shown.items()])
 
 
 @query("s12_parquet_sink", _EVENTS_SQL)
@@ -154,14 +187,22 @@ def analytics_sink(spark, sf):
                       for name, path in paths.items()])
 
 
-@query("s15_csv_sink", S.with_(S.CLEAN, """
-SELECT order_id, product_category, carrier, quantity::VARCHAR AS quantity, order_status
-FROM clean"""))
+_SUNK = ["order_id", "product_category", "carrier", "order_status", "delay_reason",
+         "destination_city", "source_system"]
+_SUNK_NUMBERS = ["quantity", "unit_price", "distance_km", "weight_kg", "shipping_cost",
+                 "actual_delivery_days"]
+
+
+@query("s15_csv_sink", S.with_(S.CLEAN, f"""
+SELECT {S.columns(_SUNK)}, {", ".join(f"{c}::DOUBLE AS {c}" for c in _SUNK_NUMBERS)},
+  strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date FROM clean"""))
 def csv_sink(spark, sf):
+    """Text, numbers and times written as CSV and read back."""
     path = new_path(spark, "csv_sink")
     tables.write_csv(stages.clean(spark, sf), path)
-    return csv.read_csv(spark, path).select("order_id", "product_category", "carrier", "quantity",
-                                            "order_status")
+    rows = csv.read_csv(spark, path, [*_SUNK, *_SUNK_NUMBERS, "order_date"], check_quotes=True)
+    return rows.withColumns({**{c: to_number(c) for c in _SUNK_NUMBERS},
+                             "order_date": parse_timestamp("order_date")})
 
 
 @query("s16_json_sink", S.with_(S.FEATURED, """
@@ -179,9 +220,8 @@ def json_sink(spark, sf):
 @query("s17_materialise_and_count", S.with_(S.FEATURED, "SELECT count(*) AS n FROM featured"))
 def materialise_and_count(spark, sf):
     kept, n = tables.cached(stages.featured(spark, sf).select("order_id"))
-    out = kept.agg(F.count("*").alias("n"))
     kept.unpersist()
-    return out
+    return spark.createDataFrame([(n,)], "n bigint")
 
 
 @query("s18_json_document", S.with_(S.FEATURED, """

@@ -29,8 +29,8 @@ STAR = """
 star AS (
   SELECT l.*, o.*, c.*, p.*, s.*, cn.n_nationkey AS c_nk, cn.n_name AS c_nation,
          cr.r_name AS c_region, sn.n_nationkey AS s_nk, sr.r_name AS s_region,
-         l_orderkey || lpad(l_linenumber::VARCHAR, 2, '0') || lpad(l_partkey::VARCHAR, 6, '0')
-           || lpad(l_suppkey::VARCHAR, 4, '0') || strftime(l_shipdate, '%Y%m%d') AS line_key,
+         l_orderkey || lpad(l_linenumber::VARCHAR, 2, '0') || lpad(l_partkey::VARCHAR, 12, '0')
+           || lpad(l_suppkey::VARCHAR, 12, '0') || strftime(l_shipdate, '%Y%m%d') AS line_key,
          ((date_diff('day', o_orderdate::DATE, l_shipdate::DATE) % 15) + 15) % 15 AS taken,
          CASE left(o_orderpriority, 1) WHEN '1' THEN 0 WHEN '2' THEN 2 WHEN '3' THEN 5
               WHEN '4' THEN 8 ELSE 12 END AS promised
@@ -133,10 +133,10 @@ filled AS (
     ON l.product_category = d.product_category),
 clean AS (
   SELECT * REPLACE (
-    trunc(quantity)::INTEGER AS quantity,
-    {r('coalesce(actual_delivery_days, (SELECT median(actual_delivery_days) FROM filled))')}::INTEGER
+    trunc(quantity)::BIGINT AS quantity,
+    {r('coalesce(actual_delivery_days, (SELECT median(actual_delivery_days) FROM filled))')}::BIGINT
       AS actual_delivery_days,
-    trunc(promised_delivery_days)::INTEGER AS promised_delivery_days,
+    trunc(promised_delivery_days)::BIGINT AS promised_delivery_days,
     {r('unit_price', 2)} AS unit_price,
     {r('coalesce(shipping_cost, (SELECT median(shipping_cost) FROM filled))', 2)} AS shipping_cost,
     coalesce(distance_km, (SELECT median(distance_km) FROM filled)) AS distance_km,
@@ -316,8 +316,8 @@ _MDIST = r(haversine("geolocation_lat_sell", "geolocation_lng_sell", "geolocatio
 
 MAPPED = JOINED + f""",
 mapped AS (
-  SELECT 'ORD-OLIST-' || lpad(row_number() OVER (ORDER BY md5(concat_ws('|', order_id,
-           order_item_id, product_id, seller_id)), price, freight_value)::VARCHAR, 7, '0')
+  SELECT 'ORD-OLIST-' || printf('%07d', row_number() OVER (ORDER BY md5(concat_ws('|', order_id,
+           order_item_id, product_id, seller_id)), price, freight_value))
            AS order_id,
     order_purchase_timestamp AS order_date, 'CUST-' || left(customer_id, 12) AS customer_id,
     CASE WHEN count(*) OVER (PARTITION BY customer_unique_id) > 1 THEN 'Returning' ELSE 'New' END
@@ -362,7 +362,8 @@ _VENDOR_VALUES = {
     "customer_segment": "c_mktsegment",
     "product_id": "l_partkey::VARCHAR",
     "product_category": "p_type",
-    "quantity": "CASE WHEN l_orderkey % 61 = 0 THEN 'n.a.' ELSE l_quantity::INTEGER::VARCHAR END",
+    "quantity": ("CASE WHEN l_orderkey % 61 = 0 THEN 'n.a.' WHEN l_orderkey % 59 = 0 THEN"
+                 " l_quantity::INTEGER || 'D' ELSE l_quantity::INTEGER::VARCHAR END"),
     "unit_price": "printf('%.2f', l_extendedprice)",
     "discount_rate": "printf('%.2f', l_discount)",
     "origin_warehouse_id": "CASE WHEN l_suppkey % 9 <> 0 THEN s_name END",

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from checks import fixture
 from haulmetrics.plans import marketplace, mapping
@@ -44,7 +45,7 @@ def raw(spark, sf) -> DataFrame:
 
 
 def survivors(spark, sf) -> DataFrame:
-    return _once(spark, sf, "located", lambda: located(raw(spark, sf)))
+    return _once(spark, sf, "located", lambda: located(raw(spark, sf))[0])
 
 
 def clean(spark, sf) -> DataFrame:
@@ -95,12 +96,18 @@ def vendor_mapped(spark, sf, ids: str = "unique") -> DataFrame:
                   lambda: mapping.map_to_schema(vendor(spark, sf, ids)))
 
 
+def _shuffled(df: DataFrame, extra: str) -> DataFrame:
+    """As real exports: columns in another order and one that nobody asked for."""
+    names = df.columns
+    return df.select(*names[1::2], F.lit('a "quoted", note').alias(extra), *names[::2])
+
+
 def order_csv(spark, sf, source: str) -> str:
     """Folder with one canonical feed as CSV."""
     def build() -> str:
         path = new_path(spark, f"csv_{source}")
         feed = raw(spark, sf).where(f"source_system = '{source}'").drop("source_system")
-        write_csv(feed, path)
+        write_csv(_shuffled(feed, "customer_note"), path)
         return path
     return _once(spark, sf, f"csv_{source}", build)
 
@@ -110,6 +117,6 @@ def market_csv(spark, sf) -> str:
     def build() -> str:
         path = new_path(spark, "market_csv")
         for name, df in fixture.market_text(spark, sf).items():
-            write_csv(df, f"{path}/{name}")
+            write_csv(_shuffled(df, "shipping_limit_date"), f"{path}/{name}")
         return path
     return _once(spark, sf, "market_csv", build)

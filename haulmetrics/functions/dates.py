@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from haulmetrics.functions.numeric import as_col
 
 # Tried in order after the ISO forms; month-first as in US exports.
-EXTRA_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy", "yyyy/MM/dd")
+EXTRA_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy", "M/d/yyyy H:mm:ss", "yyyy/M/d", "yyyy/M/d H:mm",
+                 "yyyy/M/d H:mm:ss", "yyyyMMdd", "d-M-yyyy", "d-M-yyyy H:mm:ss", "d.M.yyyy")
 
 
 def parse_timestamp(value: Column | str, formats: Sequence[str] = EXTRA_FORMATS) -> Column:
-    """Text to timestamp; text in none of the formats becomes null."""
+    """Text to timestamp; text in none of the formats becomes null.
+
+    A time without a date is no timestamp: it would take the day of the run.
+    """
     text = as_col(value).cast("string")
+    text = F.when(~text.rlike(r"^\s*T?[0-9]{1,2}(:|\s*$)"), text)
     return F.coalesce(F.try_to_timestamp(text),
                       *[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats])
 

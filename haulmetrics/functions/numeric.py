@@ -25,10 +25,14 @@ def round_even(value: Column | str, digits: int = 0) -> Column:
     return F.rint(as_col(value).cast("double") * scale) / scale + F.lit(0.0)
 
 
+#: Decimal numbers and infinity; type suffixes and hexadecimal forms are not numbers.
+NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$|^\s*[+-]?inf(inity)?\s*$"
+
+
 def to_number(value: Column | str) -> Column:
     """Text to double; bad text and NaN become null."""
-    parsed = as_col(value).try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+    text = as_col(value).cast("string")
+    return F.when(text.rlike(NUMBER), as_col(value).try_cast("double"))
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:

@@ -10,6 +10,20 @@ from pyspark.sql import functions as F
 BLOCK = 100_000
 
 
+def _marked(df: DataFrame, by: Sequence[str] | None) -> DataFrame:
+    """Add the md5 of the ``by`` columns and its bucket."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by or df.columns]
+    return (df.withColumn("__digest", F.md5(F.concat_ws("|", *text)))
+            .withColumn("__bucket", F.substring("__digest", 1, 4)))
+
+
+def _offsets(marked: DataFrame) -> DataFrame:
+    """Rows of each bucket and in the buckets before it; at most 65,536 rows."""
+    sizes = marked.groupBy("__bucket").agg(F.count("*").alias("__size"))
+    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("__offset", F.coalesce(F.sum("__size").over(before), F.lit(0)))
+
+
 def number_rows(df: DataFrame, by: Sequence[str] | None = None, *, start: int = 1,
                 name: str = "row_number", block: int = BLOCK) -> DataFrame:
     """Add 1, 2, 3 ... in order of the md5 of the ``by`` columns (default: all).
@@ -21,20 +35,18 @@ def number_rows(df: DataFrame, by: Sequence[str] | None = None, *, start: int =
     ranks are taken inside a bucket. Exact copies are folded into one counted
     row first and unfolded in blocks, so many copies do not meet in one task.
     """
-    columns = df.columns
-    by = list(by or columns)
-    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by]
-    folded = (df.groupBy(*columns).agg(F.count("*").alias("__copies"))
-              .withColumn("__digest", F.md5(F.concat_ws("|", *text)))
-              .withColumn("__bucket", F.substring("__digest", 1, 4)))
-    sizes = folded.groupBy("__bucket").agg(F.sum("__copies").alias("__size"))
-    # At most 65,536 rows, one per bucket.
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__bucket", F.coalesce(F.sum("__size").over(before), F.lit(0))
-                           .alias("__offset"))
+    marked = _marked(df, by)
+    return _numbered(marked, _offsets(marked), df.columns, start, name, block)
+
+
+def _numbered(marked: DataFrame, offsets: DataFrame, columns: list[str], start: int, name: str,
+              block: int) -> DataFrame:
+    """Number the rows of the buckets in ``offsets``."""
+    folded = (marked.groupBy(*columns, "__digest", "__bucket")
+              .agg(F.count("*").alias("__copies")))
     inside = (Window.partitionBy("__bucket").orderBy("__digest", *columns)
               .rowsBetween(Window.unboundedPreceding, -1))
-    placed = (folded.join(F.broadcast(offsets), "__bucket")
+    placed = (folded.join(F.broadcast(offsets.drop("__size")), "__bucket")
               .withColumn("__first", F.col("__offset")
                           + F.coalesce(F.sum("__copies").over(inside), F.lit(0)) + F.lit(start)))
 
@@ -57,4 +69,11 @@ def page_slice(df: DataFrame, page: int, page_size: int = 500,
                by: Sequence[str] | None = None) -> DataFrame:
     """Rows of one 1-based page under the content order of ``number_rows``."""
     first = (page - 1) * page_size + 1
-    return number_rows(df, by).where(F.col("row_number").between(first, first + page_size - 1))
+    last = first + page_size - 1
+    marked = _marked(df, by)
+    # the counts of the buckets tell which ones hold the page; no other row is shuffled
+    offsets = _offsets(marked).where((F.col("__offset") < last)
+                                     & (F.col("__offset") + F.col("__size") >= first))
+    near = marked.join(F.broadcast(offsets.select("__bucket")), "__bucket", "left_semi")
+    return (_numbered(near, offsets, df.columns, 1, "row_number", BLOCK)
+            .where(F.col("row_number").between(first, last)))

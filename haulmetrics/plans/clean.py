@@ -7,10 +7,12 @@ filters before it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from haulmetrics.functions.dates import parse_timestamp
+from haulmetrics.functions.dates import EXTRA_FORMATS, parse_timestamp
 from haulmetrics.functions.numeric import binned, round_even
 from haulmetrics.functions.text import strip, title
 from haulmetrics.operators.impute import fill_from_groups
@@ -36,9 +38,9 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in doubles})
 
 
-def parse_order_dates(df: DataFrame) -> DataFrame:
+def parse_order_dates(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS) -> DataFrame:
     """Text dates to timestamps; malformed ones become null."""
-    return df.withColumn("order_date", parse_timestamp("order_date"))
+    return df.withColumn("order_date", parse_timestamp("order_date", formats))
 
 
 def standardise_text(df: DataFrame) -> DataFrame:
@@ -69,56 +71,79 @@ def valid_coordinates() -> Column:
 
 def convert_types(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        "quantity": F.col("quantity").cast("int"),
-        "actual_delivery_days": round_even("actual_delivery_days").cast("int"),
-        "promised_delivery_days": F.col("promised_delivery_days").cast("int"),
+        "quantity": F.col("quantity").try_cast("bigint"),
+        "actual_delivery_days": round_even("actual_delivery_days").try_cast("bigint"),
+        "promised_delivery_days": F.col("promised_delivery_days").try_cast("bigint"),
         "unit_price": round_even("unit_price", 2),
         "shipping_cost": round_even("shipping_cost", 2),
     })
 
 
-def standardised(df: DataFrame) -> DataFrame:
-    """Everything before the coordinate filter, duplicates and bad dates gone."""
-    dated = parse_order_dates(nan_to_null(drop_copies(df))).where("order_date is not null")
-    return default_category(infer_shipping_mode(standardise_text(dated)))
-
-
-def located(df: DataFrame) -> DataFrame:
-    """Rows that survive cleaning, before imputation, as a staged table."""
-    return stage(standardised(df).where(valid_coordinates()), "located")
+def folded(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS) -> DataFrame:
+    """Distinct rows with the number of their copies, dates parsed.
 
+    This is the only shuffle of whole rows: copies are folded before it.
+    """
+    rows = nan_to_null(df.groupBy(*df.columns).agg(F.count("*").alias("__copies")))
+    return parse_order_dates(rows, formats)
 
-def clean_orders(df: DataFrame, **options) -> DataFrame:
-    """The cleaned orders table."""
-    return convert_types(fill_from_groups(located(df), IMPUTED, **options))
 
+def standardised(dated: DataFrame) -> DataFrame:
+    """Text, shipping mode and category, for rows with a date."""
+    return default_category(infer_shipping_mode(standardise_text(dated)))
 
-def clean_report(df: DataFrame) -> DataFrame:
-    """One row of counters for ``clean_orders``, in a single aggregation.
 
-    Copies are folded into counted rows, so input and duplicate counts come
-    from the same shuffle that removes them.
-    """
-    folded = nan_to_null(df.groupBy(*df.columns).agg(F.count("*").alias("__copies")))
-    folded = parse_order_dates(folded)
+def counters() -> list[Column]:
+    """Aggregates over ``folded`` rows for the cleaning report."""
     dated = F.col("order_date").isNotNull()
     valid = dated & valid_coordinates()
 
     def tally(condition: Column) -> Column:
         return F.count(F.when(condition, 1))
 
-    counters = [
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("input_rows"),
-        F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicates_removed"),
+    copies = F.col("__copies")
+    found = [
+        F.coalesce(F.sum(copies), F.lit(0)).alias("input_rows"),
+        F.coalesce(F.sum(copies - 1), F.lit(0)).alias("duplicates_removed"),
         tally(~dated).alias("invalid_dates_dropped"),
         tally(dated & F.col("shipping_mode").isNull()).alias("missing_shipping_mode_before"),
         tally(dated & ~valid_coordinates()).alias("invalid_coordinates_removed"),
     ]
-    counters += [tally(valid & F.col(c).isNull()).alias(f"missing_{c}_before")
-                 for c, _ in IMPUTED]
-    counters.append(tally(valid).alias("output_rows"))
-    report = folded.agg(*counters)
-    return report.withColumn("rows_dropped_total", F.col("input_rows") - F.col("output_rows"))
+    found += [tally(valid & F.col(c).isNull()).alias(f"missing_{c}_before") for c, _ in IMPUTED]
+    return [*found, tally(valid).alias("output_rows")]
+
+
+def located(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS) -> tuple[DataFrame, DataFrame]:
+    """Rows that survive cleaning, before imputation, as a staged table, and the counters.
+
+    The counters are observed while the table is written, so nothing runs twice.
+    """
+    seen = Observation("clean")
+    rows = folded(df, formats).observe(seen, *counters()).drop("__copies")
+    table = stage(standardised(rows.where("order_date is not null")).where(valid_coordinates()),
+                  "located")
+    found = {name: int(n) for name, n in seen.get.items()}
+    found["rows_dropped_total"] = found["input_rows"] - found["output_rows"]
+    report = df.sparkSession.createDataFrame(
+        [tuple(found.values())], ", ".join(f"{name} bigint" for name in found))
+    return table, report
+
+
+def clean_with_report(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS,
+                      **options) -> tuple[DataFrame, DataFrame]:
+    """The cleaned orders table and one row of counters, from one pass over ``df``."""
+    table, report = located(df, formats)
+    return convert_types(fill_from_groups(table, IMPUTED, **options)), report
+
+
+def clean_orders(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS, **options) -> DataFrame:
+    """The cleaned orders table."""
+    return clean_with_report(df, formats, **options)[0]
+
+
+def clean_report(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS) -> DataFrame:
+    """One row of counters for ``clean_orders``."""
+    return located(df, formats)[1]
 
 
 def clean_events(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmetrics.functions.dates import parse_timestamp
+from haulmetrics.functions.dates import EXTRA_FORMATS, parse_timestamp
 from haulmetrics.functions.hashing import choice, uniform, uniform_int, uniform_real
 from haulmetrics.functions.numeric import round_even, to_number
 from haulmetrics.functions.text import digits_only, header_key
@@ -61,8 +61,8 @@ def duplicate_ids(df: DataFrame, column: str = "order_id") -> DataFrame:
     return df.agg((F.count("*") - F.count_distinct(text)).alias("duplicates"))
 
 
-def assign_order_ids(df: DataFrame) -> DataFrame:
-    """Unique ids of the form ORD-<digits>.
+def id_expression(df: DataFrame) -> tuple[Column, bool]:
+    """Unique ids of the form ORD-<digits>, and whether they need ``row_number``.
 
     Without source ids, or with any repeated one, all rows are numbered.
     Otherwise the digits of the source id are kept, and rows whose id has no
@@ -73,20 +73,27 @@ def assign_order_ids(df: DataFrame) -> DataFrame:
                    F.count(F.when(F.length(digits_only("order_id")) > 0, 1)).alias("digits")).first()
     repeated = facts["ids"] + (1 if facts["known"] < facts["total"] else 0) < facts["total"]
     if facts["known"] and not repeated and facts["digits"] == facts["total"]:
-        return df.withColumn("order_id", F.concat(F.lit("ORD-"), digits_only("order_id")))
-    numbered = number_rows(df)
+        return F.concat(F.lit("ORD-"), digits_only("order_id")), False
     if not facts["known"] or repeated:
-        return numbered.withColumn("order_id", sequence_id(F.col("row_number"))).drop("row_number")
+        return sequence_id(F.col("row_number")), True
     digits = F.coalesce(digits_only("order_id"), F.lit(""))
     kept = F.when(F.length(digits) > 0, digits).otherwise(F.col("row_number").cast("string"))
-    return numbered.withColumn("order_id", F.concat(F.lit("ORD-"), kept)).drop("row_number")
+    return F.concat(F.lit("ORD-"), kept), True
 
 
-def cycle_ids(df: DataFrame, column: str, prefix: str, modulo: int, width: int) -> DataFrame:
+def cycled(prefix: str, modulo: int, width: int) -> Column:
     """Stand-in ids cycling through ``modulo`` values by row number."""
-    numbered = number_rows(df, start=0)
-    made = F.format_string(f"{prefix}%0{width}d", F.col("row_number") % modulo)
-    return numbered.withColumn(column, made).drop("row_number")
+    return F.format_string(f"{prefix}%0{width}d", (F.col("row_number") - 1) % modulo)
+
+
+def assign_order_ids(df: DataFrame) -> DataFrame:
+    made, numbered = id_expression(df)
+    rows = number_rows(df) if numbered else df
+    return rows.withColumn("order_id", made).drop("row_number")
+
+
+def cycle_ids(df: DataFrame, column: str, prefix: str, modulo: int, width: int) -> DataFrame:
+    return number_rows(df).withColumn(column, cycled(prefix, modulo, width)).drop("row_number")
 
 
 def coerce_numbers(df: DataFrame) -> DataFrame:
@@ -144,7 +151,8 @@ def known_counts(df: DataFrame) -> dict[str, int]:
     return df.agg(*[F.count(c).alias(c) for c in df.columns]).first().asDict()
 
 
-def map_to_schema(df: DataFrame, seed: int = 42) -> DataFrame:
+def map_to_schema(df: DataFrame, seed: int = 42,
+                  formats: Sequence[str] = EXTRA_FORMATS) -> DataFrame:
     """The whole mapping. ``df`` should be a source or staged table: it is
     summarised once for ids and once for absent columns before the result is
     planned.
@@ -155,11 +163,15 @@ def map_to_schema(df: DataFrame, seed: int = 42) -> DataFrame:
     if not known["order_date"]:
         raise ValueError("no usable order date column in the source; add its header to "
                          "HEADER_ALIASES['order_date']")
-    out = assign_order_ids(canonical)
+    made, numbered = id_expression(canonical)
+    fills = {"order_id": made}
     for column, prefix, modulo, width in [("customer_id", "CUST-", 20000, 5),
                                           ("product_id", "PROD-", 500, 4)]:
         if not known[column]:
-            out = cycle_ids(out, column, prefix, modulo, width)
-    out = coerce_numbers(out).withColumn("order_date", parse_timestamp("order_date"))
+            fills[column] = cycled(prefix, modulo, width)
+    # one numbering serves all three ids
+    rows = number_rows(canonical) if numbered or len(fills) > 1 else canonical
+    out = rows.withColumns(fills).drop("row_number")
+    out = coerce_numbers(out).withColumn("order_date", parse_timestamp("order_date", formats))
     absent = {c for c, n in known.items() if n == 0}
     return default_labels(fill_absent(out, absent, seed)).select(*ORDER_COLUMNS)

@@ -37,14 +37,14 @@ def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
     would shuffle the items.
     """
     points = stage(centroids(tables["geolocation"]), "centroids")
-    joined = (tables["items"]
-              .join(tables["orders"], "order_id", "inner")
-              .join(tables["products"], "product_id", "left")
-              .join(tables["customers"], "customer_id", "left")
-              .join(tables["sellers"], "seller_id", "left")
-              .join(tables["translation"], "product_category_name", "left"))
-    joined = near_point(joined, points, "customer_zip_code_prefix", "cust")
-    return near_point(joined, points, "seller_zip_code_prefix", "sell")
+    # customers have one row per order, so they are joined before the items fan out
+    orders = near_point(tables["orders"].join(tables["customers"], "customer_id", "left"),
+                        points, "customer_zip_code_prefix", "cust")
+    sellers = near_point(tables["sellers"], points, "seller_zip_code_prefix", "sell")
+    products = tables["products"].join(tables["translation"], "product_category_name", "left")
+    return (tables["items"].join(orders, "order_id", "inner")
+            .join(products, "product_id", "left")
+            .join(sellers, "seller_id", "left"))
 
 
 def category_label() -> Column:

@@ -71,6 +71,40 @@ def suite_from_json(text: str) -> list[Rule]:
     return [Rule(**entry) for entry in json.loads(text)]
 
 
+#: Rule types of stored expectation suites, and the names of their arguments.
+EXPECTATIONS = {
+    "expect_column_values_to_be_unique": UNIQUE,
+    "expect_column_values_to_not_be_null": NOT_NULL,
+    "expect_column_values_to_be_in_set": IN_SET,
+    "expect_column_values_to_be_between": BETWEEN,
+    "expect_column_values_to_match_regex": MATCHES,
+    "expect_column_mean_to_be_between": MEAN_BETWEEN,
+}
+EXPECTATION_ARGS = {"value_set": "values", "min_value": "min", "max_value": "max",
+                    "regex": "regex"}
+
+
+def suite_from_expectations(text: str) -> list[Rule]:
+    """Rules of a stored suite: entries of ``type``, ``kwargs`` and ``severity``."""
+    rules = []
+    for entry in json.loads(text)["expectations"]:
+        args = dict(entry["kwargs"])
+        column = args.pop("column")
+        rules.append(Rule(EXPECTATIONS[entry["type"]], column,
+                          {EXPECTATION_ARGS[k]: v for k, v in args.items()},
+                          entry.get("severity", "critical")))
+    return rules
+
+
+def suite_to_expectations(suite: Sequence[Rule], name: str = "orders") -> str:
+    types = {kind: name for name, kind in EXPECTATIONS.items()}
+    names = {ours: theirs for theirs, ours in EXPECTATION_ARGS.items()}
+    return json.dumps({"name": name, "expectations": [
+        {"type": types[r.kind], "severity": r.severity,
+         "kwargs": {"column": r.column, **{names[k]: v for k, v in r.args.items()}}}
+        for r in suite]}, indent=2)
+
+
 def _count(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 

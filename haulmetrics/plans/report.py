@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmetrics.functions.dates import month_text
+from haulmetrics.functions.hashing import uniform
 from haulmetrics.functions.numeric import round_even
 from haulmetrics.functions.text import mentions
 from haulmetrics.operators.quantiles import exact_median, exact_quantiles
 from haulmetrics.operators.ranking import top_with_rest
-from haulmetrics.plans.split import class_balance, with_split
+from haulmetrics.plans.split import with_split
+from haulmetrics.plans.totals import group_totals, mean
 from haulmetrics.schema import DISTANCE_LABELS, SPLIT_FEATURES, SPLIT_TARGETS
 
 
@@ -49,53 +52,63 @@ def orders_by_month(df: DataFrame) -> DataFrame:
         F.count("order_id").alias("orders"))
 
 
+SUMMARY_SETS = ("split", "is_delayed", "carrier", "destination_region", "product_category",
+                "distance_category", "month")
+
+
 def summary_rows(df: DataFrame, **options) -> DataFrame:
-    """The whole summary as (section, label, value) rows, of any length."""
-    def part(section: str, table: DataFrame, label: Column, value: str) -> DataFrame:
-        return table.select(F.lit(section).alias("section"), label.cast("string").alias("label"),
-                            F.col(value).cast("double").alias("value"))
-
-    sizes = with_split(df).agg(
-        F.count("*").alias("total_rows"),
-        F.count(F.when(F.col("split") == "train", 1)).alias("train_rows"),
-        F.count(F.when(F.col("split") == "test", 1)).alias("test_rows"))
-    sizes = sizes.withColumn("n_features", F.lit(len(SPLIT_FEATURES)).cast("bigint"))
-    stats = delay_stats(df, **options)
-    wide = [("size", sizes), ("delivery_delay_stats", stats)]
-    parts = [part(section, t.unpivot([], t.columns, "label", "value"), F.col("label"), "value")
-             for section, t in wide]
-    parts += [
-        part("class_balance_is_delayed", class_balance(df), F.col("is_delayed"), "share"),
-        part("carrier_on_time_rate", on_time_by_carrier(df), F.col("carrier"), "on_time_rate"),
-        part("orders_by_region", counts_by(df, "destination_region"),
-             F.col("destination_region"), "orders"),
-        part("orders_by_category", counts_by(df, "product_category"),
-             F.col("product_category"), "orders"),
-        part("avg_delay_by_distance_category", delay_by_distance(df),
-             F.col("distance_category"), "avg_delay"),
-        part("monthly_order_volume", orders_by_month(df), F.col("month"), "orders"),
+    """The whole summary as (section, label, value) rows, of any length.
+
+    All sections but the delay figures come from one scan.
+    """
+    marked = with_split(df).withColumn("month", month_text("order_date"))
+    totals = group_totals(marked, [[name] for name in SUMMARY_SETS],
+                          ("is_delayed", "delivery_delay")).staged()
+
+    def part(section: str, key: str, value: Column, known: bool = True) -> DataFrame:
+        rows = totals.by(key)
+        rows = rows.where(F.col(key).isNotNull()) if known else rows
+        return rows.select(F.lit(section).alias("section"),
+                           F.col(key).cast("string").alias("label"),
+                           value.cast("double").alias("value"))
+
+    def wide(section: str, table: DataFrame) -> DataFrame:
+        table = table.select([F.col(c).cast("double") for c in table.columns])
+        return table.unpivot([], table.columns, "label", "value").select(
+            F.lit(section).alias("section"), "label", "value")
+
+    def rows_of(split: str | None) -> Column:
+        counted = F.col("rows") if split is None else F.when(F.col("split") == split, F.col("rows"))
+        return F.coalesce(F.sum(counted), F.lit(0))
+
+    sizes = totals.by("split").agg(rows_of(None).alias("total_rows"),
+                                   rows_of("train").alias("train_rows"),
+                                   rows_of("test").alias("test_rows"),
+                                   F.lit(len(SPLIT_FEATURES)).alias("n_features"))
+    known = totals.by("is_delayed").where("is_delayed is not null").agg(F.sum("rows")).scalar()
+    parts = [
+        wide("size", sizes),
+        wide("delivery_delay_stats", delay_stats(df, **options)),
+        part("class_balance_is_delayed", "is_delayed", round_even(F.col("rows") / known, 4)),
+        part("carrier_on_time_rate", "carrier", round_even(1 - mean("is_delayed"), 4)),
+        part("orders_by_region", "destination_region", F.col("rows")),
+        part("orders_by_category", "product_category", F.col("rows")),
+        part("avg_delay_by_distance_category", "distance_category",
+             round_even(mean("delivery_delay"), 3)),
+        part("monthly_order_volume", "month", F.col("orders"), known=False),
     ]
-    out = parts[0]
-    for other in parts[1:]:
-        out = out.unionByName(other)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
-def summary_documents(rows: DataFrame, labels_per_document: int = 10_000) -> DataFrame:
-    """Each section of the summary as JSON objects of label to value.
+def summary_documents(rows: DataFrame) -> DataFrame:
+    """The summary as JSON, one object of label to value for each row.
 
-    A section is one object unless it has very many labels (carriers may be
-    many); it is then dealt over several objects by label hash. The target
+    The shape does not depend on how many labels a section has. The target
     names ride along as a constant.
     """
-    # One row per section, and the sections are fixed.
-    sizes = rows.groupBy("section").agg(F.ceil(F.count("*") / labels_per_document).alias("parts"))
-    part = F.pmod(F.xxhash64("label"), F.col("parts"))
-    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "value"))))
-    return (rows.join(F.broadcast(sizes), "section")
-            .groupBy("section", (part + 1).alias("part"))
-            .agg(F.to_json(entries).alias("document"))
-            .withColumn("targets", F.lit(",".join(SPLIT_TARGETS))))
+    entry = F.create_map(F.coalesce("label", F.lit("")), F.col("value"))
+    return rows.select("section", "label", F.to_json(entry).alias("document"),
+                       F.lit(",".join(SPLIT_TARGETS)).alias("targets"))
 
 
 # --- dashboard -----------------------------------------------------------
@@ -142,8 +155,9 @@ def align_labels(table: DataFrame, label: str, labels: Sequence[str]) -> DataFra
     return order.join(table, label, "left").orderBy("position")
 
 
-def delay_by_distance_ordered(df: DataFrame) -> DataFrame:
-    return align_labels(delay_by_distance(df, 2), "distance_category", DISTANCE_LABELS)
+def delay_by_distance_ordered(df: DataFrame,
+                              labels: Sequence[str] = DISTANCE_LABELS) -> DataFrame:
+    return align_labels(delay_by_distance(df, 2), "distance_category", labels)
 
 
 def top_categories(df: DataFrame, k: int = 7) -> DataFrame:
@@ -172,6 +186,13 @@ def late_counts(events: DataFrame) -> DataFrame:
     return late.groupBy("carrier").agg(F.count("*").alias("late"))
 
 
+def late_counts_all(events: DataFrame) -> DataFrame:
+    """Late events of every carrier, 0 for those without any."""
+    carriers = events.where("carrier is not null").select("carrier").distinct()
+    return carriers.join(late_counts(events), "carrier", "left").select(
+        "carrier", F.coalesce("late", F.lit(0)).alias("late"))
+
+
 def carrier_event_rate(events: DataFrame) -> DataFrame:
     """1 - late events / events, per carrier; counts events, not orders."""
     late = F.sum(late_event(has_delayed_events(events)).cast("bigint"))
@@ -233,19 +254,30 @@ def correlations(df: DataFrame, target: str = "delivery_delay",
 
 
 def histogram(df: DataFrame, column: str = "delivery_delay", bins: int = 40) -> DataFrame:
-    """Equal-width counts; the last bin includes the maximum. Empty bins have no row.
+    """Equal-width counts with the edges of each bin, empty ones included.
 
-    A constant column spreads its bins over one unit around the constant.
+    The last bin includes the maximum. A constant column spreads its bins over
+    one unit around the constant; a column without values has no bins.
     """
-    ends = df.agg(F.struct(F.min(column).cast("double").alias("low"),
-                           F.max(column).cast("double").alias("high"))).scalar()
-    low, high = ends["low"], ends["high"]
-    pad = F.when(low == high, 0.5).otherwise(0.0)
+    ends = df.agg(F.min(column).cast("double").alias("__low"),
+                  F.max(column).cast("double").alias("__high"))
+    pad = F.when(F.col("__low") == F.col("__high"), 0.5).otherwise(0.0)
+    ends = ends.where("__low is not null").select(
+        (F.col("__low") - pad).alias("__low"),
+        ((F.col("__high") - F.col("__low") + 2 * pad) / bins).alias("__width"))
+    one = df.agg(F.struct(F.min(column).cast("double").alias("low"),
+                          F.max(column).cast("double").alias("high"))).scalar()
+    margin = F.when(one["low"] == one["high"], 0.5).otherwise(0.0)
     value = F.col(column).cast("double")
-    index = F.least(F.floor((value - low + pad) / ((high - low + 2 * pad) / bins)),
-                    F.lit(bins - 1))
-    return (df.where(F.col(column).isNotNull())
-            .groupBy((index + 1).cast("int").alias("bin")).agg(F.count("*").alias("orders")))
+    index = F.least(F.floor((value - one["low"] + margin)
+                            / ((one["high"] - one["low"] + 2 * margin) / bins)), F.lit(bins - 1))
+    counts = (df.where(F.col(column).isNotNull())
+              .groupBy((index + 1).cast("int").alias("bin")).agg(F.count("*").alias("orders")))
+    frame = ends.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "*")
+    return frame.join(counts, "bin", "left").select(
+        "bin", (F.col("__low") + (F.col("bin") - 1) * F.col("__width")).alias("low"),
+        (F.col("__low") + F.col("bin") * F.col("__width")).alias("high"),
+        F.coalesce("orders", F.lit(0)).cast("bigint").alias("orders"))
 
 
 def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -256,18 +288,22 @@ def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """At most ``n`` rows, the same ones on every run.
+    """At most ``n`` rows, the same ones on every run: those of the lowest draws.
 
-    A hash threshold set a little above the wanted share discards most rows
-    before the sort; the count makes the threshold exact enough that the sort
-    sees n rows and some spare.
+    A threshold set a little above the wanted share discards most rows before
+    the sort, which then sees n rows and some spare.
     """
     total = df.count()
-    ranked = df.withColumn("__h", F.xxhash64(F.col(key), F.lit(seed)))
+    ranked = df.withColumn("__draw", uniform(key, "sample", seed))
     if total > 4 * n:
         spare = n + 10 * int(n ** 0.5) + 1_000
-        limit = int(-2 ** 63 + min(1.0, spare / total) * 2 ** 64) - 1
-        near = ranked.where(F.col("__h") <= F.lit(min(limit, 2 ** 63 - 1)))
+        near = ranked.where(F.col("__draw") <= min(1.0, spare / total))
         if near.limit(n).count() == n:
             ranked = near
-    return ranked.orderBy("__h", key).limit(n).drop("__h")
+    return ranked.orderBy("__draw", key).limit(n).drop("__draw")
+
+
+def with_position(ordered: DataFrame) -> DataFrame:
+    """Add the place of each row of a small ordered result, from 1."""
+    numbered = ordered.withColumn("__at", F.monotonically_increasing_id())
+    return numbered.withColumn("position", F.row_number().over(Window.orderBy("__at"))).drop("__at")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from haulmetrics.functions.hashing import stable_fraction
 from haulmetrics.functions.numeric import round_even, share
+from haulmetrics.sources.tables import write_csv
 from haulmetrics.schema import SPLIT_FEATURES, SPLIT_IDS, SPLIT_TARGETS
 
 TEST_SHARE = 0.20
@@ -57,5 +58,5 @@ def write_split(df: DataFrame, folder: str) -> DataFrame:
     marked = with_split(modelling_table(df))
     marked.write.mode("overwrite").partitionBy("split").parquet(f"{folder}/split")
     stored = df.sparkSession.read.parquet(f"{folder}/split")
-    stored.drop("split").write.mode("overwrite").option("header", True).csv(f"{folder}/flat_csv")
+    write_csv(stored.drop("split"), f"{folder}/flat_csv")
     return stored

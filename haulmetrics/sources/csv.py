@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from haulmetrics.functions.dates import parse_timestamp
 from haulmetrics.functions.numeric import to_number
@@ -22,24 +21,43 @@ def known_text(column: str) -> Column:
     return F.when(~F.col(column).isin(MISSING_TOKENS), F.col(column))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             keep_tokens: Iterable[str] = ("delay_reason",)) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: Iterable[str] | None = None,
+             keep_tokens: Iterable[str] = ("delay_reason",), *, optional: Iterable[str] = (),
+             multi_line: bool = False, check_quotes: bool = False) -> DataFrame:
     """CSV with header as text columns, missing-value words mapped to null.
 
-    Undecodable bytes become the replacement character. Without ``schema``
-    the header names the columns (all text; nothing is inferred). In the
-    ``keep_tokens`` columns a word such as "None" is a value.
+    Columns are found by their header, whatever their order; others are left
+    out where ``columns`` are given. One of them that the file lacks is an
+    error, or null if it is ``optional``. Undecodable bytes become the
+    replacement character. In the ``keep_tokens`` columns a word such as
+    "None" is a value.
+
+    Quoted line breaks need ``multi_line``, and then a file is one task.
+    Without it a file is split, and ``check_quotes`` scans it once more for
+    records that such a break would tear apart, which is an error.
     """
-    reader = spark.read.option("header", True).option("encoding", "UTF-8")
-    reader = reader.option("multiLine", False).option("escape", '"')
-    df = reader.schema(schema).csv(path) if schema else reader.csv(path)
+    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+    if check_quotes and not multi_line and not torn_records(spark, path).isEmpty():
+        raise ValueError(f"{path}: quoted line breaks, read it with multi_line=True")
+    df = reader.option("multiLine", multi_line).csv(path)
+    wanted, optional = list(columns or df.columns), set(optional)
+    if lacking := [c for c in wanted if c not in df.columns and c not in optional]:
+        raise ValueError(f"{path} has no column {', '.join(lacking)}")
     keep = set(keep_tokens)
-    return df.select(*[(F.col(f"`{c}`") if c in keep else known_text(f"`{c}`")).alias(c)
-                       for c in df.columns])
+
+    def text(name: str) -> Column:
+        if name not in df.columns:
+            return F.lit(None).cast("string")
+        quoted = "`" + name.replace("`", "``") + "`"
+        return F.col(quoted) if name in keep else known_text(quoted)
+
+    return df.select(*[text(c).alias(c) for c in wanted])
 
 
-def text_schema(columns: Iterable[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, STRING) for c in columns])
+def torn_records(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with an odd number of quotes: a quoted value goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(path).where(quotes % 2 == 1)
 
 
 def labels_to_text(df: DataFrame) -> DataFrame:
@@ -69,8 +87,8 @@ def extract_orders(spark: SparkSession, path: str, second_path: str | None = Non
 
 
 def read_order_feed(spark: SparkSession, path: str) -> DataFrame:
-    """One canonical feed with its explicit schema."""
-    return typed_orders(read_csv(spark, path, text_schema(ORDER_COLUMNS)))
+    """One canonical feed: its 25 columns by name."""
+    return typed_orders(read_csv(spark, path, ORDER_COLUMNS, check_quotes=True))
 
 
 def typed_market(df: DataFrame) -> DataFrame:
@@ -81,7 +99,8 @@ def typed_market(df: DataFrame) -> DataFrame:
 
 
 def read_market_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return typed_market(read_csv(spark, f"{folder}/{name}", MARKET_TABLES[name]))
+    return typed_market(read_csv(spark, f"{folder}/{name}", MARKET_TABLES[name].names,
+                                 check_quotes=True))
 
 
 def read_market(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

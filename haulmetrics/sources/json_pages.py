@@ -18,17 +18,21 @@ def read_pages(spark: SparkSession, path: str, document_per_file: bool = False)
 
 
 def page_totals(pages: DataFrame) -> DataFrame:
-    """Rows received and rows announced, one row."""
+    """Rows received and announced, pages received and announced, one row."""
     return pages.agg(F.coalesce(F.sum(F.size("results")), F.lit(0)).alias("received"),
-                     F.coalesce(F.max("total_rows"), F.lit(0)).alias("announced"))
+                     F.coalesce(F.max("total_rows"), F.lit(0)).alias("announced"),
+                     F.count_distinct("page").alias("pages"),
+                     F.coalesce(F.max(F.ceil(F.col("total_rows") / F.col("page_size"))), F.lit(0))
+                     .alias("announced_pages"))
 
 
 def extract_events(spark: SparkSession, path: str, document_per_file: bool = False) -> DataFrame:
     """All events of all pages; an error when pages are missing."""
     pages = read_pages(spark, path, document_per_file)
     totals = page_totals(pages).first()
-    if totals["received"] < totals["announced"]:
-        raise ValueError(f"received {totals['received']} of {totals['announced']} events")
+    if totals["received"] < totals["announced"] or totals["pages"] < totals["announced_pages"]:
+        raise ValueError(f"received {totals['received']} of {totals['announced']} events, "
+                         f"{totals['pages']} of {totals['announced_pages']} pages")
     return pages.select(F.inline("results"))
 
 

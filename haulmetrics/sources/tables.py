@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulmetrics.functions.dates import parse_timestamp
+from haulmetrics.functions.numeric import to_number
 from haulmetrics.session import configure
 
 
@@ -29,10 +31,33 @@ def read_first(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     raise FileNotFoundError(", ".join(paths))
 
 
+INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+
+
 def describe_columns(df: DataFrame) -> DataFrame:
-    """Name, type and position of each column."""
-    rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes, start=1)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
+    """Name, position, known values and type of each column.
+
+    A text column has the narrowest of integer, number, timestamp and text
+    that all its known values fit, found in one aggregation; others keep the
+    type that they have.
+    """
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+
+    def fits(name: str) -> list[Column]:
+        c = F.col(name)
+        tests = [c.rlike(INTEGER), to_number(c).isNotNull(), parse_timestamp(c).isNotNull()]
+        return [F.count(F.when(t, 1)) for t in tests]
+
+    measures = [F.array(F.count(c), *(fits(c) if c in texts else [])) for c in df.columns]
+    counts = df.agg(F.array(*measures)).first()[0]  # a few numbers a column
+    rows = []
+    for i, ((name, kind), found) in enumerate(zip(df.dtypes, counts), start=1):
+        if name in texts:
+            kind = next((label for label, n in zip(("integer", "number", "timestamp"), found[1:])
+                         if n == found[0] > 0), "text")
+        rows.append((i, name, kind, found[0]))
+    return df.sparkSession.createDataFrame(
+        rows, "position int, column string, type string, known bigint")
 
 
 def to_microseconds(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -207,3 +207,75 @@ def test_work_folder_needs_a_shared_path_on_a_cluster():
         work_dir(Session())
     Session.conf["spark.checkpoint.dir"] = "hdfs://shared/dir/"
     assert work_dir(Session()) == "hdfs://shared/dir/haulmetrics-a"
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "items.csv").write_text(
+        "seller_id,extra,price,order_id\ns,x,58.90,o\n")
+    got = csv.read_csv(spark, str(tmp_path / "items.csv"), ["order_id", "price", "weight"],
+                       optional=["weight"]).first()
+    assert got.asDict() == {"order_id": "o", "price": "58.90", "weight": None}
+    with pytest.raises(ValueError, match="weight"):
+        csv.read_csv(spark, str(tmp_path / "items.csv"), ["order_id", "weight"])
+
+
+def test_order_feed_in_another_order(spark, tmp_path):
+    names = list(reversed(ORDER_COLUMNS))
+    row = ["7" if n == "quantity" else "ORD-1" if n == "order_id" else "" for n in names]
+    (tmp_path / "f.csv").write_text(",".join(["note", *names]) + "\n" + ",".join(["n", *row]) + "\n")
+    got = csv.read_order_feed(spark, str(tmp_path / "f.csv")).first()
+    assert (got["order_id"], got["quantity"]) == ("ORD-1", 7.0)
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = str(tmp_path / "f.csv")
+    (tmp_path / "f.csv").write_text('a,b\n"one\ntwo",x\n"say ""hi""",y\n')
+    assert csv.torn_records(spark, path).count() == 2
+    with pytest.raises(ValueError, match="multi_line"):
+        csv.read_csv(spark, path, check_quotes=True)
+    got = {tuple(r) for r in csv.read_csv(spark, path, multi_line=True).collect()}
+    assert got == {("one\ntwo", "x"), ('say "hi"', "y")}
+
+
+def test_a_repeated_page_hides_no_missing_one(spark, tmp_path):
+    event = dict(order_id="1", carrier="c", event_timestamp="t", event_type="e", location="l",
+                 delay_reason="d")
+    for name, page in (("a", 1), ("b", 1)):
+        (tmp_path / f"{name}.json").write_text(json.dumps(
+            dict(page=page, page_size=2, total_rows=4, results=[event] * 2)))
+    with pytest.raises(ValueError, match="1 of 2 pages"):
+        json_pages.extract_events(spark, str(tmp_path), document_per_file=True)
+
+
+def test_split_csv_keeps_blanks_and_quotes(spark, tmp_path):
+    df = spark.createDataFrame([(' a "q" ', 1.5)], "t string, n double")
+    tables.write_csv(df, str(tmp_path / "c"))
+    assert tuple(csv.read_csv(spark, str(tmp_path / "c")).first()) == (' a "q" ', "1.5")
+
+
+def test_nanosecond_parquet(spark, tmp_path):
+    pa = pytest.importorskip("pyarrow")
+    import pyarrow.parquet as pq
+    stamp = pa.array([1_700_000_000_123_456_789, None], pa.timestamp("ns"))
+    pq.write_table(pa.table({"ts": stamp}), tmp_path / "n.parquet", version="2.6")
+    got = tables.to_microseconds(tables.read_parquet(spark, str(tmp_path / "n.parquet")), ["ts"])
+    shown = got.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).collect()
+    assert [r[0] for r in shown] == ["2023-11-14 22:13:20.123456", None]
+
+
+def test_column_types_are_inferred(spark):
+    df = spark.createDataFrame(
+        [("1", "1.5", "2024-01-31", "x", None, 3), ("-2", "2e3", "1/31/2018", "1", None, 4)],
+        "i string, n string, t string, s string, e string, k int")
+    got = {r["column"]: (r["type"], r["known"]) for r in tables.describe_columns(df).collect()}
+    assert got == {"i": ("integer", 2), "n": ("number", 2), "t": ("timestamp", 2), "s": ("text", 2),
+                   "e": ("text", 0), "k": ("int", 2)}
+
+
+def test_ids_share_one_numbering(spark):
+    rows = stage(spark.createDataFrame([(f"1/{d}/2018",) for d in range(1, 9)], "`Order Date` string"),
+                 "dates")
+    out = mapping.map_to_schema(rows)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Window") <= 4
+    got = sorted((r["order_id"], r["customer_id"], r["product_id"]) for r in out.collect())
+    assert got == [(f"ORD-{i:07d}", f"CUST-{i - 1:05d}", f"PROD-{i - 1:04d}") for i in range(1, 9)]

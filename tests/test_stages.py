@@ -1,5 +1,6 @@
 """Stage semantics on small hand-made frames: missing values, edges, ties, degenerate groups."""
 
+import json
 import math
 import statistics
 from datetime import datetime
@@ -9,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulmetrics.functions.dates import parse_timestamp, whole_days
-from haulmetrics.functions.hashing import stable_fraction
+from haulmetrics.functions.hashing import stable_fraction, uniform
 from haulmetrics.functions.numeric import binned, haversine_km, ratio, round_even, to_number
 from haulmetrics.functions.text import strip
 from haulmetrics.operators.attach import attach
 from haulmetrics.plans import analytics, clean, features, quality, report, split
+from haulmetrics.plans.totals import group_totals, mean
 from haulmetrics.schema import (DISTANCE_BINS, FEATURE_COLUMNS, LABEL_COLUMNS, ORDER_COLUMNS,
                                 SIZE_BINS)
 from haulmetrics.session import stage
@@ -344,7 +346,10 @@ def test_histogram_edges_and_constant(spark):
     got = {r["bin"]: r["orders"] for r in report.histogram(df).collect()}
     assert got == {**{b: 1 for b in range(1, 40)}, 40: 2}
     flat = spark.createDataFrame([(3.0,), (3.0,)], "delivery_delay double")
-    assert [tuple(r) for r in report.histogram(flat).collect()] == [(21, 2)]
+    bins = sorted(tuple(r) for r in report.histogram(flat).collect())
+    assert len(bins) == 40 and bins[20] == (21, 3.0, 3.025, 2)
+    assert bins[0][1] == 2.5 and bins[-1][2] == 3.5 and sum(b[3] for b in bins) == 2
+    assert report.histogram(flat.limit(0)).collect() == []
 
 
 def test_late_events_by_type_or_reason(spark):
@@ -360,29 +365,96 @@ def test_late_events_by_type_or_reason(spark):
 
 def test_summary_documents(spark):
     rows = report.summary_rows(stage(featured(spark, {}, dict(carrier="B")), "f"))
-    docs = {r["section"]: r["document"] for r in report.summary_documents(rows).collect()}
-    assert docs["carrier_on_time_rate"] == '{"A":0.0,"B":0.0}'
-    assert docs["size"].startswith('{"n_features":22.0,"test_rows":')
+    docs = report.summary_documents(rows).collect()
+    assert len(docs) == rows.count()
+    rates = {r["document"] for r in docs if r["section"] == "carrier_on_time_rate"}
+    assert rates == {'{"A":0.0}', '{"B":0.0}'}
+    assert '{"total_rows":2.0}' in {r["document"] for r in docs if r["section"] == "size"}
 
 
-def test_long_sections_become_several_documents(spark):
-    rows = spark.range(95).select(F.lit("s").alias("section"),
-                                  F.format_string("l%03d", "id").alias("label"),
-                                  F.col("id").cast("double").alias("value"))
-    docs = report.summary_documents(rows, labels_per_document=20)
-    assert docs.count() == 5
-    flat = docs.select(F.explode(F.from_json("document", "map<string,double>")))
-    assert sorted(tuple(r) for r in flat.collect()) == [(f"l{i:03d}", float(i)) for i in range(95)]
+def test_summary_of_no_rows(spark):
+    rows = report.summary_rows(stage(featured(spark, {}).limit(0), "f"))
+    found = {(r["section"], r["label"]): r["value"] for r in rows.collect()}
+    assert found["size", "total_rows"] == 0 and found["size", "n_features"] > 0
 
 
 def test_sample_size_and_threshold_path(spark):
     df = spark.range(9_000).withColumn("id", F.col("id").cast("string"))
     small = sorted(r[0] for r in report.hash_sample(df, "id", 50).collect())
-    plain = sorted(r[0] for r in df.orderBy(F.xxhash64("id", F.lit(42)), "id").limit(50).collect())
-    assert small == plain
+    draw = uniform("id", "sample", 42)
+    assert small == sorted(r[0] for r in df.orderBy(draw, "id").limit(50).collect())
     assert report.hash_sample(df, "id", 10_000).count() == 9_000
 
 
+def test_positions_follow_the_order(spark):
+    df = spark.range(50).repartition(5).orderBy(F.col("id").desc())
+    assert all(r["position"] == 50 - r["id"] for r in report.with_position(df).collect())
+
+
+def test_group_totals_match_plain_groups(spark):
+    rows = [("a", "x", 1, 2.0), ("a", "y", 0, None), (None, "x", None, 4.0), ("b", None, 1, -1.0)]
+    df = spark.createDataFrame(rows, "carrier string, region string, is_delayed int, d double") \
+        .withColumn("order_id", F.lit("o"))
+    totals = group_totals(df, [["carrier", "region"], ["region"], ["carrier"]], ["is_delayed", "d"])
+    for keys in (["carrier", "region"], ["region"], ["carrier"]):
+        got = totals.by(*keys).select(*keys, "rows", mean("is_delayed"), mean("d"))
+        want = df.groupBy(*keys).agg(F.count("*"), F.avg("is_delayed"), F.avg("d"))
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def test_cleaning_shuffles_whole_rows_once(spark):
+    """Duplicates, counters and the table come from one exchange of all columns."""
+    rows = clean.folded(raw(spark, {}, {}))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    table, report_ = clean.clean_with_report(raw(spark, {}, {}, dict(order_date="bad")))
+    assert (table.count(), report_.first()["input_rows"]) == (2, 3)
+
+
+def test_values_beyond_32_bits(spark):
+    row = clean.clean_orders(raw(spark, dict(quantity=3e9, promised_delivery_days=4e9))).first()
+    assert (row["quantity"], row["promised_delivery_days"]) == (3_000_000_000, 4_000_000_000)
+
+
+@pytest.mark.parametrize("text", ["12D", "5f", "0x1p3", "1_000", "", "abc", "1e", "NaN"])
+def test_text_that_is_no_number(spark, text):
+    assert one(spark, to_number(F.lit(text))) is None
+
+
+@pytest.mark.parametrize("text,want", [
+    ("1/31/2018 22:56:30", "2018-01-31 22:56:30"), ("2018/01/31 10:00", "2018-01-31 10:00:00"),
+    ("20180131", "2018-01-31 00:00:00"), ("31-01-2018", "2018-01-31 00:00:00"),
+    ("12:30", None), ("T12:30", None), ("2025-13-45", None)])
+def test_more_dates(spark, text, want):
+    got = one(spark, parse_timestamp(F.lit(text)))
+    assert (got and str(got)) == want
+
+
+def test_formats_of_a_feed(spark):
+    df = raw(spark, dict(order_date="31|12|2024"))
+    assert clean.clean_orders(df).count() == 0
+    assert clean.clean_orders(df, formats=["d|M|yyyy"]).count() == 1
+
+
+def test_report_lists_what_failed(spark):
+    df = featured(spark, {}, dict(unit_price=20_000.0), dict(unit_price=-1.0))
+    row = quality.report(quality.validate(df), len(df.columns)).first()
+    failed = json.loads(row["failed_expectations"])
+    assert (row["failed"], row["overall_success"]) == (len(failed), False)
+    prices = [f for f in failed if f["column"] == "unit_price"]
+    assert [(f["kind"], f["unexpected_count"]) for f in prices] == [("between", 2)]
+
+
+def test_stored_expectation_suite(spark):
+    text = quality.suite_to_expectations(quality.ORDER_SUITE)
+    assert quality.suite_from_expectations(text) == quality.ORDER_SUITE
+    one_rule = json.dumps({"expectations": [{
+        "id": "x", "meta": {}, "severity": "warning", "type": "expect_column_values_to_be_between",
+        "kwargs": {"column": "quantity", "min_value": 1, "max_value": 9}}]})
+    assert quality.suite_from_expectations(one_rule) == [
+        quality.Rule("between", "quantity", {"min": 1, "max": 9}, "warning")]
+
+
 def test_features_do_not_depend_on_the_join_path(spark, monkeypatch):
     """Broadcast statistics, salted hot keys and shuffled cold keys give the same rows."""
     changes = [dict(order_date=f"2024-0{1 + i % 3}-0{1 + i % 5}", quantity=float(1 + i % 7),
