@@ -25,7 +25,9 @@ a key are ordered by a hash of the text. An empty table gives no shards.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -43,21 +45,28 @@ SHARD_IDS = 1 << 20
 LEAST_COUNT = 16
 LEAST_GAIN = 100
 PAIRS_PER_ROUND = 4096
-CACHE_WORDS = 400_000
+CACHE_WORDS = 120_000
 SEPARATOR = "\x1e"
 WORDS_AT_ONCE = 64
+#: Letters up to U+00FF, each its own normal form, and ASCII signs behind them but no
+#: apostrophe, which may start a piece that holds letters.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-^`{-~]*)")
 
 
 class WordEncoder:
     """Ids of texts as little-endian 32-bit numbers."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.mark = self._ids(SEPARATOR)
-        self.tail = {c: self._ids(c).tobytes() for c in ".,"}
+        # the vocabulary's spelling of the bytes of letters beyond ASCII
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = {ord(c): spell.pre_tokenize_str(c)[0][0]
+                         for c in map(chr, range(0xC0, 0x100)) if c.isalpha()}
 
     def _ids(self, text: str) -> np.ndarray:
         # a batch of one is encoded without offsets, which is faster
@@ -69,33 +78,26 @@ class WordEncoder:
         if any(s in text or s.lower() in lower for s in self.special):
             return self._ids(text).tobytes()
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        cache = self.cache
-        missing = {w for w in words if w not in cache}
-        if missing:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-                missing = set(words)
-            self._add(missing)
-        return b"".join([cache[w] for w in words])
+        found = list(map(self.cache.get, words))
+        if None in found:
+            if len(self.cache) > CACHE_WORDS:  # the words in use come back from the older ones
+                self.older, self.cache = self.cache, {}
+                found = [None] * len(words)
+            self._add({w for w, ids in zip(words, found) if ids is None})
+            found = map(self.cache.__getitem__, words)
+        return b"".join(found)
 
     def _add(self, words: set[str]) -> None:
-        cache, model = self.cache, self.tokenizer.model
-        cache[""] = b""
-        rest = []
+        cache, older, rest = self.cache, self.older, []
         for word in words:
-            core = word.lower() if word.isascii() else word
-            tail = b""
-            if core[-1:] in self.tail and core[:-1].isalpha() and core.isascii():
-                tail, core = self.tail[core[-1]], core[:-1]
-            if core.isascii() and core.isalpha():  # one piece of letters, nothing to normalise
-                ids = cache.get(core)
-                if ids is None:
-                    ids = cache[core] = np.array([t.id for t in model.tokenize(core)],
-                                                 "<u4").tobytes()
-                cache[word] = ids + tail
-            elif SEPARATOR in word or len(self.mark) != 1:
+            ids = older.get(word)
+            if ids is not None:
+                cache[word] = ids
+            elif m := PLAIN.fullmatch(word):
+                cache[word] = self._letters(m[1].lower()) + self._tail(m[2])
+            elif SEPARATOR in word or len(self.mark) != 1 or not word:
                 cache[word] = self._ids(word).tobytes()
-            elif word:
+            else:
                 rest.append(word)
         for start in range(0, len(rest), WORDS_AT_ONCE):
             part = rest[start:start + WORDS_AT_ONCE]
@@ -104,6 +106,25 @@ class WordEncoder:
             for word, a, b in zip(part, cuts, cuts[1:]):
                 cache[word] = ids[a + 1:b].tobytes()
 
+    def _letters(self, core: str) -> bytes:
+        """A run of lower-case letters is one piece, which the model takes as it is."""
+        ids = self.cache.get(core)
+        if ids is None:
+            ids = self.older.get(core)
+        if ids is None:
+            piece = core if core.isascii() else core.translate(self.spelling)
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+        self.cache[core] = ids
+        return ids
+
+    def _tail(self, tail: str) -> bytes:
+        if not tail:
+            return b""
+        ids = self.cache.get(tail)
+        if ids is None:
+            ids = self.cache[tail] = self._ids(tail).tobytes()
+        return ids
+
 
 @cache
 def encoder(path: str) -> WordEncoder:
@@ -120,29 +141,31 @@ class Grammar:
     @classmethod
     def build(cls, ids: np.ndarray, least_count: int = LEAST_COUNT,
               least_gain: int = LEAST_GAIN) -> Grammar:
-        seq = ids.astype(np.int64)
-        terminals = int(seq.max(initial=0)) + 1
-        left, right, symbols = [], [], terminals
+        # dense numbers for the ids that occur, so that a pair mostly fits 32 bits
+        present = np.zeros(int(ids.max(initial=0)) + 1, bool)
+        present[ids] = True
+        alphabet = np.flatnonzero(present)
+        seq = (np.cumsum(present, dtype=np.int32) - 1)[ids]
+        left, right, symbols = [], [], len(alphabet)
         while len(seq) > 1:
-            keys = seq[:-1] * symbols + seq[1:]
-            pairs, counts = np.unique(keys, return_counts=True)
-            often = np.flatnonzero(counts >= least_count)
-            often = often[np.argsort(-counts[often], kind="stable")][:PAIRS_PER_ROUND]
-            if not len(often):
+            kind = np.uint32 if symbols < 1 << 16 else np.uint64
+            keys = seq[:-1].astype(kind) * kind(symbols) + seq[1:].astype(kind)
+            pairs, counts = _frequent(keys, least_count)
+            if not len(pairs):
                 break
-            a, b = pairs[often] // symbols, pairs[often] % symbols
+            often = np.argsort(-counts, kind="stable")[:PAIRS_PER_ROUND]
+            a, b = np.divmod(pairs[often], kind(symbols))
             chosen = cls._disjoint(a, b)
-            a, b = a[chosen], b[chosen]
-            order = np.lexsort((b, a))
-            a, b = a[order], b[order]
-            number = np.full(symbols, False), np.full(symbols, False)
-            number[0][a], number[1][b] = True, True
-            at = np.flatnonzero(number[0][seq[:-1]] & number[1][seq[1:]])
-            wanted = a * symbols + b
+            wanted = np.sort(pairs[often][chosen])
+            a, b = np.divmod(wanted, kind(symbols))
+            is_left, is_right = np.full(symbols, False), np.full(symbols, False)
+            is_left[a], is_right[b] = True, True
+            at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
             rule = np.minimum(np.searchsorted(wanted, keys[at]), len(wanted) - 1)
             hit = wanted[rule] == keys[at]
             at, rule = at[hit], rule[hit]
-            if a[0] == b[0]:  # runs of one symbol: every other place
+            repeated = a[0] == b[0]
+            if repeated:  # runs of one symbol: every other place
                 fresh = np.concatenate([[True], np.diff(at) > 1])
                 first = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
                 even = (np.arange(len(at)) - first) % 2 == 0
@@ -150,19 +173,21 @@ class Grammar:
             seq[at] = symbols + rule
             keep = np.ones(len(seq), bool)
             keep[at + 1] = False
-            gain, before = len(at), len(seq)
+            enough = len(at) * least_gain >= len(seq)
             seq = seq[keep]
-            left.append(a)
-            right.append(b)
-            symbols += len(a)
-            if gain * least_gain < before and a[0] != b[0]:
+            left.append(a.astype(np.int64))
+            right.append(b.astype(np.int64))
+            symbols += len(wanted)
+            if not enough and not repeated:
                 break
         none = np.zeros(0, np.int64)
-        left, right = (np.concatenate([none, *x]) for x in (left, right))
-        lengths = np.ones(symbols, np.int64)
-        for i in range(len(left)):
-            lengths[terminals + i] = lengths[left[i]] + lengths[right[i]]
-        return cls(terminals, left, right, lengths[terminals:], seq)
+        terminals = len(present)
+        name = np.concatenate([alphabet, terminals + np.arange(symbols - len(alphabet))])
+        left, right = (name[np.concatenate([none, *x])] for x in (left, right))
+        lengths = [1] * terminals
+        for x, y in zip(left.tolist(), right.tolist()):
+            lengths.append(lengths[x] + lengths[y])
+        return cls(terminals, left, right, np.array(lengths[terminals:], np.int64), name[seq])
 
     @staticmethod
     def _disjoint(a: np.ndarray, b: np.ndarray) -> list[int]:
@@ -177,9 +202,24 @@ class Grammar:
                 chosen.append(i)
         return chosen
 
+    def _dictionary(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What each symbol expands to: ids, where a symbol's begin, and how many."""
+        lengths = np.concatenate([np.ones(self.terminals, np.int64), self.lengths])
+        ids = np.arange(self.terminals, self.terminals + len(self.left))
+        while (rule := ids >= self.terminals).any():
+            width = np.where(rule, 2, 1)
+            place = np.cumsum(width) - width
+            wider = np.empty(int(width.sum()), np.int64)
+            wider[place[~rule]] = ids[~rule]
+            which = ids[rule] - self.terminals
+            wider[place[rule]], wider[place[rule] + 1] = self.left[which], self.right[which]
+            ids = wider
+        ids = np.concatenate([np.arange(self.terminals), ids])
+        return ids, np.cumsum(lengths) - lengths, lengths
+
     def expand(self, start: int = 0, stop: int | None = None) -> np.ndarray:
         """The ids from ``start`` to ``stop``; other symbols are not expanded."""
-        lengths = np.concatenate([np.ones(self.terminals, np.int64), self.lengths])
+        ids, begins, lengths = self._dictionary()
         ends = np.cumsum(lengths[self.sequence])
         total = int(ends[-1]) if len(ends) else 0
         stop = total if stop is None else min(stop, total)
@@ -187,20 +227,21 @@ class Grammar:
             return np.zeros(0, np.int64)
         first = int(np.searchsorted(ends, start, side="right"))
         last = int(np.searchsorted(ends, stop, side="left"))
-        ids = self.sequence[first:last + 1]
-        begin = int(ends[first] - lengths[self.sequence[first]])
-        while True:
-            rule = ids >= self.terminals
-            if not rule.any():
-                break
-            width = np.where(rule, 2, 1)
-            place = np.cumsum(width) - width
-            wider = np.empty(int(width.sum()), np.int64)
-            wider[place[~rule]] = ids[~rule]
-            which = ids[rule] - self.terminals
-            wider[place[rule]], wider[place[rule] + 1] = self.left[which], self.right[which]
-            ids = wider
-        return ids[start - begin:stop - begin]
+        symbols, ends = self.sequence[first:last + 1], ends[first:last + 1]
+        width = lengths[symbols]
+        offset = int(ends[0] - width[0])
+        at = np.repeat(begins[symbols] - (ends - width - offset), width)
+        at += np.arange(len(at))
+        return ids[at][start - offset:stop - offset]
+
+
+def _frequent(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values that occur ``least`` times or more, in order, and how often."""
+    keys = np.sort(keys)
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    counts = np.diff(np.append(starts, len(keys)))
+    often = counts >= least
+    return keys[starts[often]], counts[often]
 
 
 def _pack(values: np.ndarray) -> bytes:
