@@ -11,13 +11,13 @@ indexed in the leaf it falls in. As a query it visits each leaf it can have part
 by the triangle inequality a child is pruned if the distance to the vantage point misses
 the child's side of the radius by more than ``distance``. Leaves are numbered, and a
 query only visits leaves from its own on, since a partner in an earlier leaf visits this
-one. The points of a leaf are cut into blocks of about ``LEAF``, its queries into blocks of
-four times that, and each pair of blocks is a group of its own, so that no task grows with
-a dense leaf.
+one. The points and the queries of a leaf are cut into blocks of about ``LEAF``, and each
+pair of blocks is a group of its own, so that no task grows with a dense leaf.
 
-A group compares its queries with its points in slices and gives back a spanning forest
-of the links, never all pairs. The forests are joined to components by passing minima
-along the links, each round a staged table.
+A group searches its points through a vantage-point tree of their own, compares what is
+left in slices and gives back a spanning forest of the links, never all pairs. The
+forests are joined to components by passing minima along the links, each round a staged
+table.
 
 Null texts count as empty; texts without words have fingerprint zero and link like any
 other. Rows that repeat are rows of one group. The group's name is its smallest key; null
@@ -42,7 +42,8 @@ SEED = 42
 SHINGLE = 3
 DISTANCE = 2
 SAMPLE = 65_536
-LEAF = 4_096
+LEAF = 65_536
+LOCAL_LEAF = 1_024
 SLICE = 1 << 22
 CHUNK = 1 << 14
 
@@ -127,32 +128,38 @@ class VantageTree:
 
 
 def _forest(points: np.ndarray, queries: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Spanning forest of the links between queries and points, as (value, smaller value)."""
+    """Spanning forest of the links between queries and points, as (value, smaller value).
+
+    A vantage-point tree of the points prunes; in its leaves all pairs are compared.
+    """
     values = np.unique(np.concatenate([points, queries]))
-    p, q = np.searchsorted(values, points), np.searchsorted(values, queries)
     parent = np.arange(len(values))
-
-    step = max(1, SLICE // max(1, len(points)))
-    for start in range(0, len(queries), step):
-        part = queries[start:start + step]
-        near = np.bitwise_count(part[:, None] ^ points[None, :]) <= distance
-        rows, cols = np.nonzero(near)
-        a, b = q[start + rows], p[cols]
-        keep = a != b
-        a, b = a[keep], b[keep]
-        while len(a):  # links between trees, a smallest one for each tree at a time
-            ra = _roots(parent, a)
-            rb = _roots(parent, b)
-            apart = ra != rb
-            a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
-            high, low = np.maximum(ra, rb), np.minimum(ra, rb)
-            np.minimum.at(parent, high, low)
+    tree = VantageTree(points, -(-len(points) // LOCAL_LEAF)) if len(points) else None
+    own = dict(tree.visits(points, 0)) if tree else {}
+    for number, reach in tree.visits(queries, distance) if tree else ():
+        if number in own:
+            near, far = points[own[number]], queries[reach]
+            step = max(1, SLICE // len(near))
+            for start in range(0, len(far), step):
+                _link(parent, values, near, far[start:start + step], distance)
     top = _roots(parent, np.arange(len(values)))
     linked = np.flatnonzero(top != np.arange(len(values)))
     return list(zip(values[linked].view(np.int64).tolist(),
                     values[top[linked]].view(np.int64).tolist()))
 
 
+def _link(parent: np.ndarray, values: np.ndarray, points: np.ndarray, queries: np.ndarray,
+          distance: int) -> None:
+    """Join the trees of ``parent`` along the links of two small sets."""
+    rows, cols = np.nonzero(np.bitwise_count(queries[:, None] ^ points[None, :]) <= distance)
+    a, b = np.searchsorted(values, queries[rows]), np.searchsorted(values, points[cols])
+    while len(a):
+        ra, rb = _roots(parent, a), _roots(parent, b)
+        apart = ra != rb
+        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+        np.minimum.at(parent, np.maximum(ra, rb), np.minimum(ra, rb))
+
+
 def _roots(parent: np.ndarray, at: np.ndarray) -> np.ndarray:
     up = parent[at]
     while True:
@@ -189,7 +196,7 @@ def links(distinct: DataFrame, *, distance: int = DISTANCE, sample: int = SAMPLE
                                                              "__point boolean"), "visits")
     sizes = visits.groupBy("__leaf").agg(F.count("*").alias("__queries"),
                                          F.count_if("__point").alias("__points"))
-    blocks = {r[0]: (-(-r[1] // (4 * leaf)), -(-r[2] // leaf)) for r in sizes.collect()}
+    blocks = {r[0]: (-(-r[1] // leaf), -(-r[2] // leaf)) for r in sizes.collect()}
     held = distinct.sparkSession.sparkContext.broadcast(blocks)  # two numbers a leaf
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
