@@ -45,7 +45,7 @@ SHARD_IDS = 1 << 20
 LEAST_COUNT = 16
 LEAST_GAIN = 100
 PAIRS_PER_ROUND = 4096
-CACHE_WORDS = 120_000
+CACHE_WORDS = 300_000
 SEPARATOR = "\x1e"
 WORDS_AT_ONCE = 64
 #: Letters up to U+00FF, each its own normal form, and ASCII signs behind them but no
@@ -145,11 +145,13 @@ class Grammar:
         present = np.zeros(int(ids.max(initial=0)) + 1, bool)
         present[ids] = True
         alphabet = np.flatnonzero(present)
-        seq = (np.cumsum(present, dtype=np.int32) - 1)[ids]
+        seq = (np.cumsum(present, dtype=np.uint32) - 1)[ids]
         left, right, symbols = [], [], len(alphabet)
         while len(seq) > 1:
             kind = np.uint32 if symbols < 1 << 16 else np.uint64
-            keys = seq[:-1].astype(kind) * kind(symbols) + seq[1:].astype(kind)
+            seq = seq.astype(kind, copy=False)
+            keys = seq[:-1] * kind(symbols)
+            keys += seq[1:]
             pairs, counts = _frequent(keys, least_count)
             if not len(pairs):
                 break
