@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from math import inf
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from haulmetrics.session import stage
 
 SMALL_GROUP = 1_000_000
 ACCURACY = 10_000
+GRID = 200
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], *,
@@ -20,76 +21,160 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
                     accuracy: int = ACCURACY) -> DataFrame:
     """``keys``, ``n`` and array ``q`` of interpolated quantiles (position p * (n - 1)).
 
-    ``df`` is read up to three times and should be a staged or source table;
-    the result is a staged table. ``largest`` is the size of the largest group,
-    if already known. Values are counted per group and the counts
-    cumulated in value order. That puts the distinct values of a group in one
-    task, so for groups beyond ``small_group`` values a mergeable sketch first
-    brackets each quantile (rank error at most n / accuracy); only values
-    inside a bracket are counted one by one, all others by the side they fall
-    on. The result is exact either way: should a rank fall outside its
-    bracket, every value is counted.
+    ``df`` is read several times and should be a staged or source table; the
+    result is a staged table. ``largest`` is the size of the largest group, if
+    already known. Up to ``small_group`` values, a group's values are counted
+    and the counts cumulated in value order. In larger ones each wanted rank
+    has a bracket of values that is narrowed in rounds: a mergeable sketch
+    proposes narrower edges, exact counts on both sides of them tell where the
+    rank is, and a proposal that misses it moves to the side that holds it.
+    Only when at most ``small_group`` values are left between the edges are
+    they counted one by one, so no task ever sees more, and the result is exact.
     """
     keys, probs = list(keys), list(probs)
     base = df.select(*keys, F.col(value).cast("double").alias("__v")).where("__v is not null")
     if largest is None:
         counts = base.groupBy(*keys).agg(F.count("*").alias("n"))
         largest = counts.agg(F.max("n")).first()[0] or 0
-
-    whole = base.withColumn("edges", F.lit(None).cast("array<double>"))
     if largest <= small_group:
-        return stage(_ranked(whole, keys, probs), "quantiles")
-
-    slack = 2.0 / accuracy
-    edges = [e for p in probs for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    sketch = F.percentile_approx("__v", F.array(*[F.lit(e) for e in edges]), accuracy)
-    large = F.col("weight") > small_group
-    brackets = stage(base.groupBy(*keys).agg(F.count("*").alias("weight"), sketch.alias("edges"))
-                     .withColumn("edges", F.when(large, F.col("edges"))), "brackets")
+        return stage(_ranked(base, keys, probs), "quantiles")
     if keys:
-        rows = attach(base, brackets, keys, weight="weight", null_safe=True)
-    else:
-        known = brackets.first()["edges"]
-        rows = base.withColumn("edges", F.array(*[F.lit(float(e)) for e in known]))
-    out = stage(_ranked(rows, keys, probs), "quantiles")
-    if out.where(F.exists("q", lambda x: x.isNull())).isEmpty():
-        return out
-    return stage(_ranked(whole, keys, probs), "quantiles")
+        return _bracketed(base, keys, probs, small_group, accuracy)
+    return _bracketed(base.withColumn("__all", F.lit(1)), ["__all"], probs, small_group,
+                      accuracy).drop("__all")
 
 
-def _ranked(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Quantiles from counts cumulated in value order, within the ``edges`` of each row."""
-    v = F.col("__v")
-    lows = [F.col("edges")[2 * i] for i in range(len(probs))]
-    highs = [F.col("edges")[2 * i + 1] for i in range(len(probs))]
-    inside: Column = F.col("edges").isNull()
-    for low, high in zip(lows, highs):
-        inside = inside | v.between(low, high)
-    inside = F.coalesce(inside, F.lit(False))
-    # A value outside all brackets stands for "just above the last bracket below it".
-    below = F.greatest(F.lit(-inf), F.lit(-inf), *[F.when(v > high, high) for high in highs])
-    counts = (rows.groupBy(*keys, F.when(inside, v).otherwise(below).alias("at"),
-                           (~inside).alias("outside"))
-              .agg(F.count("*").alias("c")))
+def _positions(probs: Sequence[float]) -> list[Column]:
+    return [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+
+
+def _mixed(probs: Sequence[float], low: list[Column], high: list[Column]) -> Column:
+    """Values at the ranks below and above each position, interpolated."""
+    return F.array(*[a + (b - a) * (x - F.floor(x))
+                     for a, b, x in zip(low, high, _positions(probs))])
 
+
+def _ranked(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Quantiles of small groups, from counts cumulated in value order."""
+    counts = rows.groupBy(*keys, "__v").agg(F.count("*").alias("c"))
     group = Window.partitionBy(*keys)
-    order = group.orderBy("at", "outside").rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.select(*keys, "at", "outside", "c", F.sum("c").over(order).alias("upto"),
+    order = group.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.select(*keys, "__v", "c", F.sum("c").over(order).alias("upto"),
                            F.sum("c").over(group).alias("n"))
 
     def value_at(rank: Column) -> Column:
-        hit = (F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto")) & ~F.col("outside")
-        return F.max(F.when(hit, F.col("at")))
-
-    picks, mixed = [], []
-    for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        picks += [value_at(F.floor(position)).alias(f"a{i}"),
-                  value_at(F.ceil(position)).alias(f"b{i}")]
-        mixed.append(F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}"))
-                     * (position - F.floor(position)))
+        hit = (F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto"))
+        return F.max(F.when(hit, F.col("__v")))
+
+    picks = []
+    for i, x in enumerate(_positions(probs)):
+        picks += [value_at(F.floor(x)).alias(f"a{i}"), value_at(F.ceil(x)).alias(f"b{i}")]
     ranked = counts.groupBy(*keys, "n").agg(*picks)
-    return ranked.select(*keys, "n", F.array(*mixed).alias("q"))
+    low, high = ([F.col(f"{side}{i}") for i in range(len(probs))] for side in "ab")
+    return ranked.select(*keys, "n", _mixed(probs, low, high).alias("q"))
+
+
+def _bracketed(base: DataFrame, keys: list[str], probs: list[float], small_group: int,
+               accuracy: int) -> DataFrame:
+    """Quantiles of groups of any size. A rank's bracket is the struct (rank, lo, hi)."""
+    slack = 2.0 / accuracy
+    edges = [e for p in probs for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    sketch = F.percentile_approx("__v", F.array(*[F.lit(e) for e in edges]), accuracy)
+    state = base.groupBy(*keys).agg(F.count("*").alias("n"), F.min("__v").alias("min"),
+                                    F.max("__v").alias("max"), sketch.alias("edges"))
+    brackets = []
+    for i, x in enumerate(_positions(probs)):
+        for rank in (F.floor(x), F.ceil(x)):
+            brackets.append(F.struct(rank.cast("bigint").alias("rank"),
+                                     F.col("edges")[2 * i].alias("lo"),
+                                     F.col("edges")[2 * i + 1].alias("hi")))
+    state = stage(state.select(*keys, "n", "min", "max", F.array(*brackets).alias("b")), "brackets")
+    targets = 2 * len(probs)
+    limit = max(1, small_group // targets)
+    while True:
+        state = stage(_measured(base, state, keys, targets), "brackets")
+        wide = F.exists("b", lambda x: (x["lo"] < x["hi"]) & ((x["light"] > limit) | x["missed"]))
+        if state.where(wide).isEmpty():
+            break
+        state = stage(_narrowed(base, state, keys, targets, limit, accuracy), "brackets")
+    return stage(_counted(base, state, keys, probs), "quantiles")
+
+
+def _measured(base: DataFrame, state: DataFrame, keys: list[str], targets: int) -> DataFrame:
+    """Exact counts below, at and between the edges; each bracket fitted to its rank."""
+    rows = attach(base, state.select(*keys, "b", "n"), keys, weight="n", null_safe=True)
+    v = F.col("__v")
+    counts = []
+    for t in range(targets):
+        lo, hi = F.col("b")[t]["lo"], F.col("b")[t]["hi"]
+        for name, test in (("below", v < lo), ("at", v == lo), ("light", (lo < v) & (v < hi)),
+                           ("top", (v == hi) & (lo < hi))):
+            counts.append(F.count(F.when(test, 1)).alias(f"{name}{t}"))
+    sums = rows.groupBy(*keys).agg(*counts, F.count("*").alias("__w"))
+    found = attach(state, stage(sums, "counts"), keys, weight="__w", null_safe=True)
+    fitted = []
+    for t in range(targets):
+        b = F.col("b")[t]
+        below, at, light, top = (F.col(f"{x}{t}") for x in ("below", "at", "light", "top"))
+        rank, lo, hi = b["rank"], b["lo"], b["hi"]
+        under, over = rank < below, rank >= below + at + light + top
+        on_lo = ~under & (rank < below + at)
+        on_hi = ~under & ~over & (rank >= below + at + light)
+        fitted.append(F.struct(
+            rank.alias("rank"),
+            F.when(under, F.col("min")).when(over | on_hi, hi).otherwise(lo).alias("lo"),
+            F.when(under | on_lo, lo).when(over, F.col("max")).otherwise(hi).alias("hi"),
+            (below + at).alias("before"), light.alias("light"),
+            (under | over).alias("missed")))
+    return found.select(*keys, "n", "min", "max", F.array(*fitted).alias("b"))
+
+
+def _narrowed(base: DataFrame, state: DataFrame, keys: list[str], targets: int, limit: int,
+              accuracy: int) -> DataFrame:
+    """Closer edges for brackets with more than ``limit`` values between them."""
+    rows = attach(base, state.select(*keys, "b", "n"), keys, weight="n", null_safe=True)
+    rows = rows.select(*keys, "__v", F.posexplode("b").alias("__t", "__x")).where(
+        (F.col("__x.light") > limit) & ~F.col("__x.missed")
+        & (F.col("__x.lo") < F.col("__v")) & (F.col("__v") < F.col("__x.hi")))
+    steps = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    grids = (rows.groupBy(*keys, "__t").agg(F.percentile_approx("__v", steps, accuracy).alias("__g"))
+             .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__t", "__g")))
+                                 .alias("grids"), F.count("*").alias("__w")))
+    found = attach(state, stage(grids, "grids"), keys, weight="__w", null_safe=True)
+    spare = 1 + math.ceil(2 * GRID / accuracy)  # the sketch's own error, in steps
+    closer = []
+    for t in range(targets):
+        b, grid = F.col("b")[t], F.col("grids")[t]
+        at = F.floor(GRID * (b["rank"] - b["before"]) / F.greatest(b["light"], F.lit(1)))
+        low = F.get(grid, F.greatest(at - spare, F.lit(0)).cast("int"))
+        high = F.get(grid, F.least(at + spare + 1, F.lit(GRID)).cast("int"))
+        closer.append(F.struct(b["rank"].alias("rank"), F.coalesce(low, b["lo"]).alias("lo"),
+                               F.coalesce(high, b["hi"]).alias("hi")))
+    return found.select(*keys, "n", "min", "max", F.array(*closer).alias("b"))
+
+
+def _counted(base: DataFrame, state: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """The value at each rank; what lies between the edges is counted one by one."""
+    rows = attach(base, state.select(*keys, "b", "n"), keys, weight="n", null_safe=True)
+    rows = rows.select(*keys, "__v", F.posexplode("b").alias("__t", "__x")).where(
+        (F.col("__x.lo") < F.col("__v")) & (F.col("__v") < F.col("__x.hi")))
+    counts = rows.groupBy(*keys, "__t", F.col("__x.rank").alias("rank"),
+                          F.col("__x.before").alias("before"), "__v").agg(F.count("*").alias("c"))
+    order = (Window.partitionBy(*keys, "__t").orderBy("__v")
+             .rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.col("before") + F.sum("c").over(order)
+    hits = (counts.withColumn("upto", upto)
+            .where((F.col("upto") - F.col("c") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
+            .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__t", "__v")))
+                                .alias("found"), F.count("*").alias("__w")))
+    out = attach(state, stage(hits, "ranks"), keys, weight="__w", null_safe=True)
+
+    def value_at(t: int) -> Column:
+        b = F.col("b")[t]
+        return F.when(b["lo"] == b["hi"], b["lo"]).otherwise(F.col("found")[t])
+
+    low, high = ([value_at(2 * i + side) for i in range(len(probs))] for side in (0, 1))
+    return out.select(*keys, "n", _mixed(probs, low, high).alias("q"))
 
 
 def exact_median(df: DataFrame, value: str, **options) -> float | None:

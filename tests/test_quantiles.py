@@ -25,7 +25,7 @@ def skewed(spark):
     return frame, stage(spark.createDataFrame(frame, "g string, v double"), "t")
 
 
-@pytest.mark.parametrize("small_group,accuracy", [(1_000_000, 10_000), (10, 100), (10, 20)])
+@pytest.mark.parametrize("small_group,accuracy", [(1_000_000, 10_000), (600, 20)])
 def test_matches_sorting(spark, small_group, accuracy):
     frame, df = skewed(spark)
     got = {r["g"]: (r["n"], r["q"]) for r in quantiles.exact_quantiles(
@@ -36,24 +36,47 @@ def test_matches_sorting(spark, small_group, accuracy):
         assert q == pytest.approx(part["v"].quantile(PROBS).tolist(), abs=1e-12)
 
 
-@pytest.mark.parametrize("small_group", [1_000_000, 10])
+@pytest.mark.parametrize("small_group", [1_000_000, 600])
 def test_whole_column(spark, small_group):
     frame, df = skewed(spark)
     got = quantiles.exact_median(df, "v", small_group=small_group, accuracy=50)
     assert got == pytest.approx(frame["v"].median(), abs=1e-12)
 
 
-def test_brackets_that_miss_are_repaired(spark, monkeypatch):
-    """A sketch that brackets the wrong place must not change the result."""
+@pytest.mark.parametrize("wrong", ["max", "min"])
+def test_brackets_that_miss_are_moved(spark, monkeypatch, wrong):
+    """First brackets in the wrong place must not change the result."""
     frame, df = skewed(spark)
-    monkeypatch.setattr(quantiles.F, "percentile_approx",
-                        lambda *_: F.array(*[F.max("__v")] * 6), raising=True)
+    real, calls = F.percentile_approx, []
+
+    def sketch(*args):
+        calls.append(args)
+        return F.array(*[getattr(F, wrong)("__v")] * 6) if len(calls) == 1 else real(*args)
+
+    monkeypatch.setattr(quantiles.F, "percentile_approx", sketch, raising=True)
     got = {r["g"]: r["q"] for r in quantiles.exact_quantiles(
-        df, ["g"], "v", PROBS, small_group=10, accuracy=100).collect()}
+        df, ["g"], "v", PROBS, small_group=3_000, accuracy=100).collect()}
     want = frame[frame["g"] == "big"]["v"].quantile(PROBS).tolist()
     assert got["big"] == pytest.approx(want, abs=1e-12)
 
 
+def test_no_task_counts_more_than_a_small_group(spark, monkeypatch):
+    """With a coarse sketch several rounds are needed before values are counted."""
+    rows = spark.range(60_000).select(F.lit("a").alias("g"), F.hash("id").cast("double").alias("v"))
+    df, seen, plain = stage(rows, "t"), [], quantiles._counted
+
+    def counted(base, state, *args):
+        out = state.select(F.explode("b.light").alias("light"))
+        seen.append(out.agg(F.sum("light")).first()[0])
+        return plain(base, state, *args)
+
+    monkeypatch.setattr(quantiles, "_counted", counted)
+    monkeypatch.setattr(quantiles, "GRID", 10)
+    got = quantiles.exact_quantiles(df, [], "v", PROBS, small_group=3_000, accuracy=50).first()["q"]
+    want = df.toPandas()["v"].quantile(PROBS).tolist()
+    assert got == pytest.approx(want, abs=1e-6) and seen[0] <= 3_000
+
+
 def test_empty_column(spark):
     df = stage(spark.createDataFrame([(None,)], "v double"), "t")
     assert quantiles.exact_median(df, "v") is None
