@@ -39,9 +39,10 @@ KEYWORDS = ("passw", "secret", "token", "api")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 DIGEST = re.compile(r"(?i:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}"
                     r"|[0-9a-f]{128}|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})")
-#: Words in snake, kebab, camel or path form, each with at most four digits behind it.
-IDENTIFIER = re.compile(r"(?:[+/_=-]*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[A-Za-z](?=[+/_=-]|$))"
-                        r"[0-9]{0,4}(?![0-9]))+[+/_=-]*")
+#: Words in snake, kebab, camel or path form, each with at most four digits behind it. All
+#: repeats are possessive, so a run is read once.
+IDENTIFIER = re.compile(r"(?:[+/_=-]*+(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[A-Za-z](?=[+/_=-]|$))"
+                        r"[0-9]{0,4}+(?![0-9]))++[+/_=-]*+")
 #: Random base64 has about 1.4 characters a token, words of any language over 2.
 MAX_CHARS_PER_TOKEN = 1.85
 

@@ -68,3 +68,11 @@ def test_known_digests_are_left_out():
 
 def test_empty_table(make_docs):
     assert secret_scan.scan(make_docs([]), VOCABULARY).collect() == []
+
+
+def test_long_runs_are_read_once():
+    """Runs that fail as identifiers at their end; backtracking never ended on these."""
+    for run in ("a" * 10_000 + "12345", "A" * 10_000 + "12345", "aB" * 5_000 + "12345",
+                "ab_" * 3_000 + "12345"):
+        assert not secret_scan.IDENTIFIER.fullmatch(run)
+        secret_scan.dense_spans(run, [], VOCABULARY, frozenset(), 1.85)
