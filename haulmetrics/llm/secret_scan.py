@@ -1,11 +1,11 @@
 """Secret scan: patterns, and random strings found by their token efficiency.
 
 Prose takes three to five characters per token of a byte-level BPE vocabulary, random
-strings about one and a half. Runs of key characters that hold letters and digits are
-therefore encoded, and those with few characters per token are reported as ``dense``,
+strings about one and a half. Runs of key characters that hold letters are therefore
+encoded, and those with few characters per token are reported as ``dense``,
 unless they overlap a pattern's span, are a known digest, have the shape of a digest or
 UUID (without a key word in front they identify content, not secrets; the ``hex``
-pattern has them anyway), or are an identifier made of words.
+pattern has them anyway), or are an identifier whose words have many characters per token.
 
 Null texts count as empty. Each row is scanned for itself, so repeated rows repeat.
 Offsets are code points, ends exclusive. Whole texts are scanned, one at a time.
@@ -43,6 +43,7 @@ DIGEST = re.compile(r"(?i:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0
 #: repeats are possessive, so a run is read once.
 IDENTIFIER = re.compile(r"(?:[+/_=-]*+(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[A-Za-z](?=[+/_=-]|$))"
                         r"[0-9]{0,4}+(?![0-9]))++[+/_=-]*+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Random base64 has about 1.4 characters a token, words of any language over 2.
 MAX_CHARS_PER_TOKEN = 1.85
 
@@ -76,17 +77,24 @@ def _order(span: tuple[int, int, str]) -> tuple[int, int, int]:
     return span[0], KINDS.index(span[2]), span[1]
 
 
+def _is_dense(texts: list[str], vocabulary: str, max_ratio: float) -> bool:
+    """Whether the texts together have fewer than ``max_ratio`` characters a token."""
+    encode = encoding(vocabulary).encode_ordinary
+    return sum(map(len, texts)) < max_ratio * sum(len(encode(t)) for t in texts)
+
+
 def dense_spans(text: str, taken: list[tuple[int, int, str]], vocabulary: str,
                 known: frozenset[str], max_ratio: float) -> list[tuple[int, int, str]]:
     """Spans of random strings that overlap none of ``taken``."""
     found = []
     for m in CANDIDATE.finditer(text):
         run = m.group()
-        if (not re.search("[0-9]", run) or not re.search("[A-Za-z]", run)
+        if (not re.search("[A-Za-z]", run)
                 or any(a < m.end() and m.start() < b for a, b, _ in taken)
-                or run in known or DIGEST.fullmatch(run) or IDENTIFIER.fullmatch(run)):
+                or run in known or DIGEST.fullmatch(run)
+                or not _is_dense([run], vocabulary, max_ratio)):
             continue
-        if len(run) < max_ratio * len(encoding(vocabulary).encode_ordinary(run)):
+        if not IDENTIFIER.fullmatch(run) or _is_dense(WORD.findall(run), vocabulary, max_ratio):
             found.append((m.start(), m.end(), "dense"))
     return found
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import public_tokenizers
@@ -76,3 +77,20 @@ def test_long_runs_are_read_once():
                 "ab_" * 3_000 + "12345"):
         assert not secret_scan.IDENTIFIER.fullmatch(run)
         secret_scan.dense_spans(run, [], VOCABULARY, frozenset(), 1.85)
+
+
+@pytest.mark.parametrize("letters, least", [
+    ("abcdefghijklmnopqrstuvwxyz0123456789", 0.95), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 0.95),
+    ("abcdefghijklmnopqrstuvwxyz", 0.8), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 0.95)])
+def test_random_strings_of_one_case_are_found(letters, least):
+    draw = random.Random(4)
+    for n in (20, 24, 32):
+        some = ["".join(draw.choices(letters, k=n)) for _ in range(300)]
+        found = [secret_scan.dense_spans(s, [], VOCABULARY, frozenset(), 1.85) for s in some]
+        assert sum(map(bool, found)) >= least * len(some)
+
+
+@pytest.mark.parametrize("text", ["/some/path/to/pages2/a/b", "src/app/db/io/ui/id_map2",
+                                  "rechtsschutzversicherungsgesellschaften"])
+def test_words_are_no_secrets(text):
+    assert not secret_scan.dense_spans(text, [], VOCABULARY, frozenset(), 1.85)
