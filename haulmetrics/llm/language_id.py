@@ -5,8 +5,10 @@ A text is lower-cased and its n-grams of one to three code points are hashed int
 document frequency. Document frequencies are counted over all training rows. The model
 is fitted on the driver with follow-the-regularised-leader (per-coordinate rates, L1 and
 L2 penalties, so that most weights are exactly zero) on a bounded sample of training
-rows: the ``SAMPLE_ROWS`` rows whose keys hash lowest. A fifth of the sample sets the
-temperature that calibrates the scores.
+rows. Every language has the same quota of keys, those that hash lowest, and all its keys
+if it has fewer, so that ``SAMPLE_ROWS`` hold them all; one key at least, so each language
+is learned. The languages' shares of all training rows are put back into the bias. Every
+fifth row of a language sets the temperature that calibrates the scores.
 
 Texts that are null or hold no letter get ``und`` with score 0. Without training rows
 every text does. Whole texts are read in windows of ``WINDOW`` code points, so memory
@@ -21,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmetrics.llm.common import map_batches
@@ -32,6 +34,7 @@ DIM = 1 << DIM_BITS
 ORDERS = (1, 2, 3)
 WINDOW = 1 << 18
 SAMPLE_ROWS = 3000
+BUCKET_BITS = 10
 #: Brings the norm of a text's features near 1.
 SCALE = 10.0
 #: Passes over the sample are repeated up to about this many steps.
@@ -155,21 +158,51 @@ def calibrate(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def quota(sizes: list[int], total: int) -> int:
+    """The most that each group may give so that together they give at most ``total``."""
+    left = total
+    for i, size in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - i)
+        if size > share:
+            return max(1, share)
+        left -= size
+    return max(sizes, default=1)
+
+
+def sample_keys(train: DataFrame, sample_rows: int) -> tuple[DataFrame, dict[str, int]]:
+    """Distinct keys and labels of the sample, and the rows of each label.
+
+    Where a label's quota ends is found from counts of hash buckets, so that no task sorts
+    a whole language.
+    """
+    keys = stage(train.groupBy("__key", "__label").agg(F.count("*").alias("__rows")).withColumn(
+        "__draw", F.xxhash64(F.col("__key").cast("string"))), "language_keys")
+    keys = keys.withColumn("__bucket", F.shiftright("__draw", 64 - BUCKET_BITS))
+    sizes = keys.groupBy("__label").agg(F.count("*").alias("n"), F.sum("__rows").alias("rows")).collect()
+    most = quota([r["n"] for r in sizes], sample_rows)
+    counts = keys.groupBy("__label", "__bucket").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__label").orderBy("__bucket")) - F.col("__n")
+    reached = counts.withColumn("__before", before).where(F.col("__before") < most)
+    place = F.row_number().over(Window.partitionBy("__label").orderBy("__draw", "__key"))
+    picked = (keys.join(F.broadcast(reached.select("__label", "__bucket")), ["__label", "__bucket"])
+              .withColumn("__place", place).where(F.col("__place") <= most))
+    return (stage(picked.select("__key", "__label"), "language_sample"),
+            {r["__label"]: r["rows"] for r in sizes})
+
+
 def fit(train: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang",
         sample_rows: int = SAMPLE_ROWS, alpha: float = 0.3, beta: float = 1.0,
         l1: float = 0.02, l2: float = 1e-3, steps: int = STEPS) -> LanguageModel:
-    """Fit on rows with a text and a label; ``sample_rows`` bounds what the driver reads."""
+    """Fit on rows with a text and a label; ``sample_rows`` bounds what the driver reads,
+    unless there are more languages."""
     train = train.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(
         F.col(key).alias("__key"), F.col(text).alias("__text"), F.col(label).alias("__label"))
     df, rows = document_frequencies(train.select("__text"))
     if not rows:
         return LanguageModel([], np.zeros((DIM, 0), np.float32), np.zeros(0))
     idf = SCALE * (np.log((1 + rows) / (1 + df)) + 1)
-    picked = (train.select("__key", "__label", F.xxhash64(F.col("__key").cast("string"))
-                           .alias("__draw"), F.length("__text").alias("__length"))
-              .orderBy("__draw", "__key", "__label", "__length").limit(sample_rows))
-    picked = stage(picked, "language_sample")
-    chosen = train.join(F.broadcast(picked.select("__key", "__label").distinct()),
+    picked, shares = sample_keys(train.select("__key", "__label"), sample_rows)
+    chosen = train.join(F.broadcast(picked),
                         ["__key", "__label"])
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -199,13 +232,18 @@ def fit(train: DataFrame, *, key: str = "doc_id", text: str = "text", label: str
         data.append((np.append(own.astype(np.int64), DIM),
                      np.append(values[i].values.to_numpy() * idf[own], 1.0),
                      languages.index(marks[i])))
-    own, held = [r for i, r in enumerate(data) if i % 5], data[::5]
+    seen = np.zeros(len(languages), np.int64)
+    own, held = [], []
+    for row in data:
+        seen[row[2]] += 1
+        (own if seen[row[2]] % 5 else held).append(row)
     w = ftrl(own or data, len(languages), alpha=alpha, beta=beta, l1=l1, l2=l2,
              epochs=-(-steps // max(1, len(own or data))))
     logits = np.array([x @ w[ids] for ids, x, _ in held])
     temperature = calibrate(logits, np.array([y for _, _, y in held]))
-    return LanguageModel(languages, (w[:DIM] * idf[:, None]).astype(np.float32), w[DIM],
-                         temperature)
+    prior = np.log([shares[name] / rows for name in languages]) - np.log(seen / seen.sum())
+    return LanguageModel(languages, (w[:DIM] * idf[:, None]).astype(np.float32),
+                         w[DIM] + temperature * prior, temperature)
 
 
 def predict(docs: DataFrame, model: LanguageModel, *, key: str = "doc_id", text: str = "text",

@@ -61,6 +61,24 @@ def test_predictions(make_docs):
         sorted((str(r.doc_id), r.lang_pred) for r in got)
 
 
+def test_rare_languages_are_learned(make_docs):
+    rows = ([(i, f"the cat sat on the mat and this is {i}", "en", "s") for i in range(3000)]
+            + [(5000 + i, f"kissa istui matolla ja tämä on {i}", "fi", "s") for i in range(6)]
+            + [(6000, "жив и здоров", "ru", "s")])
+    model = language_id.fit(make_docs(rows), sample_rows=60)
+    assert model.languages == ["en", "fi", "ru"]
+    assert model.predict("kissa istui matolla ja tämä on")[0] == "fi"
+    assert model.predict("жив и здоров")[0] == "ru"
+    assert model.predict("the cat sat on the mat")[0] == "en"
+
+
+def test_quota():
+    assert language_id.quota([3000, 6, 1], 60) == 53
+    assert language_id.quota([5, 5], 60) == 5
+    assert language_id.quota([9, 9, 9], 2) == 1
+    assert language_id.quota([], 60) == 1
+
+
 def test_frequencies_cover_all_rows(make_docs):
     df, rows = language_id.document_frequencies(
         make_docs([(i, "a" if i % 2 else "b") for i in range(501)]).select(
