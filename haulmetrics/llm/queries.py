@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmetrics.llm import (exact_dedup, language_id, line_quality, phrase_index,
-                             secret_scan, simhash, source_mix, token_shards, url_filter, warc)
+from haulmetrics.llm import (byte_bpe, exact_dedup, language_id, line_quality, phrase_index,
+                             ranked_search, secret_scan, simhash, source_mix, token_alignment,
+                             token_shards, url_filter, warc)
 from haulmetrics.llm.common import crc32_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +135,43 @@ def op4_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.round_trip(table(spark, sf_dir, "documents"),
                                    public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.link_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(ranked_search.build_index(table(spark, sf_dir, "documents")),
+                                table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_ranked_search"] = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+i AS (SELECT item_id, row_number() OVER () AS q, unnest(list_distinct(regexp_extract_all(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+total AS (SELECT count(*) AS n, sum(len(terms))::BIGINT AS l FROM d WHERE len(terms) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+df AS (SELECT term, floor(1000 * ln((2 * (SELECT n FROM total) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf GROUP BY term),
+scored AS (SELECT q, item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90
+      + (90 * len(terms) * (SELECT n FROM total)) // (SELECT l FROM total)))))::BIGINT AS score
+  FROM i JOIN tf USING (term) JOIN df USING (term) JOIN d USING (r) GROUP BY q, item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS k
+  FROM scored WHERE score > 0)
+SELECT item_id, k::INTEGER AS rank, doc_id, score FROM ranked WHERE k <= 10
+"""

@@ -10,7 +10,7 @@ from haulmetrics.llm.queries import ORACLES, QUERIES  # noqa: E402
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(prepared, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     got = QUERIES[name](prepared, sf_dir)
     columns = sorted(got.columns)
