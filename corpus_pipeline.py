@@ -1,9 +1,8 @@
 """Corpus pipeline: documents to token shards in five stages.
 
 1. quality: documents that the line model scores below its threshold go.
-2. near_dedup: of each group of near-duplicates, the row with the smallest key stays (null
-   keys last). Documents are near-duplicates if the Jaccard similarity of their sets of
-   five-word shingles is 0.8 or more; no such pair is missed.
+2. near_dedup: of each group of SimHash near-duplicates, the row with the smallest key stays
+   (null keys last); shingle length and distance are those of ``simhash``.
 3. decontaminate: documents that hold a window of a benchmark item go.
 4. mix: sources are taken to their target weights; a document stands in the result as
    often as the mix takes it, a part of half or more counting as the whole. Words are
@@ -20,11 +19,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmetrics.llm import line_quality, phrase_index, shingle_join, source_mix, token_shards
+from haulmetrics.llm import line_quality, phrase_index, simhash, source_mix, token_shards
 from haulmetrics.llm.common import join_by_row, prepare, row_id, table
 from haulmetrics.session import stage
 
-SHINGLE = 5
 WEIGHTS = [3, 1, 2]
 
 
@@ -37,7 +35,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     rows = docs.select(row_id().alias("__id"), F.col("text").alias("__body"))
-    groups = shingle_join.near_duplicates(rows, key="__id", text="__body", shingle=SHINGLE)
+    groups = simhash.near_duplicates(rows, key="__id", text="__body")
     first = stage(groups.where("__id = component_id").groupBy("__id")
                   .agg(F.count("*").alias("__copies")), "first_of_group")
     kept = join_by_row(docs, first.select("__id"), "left_semi")
