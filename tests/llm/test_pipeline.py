@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from haulmetrics.llm import line_quality, source_mix
+from haulmetrics.llm import line_quality, simhash, source_mix
 from tests.llm.test_line_quality import BAD, GOOD
 from tests.llm.test_phrase_index import brute as brute_windows
 from tests.llm.test_simhash import brute_components, brute_fingerprint
@@ -60,7 +60,8 @@ def test_quality(prepared, tables):
 def test_near_dedup(prepared, tables):
     path, docs, rows, _ = tables
     got = STAGES["near_dedup"](prepared, docs, path)
-    root = brute_components([brute_fingerprint(r[1], 5) for r in rows], 4)
+    root = brute_components([brute_fingerprint(r[1], simhash.SHINGLE) for r in rows],
+                            simhash.DISTANCE)
     first = {}
     for r, group in zip(rows, root):
         if group not in first or (r[0] is None, r[0]) < (first[group][0] is None, first[group][0]):
