@@ -21,8 +21,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
-from collections.abc import Iterator
-from functools import partial
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -33,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmetrics.llm.chunks import Numbers, Recent, distinct_chunks, gather
-from haulmetrics.llm.common import map_batches
+from haulmetrics.llm.common import map_batches, map_joined
 
 MASK = (1 << 64) - 1
+#: Text encoded at once; the larger, the more often its chunks repeat.
+BATCH_BYTES = 16 << 20
 #: Remembered pre-tokens of tier two in each of two generations, and the longest of them.
-MEMORY = 150_000
+MEMORY = 250_000
 MEMORY_BYTES = 64
 #: Remembered pairs of neighbours.
 PAIRS = 1_000_000
@@ -155,6 +155,8 @@ class Encoder:
         self.vocabulary = vocabulary
         self.find = regex.compile(vocabulary.pattern).findall
         self.single = vocabulary.ids_of([bytes([b]) for b in range(256)])
+        self.lacking = min(self.single) < 0
+        self.after, self.before = list(range(1, SHORT + 1)), list(range(-1, SHORT - 1))
         #: Ids of all pairs of bytes, and those of pairs of entries met so far.
         self.two = np.array(vocabulary.ids_of([bytes([a, b]) for a in range(256)
                                                for b in range(256)]), np.int64)
@@ -169,21 +171,24 @@ class Encoder:
         found = self.pairs[key] = self.vocabulary.id_of(tokens[key >> 32] + tokens[key & LOW])
         return found
 
-    def merge(self, word: bytes, heap: list[int] | None = None) -> tuple[int, ...]:
+    def merge(self, word: bytes, valid: list[int] | None = None) -> tuple[int, ...]:
         """Tier two: nodes of linked bytes, merged by rank from a heap.
 
         An entry of the heap is the rank of a pair and the place of its left node; it
-        counts only while it is the node's ``valid`` one.
+        counts only while it is the node's ``valid`` one (-1: none).
         """
-        if heap is None:
-            heap = self._first_pairs([word])[0]
-        n, make = len(word), list if len(word) <= SHORT else partial(array, "q")
-        ids = make(map(self.single.__getitem__, word))
-        if min(ids, default=0) < 0:
+        if valid is None:
+            valid = self._first_pairs([word])[0]
+        n = len(word)
+        if n <= SHORT:
+            ids = list(map(self.single.__getitem__, word))
+            after, before = self.after[:n], self.before[:n]
+        else:
+            ids = array("q", map(self.single.__getitem__, word))
+            after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        if self.lacking and min(ids, default=0) < 0:
             raise ValueError("the vocabulary lacks a byte")
-        after, before, valid = make(range(1, n + 1)), make(range(-1, n - 1)), make([-1]) * n
-        for entry in heap:
-            valid[entry & PLACE] = entry
+        heap = [entry for entry in valid if entry >= 0]
         heapify(heap)
         pairs = self.pairs
         while heap:
@@ -216,7 +221,7 @@ class Encoder:
         return tuple([i for i in ids if i >= 0])
 
     def _first_pairs(self, words: list[bytes]) -> list[list[int]]:
-        """For every word the entries of its pairs of bytes."""
+        """For every word and byte the entry of the byte and its neighbour, or -1."""
         lengths = np.array([len(w) for w in words], np.int64)
         data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
         ends = np.cumsum(lengths)
@@ -224,9 +229,8 @@ class Encoder:
         ranks[:-1] = self.two[data[:-1] << 8 | data[1:]]
         ranks[ends - 1] = -1  # the last byte of a word has no neighbour
         place = np.arange(len(data)) - np.repeat(ends - lengths, lengths)
-        some = ranks >= 0
-        entries = (ranks[some] << 40 | place[some]).tolist()
-        stops = np.cumsum(some)[ends - 1].tolist()
+        entries = np.where(ranks >= 0, ranks << 40 | place, -1).tolist()
+        stops = ends.tolist()
         return [entries[a:b] for a, b in zip([0, *stops], stops)]
 
     def _words(self, words: list[str]) -> list[tuple[int, ...]]:
@@ -237,8 +241,8 @@ class Encoder:
                for key, whole in zip(keys, self.vocabulary.ids_of(keys))]
         missed = [i for i, found in enumerate(out) if found is None]
         if missed:
-            for i, heap in zip(missed, self._first_pairs([keys[i] for i in missed])):
-                found = out[i] = self.merge(keys[i], heap)
+            for i, pairs in zip(missed, self._first_pairs([keys[i] for i in missed])):
+                found = out[i] = self.merge(keys[i], pairs)
                 if len(keys[i]) <= MEMORY_BYTES:
                     put(keys[i], found)
         return out
@@ -297,7 +301,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id",
             [batch["__key"], pa.ListArray.from_arrays(ends, pa.array(ids))], ["__key", "ids"])
 
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-    return map_batches(rows, f"__key {kind}, ids array<int>", run).withColumnRenamed("__key", key)
+    return (map_joined(rows, f"__key {kind}, ids array<int>", run, BATCH_BYTES)
+            .withColumnRenamed("__key", key))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id",
@@ -325,18 +330,17 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id",
     def sha256(data) -> str:
         return hashlib.sha256(data).hexdigest()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, counts = _encoder(shared).encode(batch["__text"].to_pylist())
-            ends = np.cumsum(counts)
-            each = [ids[end - n:end] for end, n in zip(ends.tolist(), counts.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch["__key"], pa.array(counts),
-                 pa.array([sha256(np.ascontiguousarray(i, "<u4")) for i in each], pa.string()),
-                 pa.array([sha256(decode_ids(shared.value.tokens, i.tolist())) for i in each],
-                          pa.string())],
-                ["__key", "n_tokens", "ids_sha256", "decoded_sha256"])
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, counts = _encoder(shared).encode(batch["__text"].to_pylist())
+        ends = np.cumsum(counts)
+        each = [ids[end - n:end] for end, n in zip(ends.tolist(), counts.tolist())]
+        return pa.RecordBatch.from_arrays(
+            [batch["__key"], pa.array(counts),
+             pa.array([sha256(np.ascontiguousarray(i, "<u4")) for i in each], pa.string()),
+             pa.array([sha256(decode_ids(shared.value.tokens, i.tolist())) for i in each],
+                      pa.string())],
+            ["__key", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
     schema = f"__key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return rows.mapInArrow(run, schema).withColumnRenamed("__key", key)
+    return map_joined(rows, schema, run, BATCH_BYTES).withColumnRenamed("__key", key)

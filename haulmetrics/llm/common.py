@@ -36,6 +36,26 @@ def map_batches(df: DataFrame, schema: str,
     return df.mapInArrow(run, schema)
 
 
+def map_joined(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
+               least_bytes: int) -> DataFrame:
+    """Like ``map_batches``, for batches joined until they hold ``least_bytes``."""
+    def join(some: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.Table.from_batches(some).combine_chunks().to_batches()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                some.append(batch)
+                size += batch.nbytes
+            if size >= least_bytes:
+                yield fn(join(some))
+                some, size = [], 0
+        if some:
+            yield fn(join(some))
+    return df.mapInArrow(run, schema)
+
+
 def crc32_mod(key: str, n: int) -> Column:
     """crc32 of a column as text, modulo ``n``; null for a null key."""
     return F.crc32(F.col(key).cast("string")) % n
