@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +31,18 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulmetrics.llm.chunks import Numbers, Recent, cut, gather
-from haulmetrics.llm.common import map_batches
+from haulmetrics.llm.chunks import Numbers, cut, gather
+from haulmetrics.llm.common import map_batches, map_joined
 from haulmetrics.session import stage
 
-#: Chunks remembered in each of two generations.
-MEMORY = 60_000
-MEMORY_CHARS = 64
+#: Text aligned at once; the larger, the more often its chunks repeat.
+BATCH_BYTES = 16 << 20
+#: Chunks and their pairs that a worker remembers before it starts anew.
+MEMORY = 300_000
+MEMORY_PAIRS = 4_000_000
+#: Chunks encoded as one text, and links of a group that are listed without counting first.
+BLOCK = 256
+SMALL = 1_024
 #: Pairs whose counts are broadcast, 16 bytes each.
 HOT_PAIRS = 2_000_000
 #: Distinct pairs a task gathers before it hands their counts on.
@@ -54,42 +59,43 @@ def byte_table() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def align(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
-    """Where the groups end in both lists of cumulative ends: numbers of tokens before."""
-    index_a = {end: i for i, end in enumerate(ends_a, 1)}
-    index_b = {end: i for i, end in enumerate(ends_b, 1)}
-    return [(index_a[end], index_b[end]) for end in sorted(index_a.keys() & index_b.keys())]
+def align(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Groups of two lists of cumulative ends: how many tokens of each list stand before a
+    group's end, and the ends."""
+    index_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
+    index_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
+    ends = sorted(index_a.keys() & index_b.keys())
+    return (np.array(list(map(index_a.__getitem__, ends)), np.int64),
+            np.array(list(map(index_b.__getitem__, ends)), np.int64), ends)
 
 
-def expand(a: list[int], b: list[int]) -> dict[int, int]:
-    """Linked pairs of one group (A id << 32 | B id) and how often each is linked.
+def expand(ids_a: np.ndarray, ids_b: np.ndarray, n_a: np.ndarray,
+           n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Linked pairs (A id << 32 | B id) group by group, how often each is linked, and the
+    number of pairs of each group.
 
-    Tokens that repeat in a group are counted first, so the pairs grow with the distinct ones.
+    In a group of more than ``SMALL`` links repeated tokens are counted first, so its pairs
+    grow with the distinct tokens.
     """
-    if len(a) == 1 and len(b) == 1:
-        return {a[0] << 32 | b[0]: 1}
-    times_a, times_b = ({t: ids.count(t) for t in set(ids)} if len(ids) < 32 else
-                        dict(zip(*map(np.ndarray.tolist, np.unique(ids, return_counts=True))))
-                        for ids in (a, b))
-    return {x << 32 | y: n * m for x, n in times_a.items() for y, m in times_b.items()}
-
-
-class Aligned:
-    """One chunk: numbers of tokens, groups and links, the groups as text, and its pairs."""
-
-    __slots__ = ("counts", "groups", "pairs", "times")
-
-    def __init__(self, a: list[int], b: list[int], stops: list[tuple[int, int]]):
-        text, pairs, links, at_a, at_b = [], {}, 0, 0, 0
-        for stop_a, stop_b in stops:
-            in_a, in_b = a[at_a:stop_a], b[at_b:stop_b]
-            for pair, n in expand(in_a, in_b).items():
-                pairs[pair] = pairs.get(pair, 0) + n
-            links += len(in_a) * len(in_b)
-            text.append(f"{','.join(map(str, in_a))}|{','.join(map(str, in_b))}")
-            at_a, at_b = stop_a, stop_b
-        self.counts = (len(a), len(b), len(stops), links)
-        self.groups, self.pairs, self.times = ";".join(text), tuple(pairs), tuple(pairs.values())
+    start_a, start_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+    small = n_a * n_b <= SMALL
+    sizes = np.where(small, n_a * n_b, 0)
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    pairs = (ids_a[start_a[group] + at // n_b[group]] << 32) | ids_b[start_b[group] + at % n_b[group]]
+    times = np.ones(len(pairs), np.int64)
+    if small.all():
+        return pairs, times, sizes
+    parts, counts, owners = [pairs], [times], [group]
+    for g in np.flatnonzero(~small).tolist():
+        a, times_a = np.unique(ids_a[start_a[g]:start_a[g] + n_a[g]], return_counts=True)
+        b, times_b = np.unique(ids_b[start_b[g]:start_b[g] + n_b[g]], return_counts=True)
+        parts.append(((a << 32)[:, None] | b).ravel())
+        counts.append(np.outer(times_a, times_b).ravel())
+        owners.append(np.full(len(parts[-1]), g))
+        sizes[g] = len(parts[-1])
+    order = np.argsort(np.concatenate(owners), kind="stable")
+    return np.concatenate(parts)[order], np.concatenate(counts)[order], sizes
 
 
 class Aligner:
@@ -112,34 +118,94 @@ class Aligner:
                 raise ValueError("a piece goes on after a blank")
             self.bytes_b.append(bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i)
                                 else piece.replace(BLANK, " ").encode())
-        self.recent = Recent(MEMORY)
-
-    def _align(self, chunks: list[str]) -> list[Aligned | bool]:
-        """False for chunks whose tokens do not give back their bytes."""
-        of_a, of_b = self.bytes_a, self.bytes_b
-        out: list[Aligned | bool] = []
-        encoded = self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)
-        for chunk, found, b in zip(chunks, encoded, self.b.encode(chunks, num_threads=1)):
-            a, wanted = found.ids, b" " + chunk.encode()
-            tokens_a, tokens_b = [of_a[i] for i in a], [of_b[i] for i in b]
-            if b"".join(tokens_a) != wanted or b"".join(tokens_b) != wanted:
-                out.append(False)
-                continue
-            stops = ([(1, 1)] if len(a) == len(b) == 1 else
-                     align(list(accumulate(map(len, tokens_a))),
-                           list(accumulate(map(len, tokens_b)))))
-            out.append(Aligned(a, b, stops))
+        self.lengths_a = np.zeros(max(self.bytes_a) + 1, np.int64)
+        self.lengths_a[list(self.bytes_a)] = list(map(len, self.bytes_a.values()))
+        self.lengths_b = np.array(list(map(len, self.bytes_b)), np.int64)
+        # ids as text with what follows them: a comma inside, a bar after A, a semicolon after B
+        self.text_a = [f"{i}{end}" for end in ",|" for i in range(len(self.lengths_a))]
+        self.text_b = [f"{i}{end}" for end in ",;" for i in range(len(self.bytes_b))]
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the columns of aligned chunks."""
+        self.rows: dict[str, int] = {}
+        self.good = np.zeros(0, bool)
+        self.counts = np.zeros((0, 4), np.int64)
+        self.sizes = np.zeros(0, np.int64)
+        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.texts: list[str] = []
+
+    def _encode(self, blocks: list[list[str]]) -> list[tuple[list[str], list[int], list[int]]]:
+        """Chunks, A ids and B ids of blocks whose tokens give back their bytes; blocks that
+        do not are tried chunk by chunk, and such a chunk has no ids."""
+        out, texts = [], [" ".join(block) for block in blocks]
+        encoded = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        for block, text, found, b in zip(blocks, texts, encoded,
+                                         self.b.encode(texts, num_threads=1)):
+            a, wanted = found.ids, b" " + text.encode()
+            if (b"".join(map(self.bytes_a.__getitem__, a)) == wanted
+                    and b"".join(map(self.bytes_b.__getitem__, b)) == wanted):
+                out.append((block, a, b))
+            elif len(block) == 1:
+                out.append((block, [], []))
+            else:
+                out += self._encode([[chunk] for chunk in block])
         return out
 
-    def chunks(self, chunks: list[str]) -> list[Aligned | bool]:
-        found = [self.recent.get(c) for c in chunks]
-        missed = [i for i, f in enumerate(found) if f is None]
-        if missed:
-            for i, made in zip(missed, self._align([chunks[i] for i in missed])):
-                found[i] = made
-                if len(chunks[i]) <= MEMORY_CHARS:
-                    self.recent.put(chunks[i], made)
-        return found
+    def _align(self, chunks: list[str]) -> None:
+        """Add the columns of new chunks."""
+        # white space at an end would join the blank between chunks
+        plain = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        kept = set(plain)
+        blocks = [plain[i:i + BLOCK] for i in range(0, len(plain), BLOCK)]
+        done = self._encode(blocks + [[c] for c in chunks if c not in kept])
+        ids_a = np.fromiter(chain.from_iterable(a for _, a, _ in done), np.int64)
+        ids_b = np.fromiter(chain.from_iterable(b for _, _, b in done), np.int64)
+        names = [c for block, _, _ in done for c in block]
+        good = np.array([bool(a) for block, a, _ in done for _ in block], bool)
+        length = np.where(good, [len(c.encode()) + 1 for c in names], 0)
+
+        stop_a, stop_b, ends = align(np.cumsum(self.lengths_a[ids_a]).tolist(),
+                                     np.cumsum(self.lengths_b[ids_b]).tolist())
+        n_a, n_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
+        # a chunk ends with a group, so groups, tokens and links of chunks are differences
+        upto = np.searchsorted(ends, np.cumsum(length), side="right")
+        before = np.concatenate([[0], upto[:-1]])
+        links = n_a * n_b
+        totals = np.concatenate([[[0] * 4], np.cumsum(
+            np.stack([n_a, n_b, np.ones_like(n_a), links], axis=1), axis=0)])
+        pairs, times, sizes = expand(ids_a, ids_b, n_a, n_b)
+        held = np.concatenate([[0], np.cumsum(sizes)])
+
+        self.rows.update(zip(names, range(len(self.rows), len(self.rows) + len(names))))
+        self.good = np.concatenate([self.good, good])
+        self.counts = np.concatenate([self.counts, totals[upto] - totals[before]])
+        self.sizes = np.concatenate([self.sizes, held[upto] - held[before]])
+        self.pairs, self.times = (np.concatenate([self.pairs, pairs]),
+                                  np.concatenate([self.times, times]))
+        self.texts += self._texts(ids_a, ids_b, stop_a, stop_b, totals[before, :2].sum(axis=1),
+                                  totals[upto, :2].sum(axis=1))
+
+    def _texts(self, ids_a, ids_b, stop_a, stop_b, begin, end) -> list[str]:
+        """Groups as text: of every group its A ids, then its B ids."""
+        place = np.empty(len(ids_a) + len(ids_b), np.int64)
+        n_a, n_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
+        last_a, last_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
+        last_a[stop_a - 1], last_b[stop_b - 1] = 1, 1
+        place[np.arange(len(ids_a)) + np.repeat(stop_b - n_b, n_a)] = (
+            ids_a + last_a * len(self.lengths_a))
+        place[np.arange(len(ids_b)) + np.repeat(stop_a, n_b)] = (
+            ids_b + last_b * len(self.bytes_b) + len(self.text_a))
+        words = list(map((self.text_a + self.text_b).__getitem__, place.tolist()))
+        return ["".join(words[a:b])[:-1] for a, b in zip(begin.tolist(), end.tolist())]
+
+    def rows_of(self, chunks: list[str]) -> np.ndarray:
+        """Rows of the columns, one for each chunk."""
+        if len(self.rows) > MEMORY or len(self.pairs) > MEMORY_PAIRS:
+            self.forget()
+        if missed := [c for c in chunks if c not in self.rows]:
+            self._align(missed)
+        return np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -156,26 +222,22 @@ def _batch(aligner: Aligner, texts: list[str | None]) -> tuple[list, list, list,
     """For every text its four counts, its groups, and its sorted pairs with their times."""
     numbers = Numbers()
     codes = [np.array(list(map(numbers.__getitem__, cut(text or ""))), np.int64) for text in texts]
-    found = aligner.chunks(list(numbers))
-    good = np.array([bool(f) for f in found], bool)
-    none = (0, 0, 0, 0)
-    counts = np.array([f.counts if f else none for f in found], np.int64).reshape(-1, 4)
-    groups = [f.groups if f else "" for f in found]
-    sizes = np.array([len(f.pairs) if f else 0 for f in found], np.int64)
+    rows = aligner.rows_of(list(numbers))
+    sizes, groups = aligner.sizes, aligner.texts
     starts = np.cumsum(sizes) - sizes
-    pairs = np.fromiter(chain.from_iterable(f.pairs for f in found if f), np.int64, int(sizes.sum()))
-    times = np.fromiter(chain.from_iterable(f.times for f in found if f), np.int64, len(pairs))
     out = ([], [], [], [])
     for of in codes:
-        if not len(of) or not good[of].all():
-            row = none, "", pairs[:0], times[:0]
+        of = rows[of]
+        if not len(of) or not aligner.good[of].all():
+            row = (0, 0, 0, 0), "", aligner.pairs[:0], aligner.times[:0]
         else:
             distinct, repeats = np.unique(of, return_counts=True)
             at = gather(distinct, starts, sizes)
-            names, place = np.unique(pairs[at], return_inverse=True)
-            total = np.zeros(len(names), np.int64)
-            np.add.at(total, place, times[at] * np.repeat(repeats, sizes[distinct]))
-            row = counts[of].sum(axis=0).tolist(), ";".join([groups[i] for i in of]), names, total
+            names, place = np.unique(aligner.pairs[at], return_inverse=True)
+            total = np.bincount(place, aligner.times[at] * np.repeat(repeats, sizes[distinct]),
+                                len(names)).astype(np.int64)
+            row = (aligner.counts[of].sum(axis=0).tolist(),
+                   ";".join([groups[i] for i in of.tolist()]), names, total)
         for column, value in zip(out, row):
             column.append(value)
     return out
@@ -223,8 +285,8 @@ def groups(docs: DataFrame, path_a: str, path_b: str, *, key: str = "doc_id",
             ["__key", *COUNTS, "groups", "__pairs"])
 
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-    return map_batches(rows, f"__key {kind}, n_a long, n_b long, n_groups long, n_links long, "
-                             "groups string, __pairs binary", run)
+    return map_joined(rows, f"__key {kind}, n_a long, n_b long, n_groups long, n_links long, "
+                            "groups string, __pairs binary", run, BATCH_BYTES)
 
 
 def pair_counts(found: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -78,13 +79,25 @@ ODD = [None, "", " ", "   ", "a▁b", "<s>x</s><|endoftext|>", "<0x41>", "\x00x"
        " a", "a ", "=" * 700, "ab" * 2000]
 
 
-def test_align_and_expand():
-    assert token_alignment.align([2, 3, 7], [1, 3, 5, 7]) == [(2, 2), (3, 4)]
-    assert token_alignment.align([], []) == []
-    assert token_alignment.expand([5, 5, 6], [7, 8, 7]) == {
-        5 << 32 | 7: 4, 5 << 32 | 8: 2, 6 << 32 | 7: 2, 6 << 32 | 8: 1}
-    many = token_alignment.expand([5] * 50 + [6], [7] * 40)
-    assert many == {5 << 32 | 7: 2000, 6 << 32 | 7: 40}
+def test_align():
+    a, b, ends = token_alignment.align([2, 3, 7], [1, 3, 5, 7])
+    assert (a.tolist(), b.tolist(), ends) == ([2, 3], [2, 4], [3, 7])
+    assert [len(x) for x in token_alignment.align([], [])] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("small", [0, 3, 1000])
+def test_expand(monkeypatch, small):
+    monkeypatch.setattr(token_alignment, "SMALL", small)
+    groups = [([5, 5, 6], [7, 8, 7]), ([1], [2]), ([5] * 50 + [6], [7] * 40), ([3], [4, 4])]
+    a, b = (np.array([i for g in groups for i in g[side]]) for side in (0, 1))
+    pairs, times, sizes = token_alignment.expand(
+        a, b, np.array([len(g[0]) for g in groups]), np.array([len(g[1]) for g in groups]))
+    ends = np.cumsum(sizes)
+    for (x, y), end, n in zip(groups, ends, sizes):
+        got = Counter()
+        for pair, t in zip(pairs[end - n:end].tolist(), times[end - n:end].tolist()):
+            got[pair] += t
+        assert got == Counter(i << 32 | j for i in x for j in y)
 
 
 @pytest.mark.parametrize("hot", [0, 5, 1000, token_alignment.HOT_PAIRS])
@@ -98,11 +111,15 @@ def test_counts(make_docs, library, hot):
         digested(expected)
 
 
-def test_forgetting_and_pending(make_docs, library, monkeypatch):
+def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(token_alignment, "MEMORY", 2)
     rows = list(enumerate(strings(40)))
-    found = token_alignment._batch(token_alignment.Aligner(*PATHS), [t for _, t in rows])
-    assert found[1] == [b[-1] for b in sorted(brute(library, rows))]
+    aligner = token_alignment.Aligner(*PATHS)
+    for _ in range(2):
+        found = token_alignment._batch(aligner, [t for _, t in rows])
+        assert found[1] == [b[-1] for b in sorted(brute(library, rows))]
+        known = token_alignment._batch(aligner, [t for _, t in rows[:3]])
+        assert known[1] == found[1][:3]
 
 
 def test_empty_table(make_docs):
