@@ -85,12 +85,15 @@ def _is_dense(texts: list[str], vocabulary: str, max_ratio: float) -> bool:
 
 def dense_spans(text: str, taken: list[tuple[int, int, str]], vocabulary: str,
                 known: frozenset[str], max_ratio: float) -> list[tuple[int, int, str]]:
-    """Spans of random strings that overlap none of ``taken``."""
-    found = []
+    """Spans of random strings that overlap none of ``taken``, which is in order of start."""
+    found, at, upto = [], 0, 0
     for m in CANDIDATE.finditer(text):
         run = m.group()
-        if (not re.search("[A-Za-z]", run)
-                or any(a < m.end() and m.start() < b for a, b, _ in taken)
+        # runs and spans are both in order, so each span is passed once
+        while at < len(taken) and taken[at][0] < m.end():
+            upto = max(upto, taken[at][1])
+            at += 1
+        if (upto > m.start() or not re.search("[A-Za-z]", run)
                 or run in known or DIGEST.fullmatch(run)
                 or not _is_dense([run], vocabulary, max_ratio)):
             continue

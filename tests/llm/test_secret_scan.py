@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import re
 
 import public_tokenizers
@@ -94,3 +95,16 @@ def test_random_strings_of_one_case_are_found(letters, least):
                                   "rechtsschutzversicherungsgesellschaften"])
 def test_words_are_no_secrets(text):
     assert not secret_scan.dense_spans(text, [], VOCABULARY, frozenset(), 1.85)
+
+
+def test_many_spans_take_linear_time():
+    """A checksum list of ten megabytes: candidates and spans are walked together."""
+    draw = random.Random(9)
+    line = "".join(draw.choices("0123456789abcdef", k=64))
+    text = "\n".join(f"{line}  {RANDOM}" for _ in range(110_000))
+    base = secret_scan.pattern_spans(text)
+    assert len(base) == 110_000
+    start = time.perf_counter()
+    found = secret_scan.dense_spans(text, base, VOCABULARY, frozenset(), 1.85)
+    assert len(found) == 110_000 and found[1][0] == found[0][0] + 64 + 2 + len(RANDOM) + 1
+    assert time.perf_counter() - start < 60
