@@ -66,13 +66,15 @@ class UrlTrie:
         ends = node.setdefault("ends", {})
         if part not in ends or rule.verdict == "block":
             ends[part] = rule
+        node["lengths"] = sorted({*map(len, ends)}, reverse=True)
 
     @staticmethod
     def _longest_path(node: dict, segments: list[str]) -> Rule | None:
         best = None
         for at, segment in enumerate(segments):
-            for stop in range(len(segment), -1, -1):
-                found = node.get("ends", {}).get(segment[:stop])
+            # only the lengths that the node's entries have
+            for stop in node.get("lengths", ()):
+                found = node["ends"].get(segment[:stop]) if stop <= len(segment) else None
                 if found:
                     best = found
                     break

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from haulmetrics.llm import url_filter
@@ -46,3 +48,11 @@ def test_rules_beyond_the_bound_are_refused(monkeypatch):
     monkeypatch.setattr(url_filter, "MAX_BROADCAST_BYTES", 20)
     with pytest.raises(ValueError):
         url_filter.UrlTrie([url_filter.Rule("block", "a.example", "/x")])
+
+
+def test_long_paths_take_linear_time():
+    trie = url_filter.UrlTrie(url_filter.Rule(*r) for r in URL_RULES + EXTRA)
+    start = time.perf_counter()
+    assert trie.match("example.org", "/en/1" + "x" * 1_000_000).path == "/en/1"
+    assert trie.match("a.com", "/x" * 500_000) is None
+    assert time.perf_counter() - start < 5
