@@ -40,7 +40,6 @@ SCALE = 10.0
 #: Passes over the sample are repeated up to about this many steps.
 STEPS = 9000
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def ngram_ids(text: str) -> Iterator[np.ndarray]:
@@ -81,7 +80,7 @@ class LanguageModel:
         return total / max(n, 1) + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not LETTER.search(text) or not self.languages:
+        if not text or not any(map(str.isalpha, text)) or not self.languages:
             return UNDETERMINED, 0.0
         p = softmax(self.logits(text) / self.temperature)
         best = int(p.argmax())

@@ -93,6 +93,13 @@ def test_without_training_rows(make_docs, rows):
     assert [tuple(r)[1:] for r in got] == [("und", 0.0)] * len(rows)
 
 
+def test_signs_that_are_no_letters(make_docs):
+    docs = make_docs([(i, "the cat and the dog", "en", "s") for i in range(9)])
+    asked = make_docs([(1, "½ ² Ⅷ", None, "s"), (2, "½ a", None, "s")])
+    got = language_id.predict(asked, language_id.fit(docs)).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {1: "und", 2: "en"}
+
+
 def test_held_out_accuracy(prepared, sf_dir):
     docs = prepared.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     got = op2_language_id(prepared, sf_dir).join(docs, "doc_id").where("held_out").collect()
