@@ -196,8 +196,9 @@ def _parsed(records: DataFrame, payloads: bool) -> DataFrame:
     return records.select(*named, *([F.col("payload")] if payloads else []))
 
 
-def page_key(urn: str) -> Column:
-    return F.expr(f"try_cast(substr({urn}, {len(KEY_URN) + 1}) AS bigint)")
+def page_key(urn: str, kind: str = "bigint") -> Column:
+    """The key in a record id, in the type it had; null if it is of no such type."""
+    return F.expr(f"try_cast(substr({urn}, {len(KEY_URN) + 1}) AS {kind})")
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
@@ -206,5 +207,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     path = new_path(spark, "archives")
     write_archives(pages, path)
     found = read_archives(spark, path)
-    return found.select(page_key("record_id").alias("page_id"), "payload_bytes", "payload_digest",
-                        "record_type", page_key("refers_to_id").alias("refers_to"))
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return found.select(page_key("record_id", kind).alias("page_id"), "payload_bytes",
+                        "payload_digest", "record_type",
+                        page_key("refers_to_id", kind).alias("refers_to"))

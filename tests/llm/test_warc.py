@@ -51,6 +51,13 @@ def test_round_trip(pages, parts):
     assert sorted(map(tuple, found.collect()), key=str) == brute(ROWS)
 
 
+def test_text_keys(prepared):
+    rows = [("a-1", "u", "x" * 100), ("a-2", "u", "x" * 100), ("b", "u", "y")]
+    pages = prepared.createDataFrame(rows, "page_id string, url string, html string")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.round_trip(pages).collect()}
+    assert got == {"a-1": ("response", None), "a-2": ("revisit", "a-1"), "b": ("response", None)}
+
+
 def test_payloads_and_headers(pages, prepared):
     path = new_path(prepared, "archives")
     warc.write_archives(pages(ROWS), path)
