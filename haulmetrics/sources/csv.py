@@ -13,6 +13,7 @@ from haulmetrics.functions.numeric import to_number
 from haulmetrics.schema import (LABEL_COLUMNS, MARKET_DATES, MARKET_NUMBERS, MARKET_TABLES,
                                 MISSING_TOKENS, NUMERIC_COLUMNS, ORDER_COLUMNS, PRIMARY_SOURCE,
                                 SECOND_SOURCE, STRING)
+from haulmetrics.sources.quoted import lines, read_records
 from haulmetrics.sources.tables import path_exists
 
 
@@ -23,7 +24,7 @@ def known_text(column: str) -> Column:
 
 def read_csv(spark: SparkSession, path: str, columns: Iterable[str] | None = None,
              keep_tokens: Iterable[str] = ("delay_reason",), *, optional: Iterable[str] = (),
-             multi_line: bool = False, check_quotes: bool = False) -> DataFrame:
+             multi_line: bool = False, check_quotes: bool = True) -> DataFrame:
     """CSV with header as text columns, missing-value words mapped to null.
 
     Columns are found by their header, whatever their order; others are left
@@ -32,14 +33,16 @@ def read_csv(spark: SparkSession, path: str, columns: Iterable[str] | None = Non
     replacement character. In the ``keep_tokens`` columns a word such as
     "None" is a value.
 
-    Quoted line breaks need ``multi_line``, and then a file is one task.
-    Without it a file is split, and ``check_quotes`` scans it once more for
-    records that such a break would tear apart, which is an error.
+    Files are read in splits. A scan up to the first line with an odd number
+    of quotes tells whether any record goes on over a quoted line break; if
+    so, ``read_records`` puts records together across lines and blocks.
+    ``check_quotes=False`` saves the scan for files known to have no such
+    break; ``multi_line`` reads each file in one task instead.
     """
     reader = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
-    if check_quotes and not multi_line and not torn_records(spark, path).isEmpty():
-        raise ValueError(f"{path}: quoted line breaks, read it with multi_line=True")
     df = reader.option("multiLine", multi_line).csv(path)
+    if check_quotes and not multi_line and not torn_records(spark, path).isEmpty():
+        df = read_records(spark, path, df.columns)
     wanted, optional = list(columns or df.columns), set(optional)
     if lacking := [c for c in wanted if c not in df.columns and c not in optional]:
         raise ValueError(f"{path} has no column {', '.join(lacking)}")
@@ -56,8 +59,7 @@ def read_csv(spark: SparkSession, path: str, columns: Iterable[str] | None = Non
 
 def torn_records(spark: SparkSession, path: str) -> DataFrame:
     """Lines with an odd number of quotes: a quoted value goes on in the next line."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return spark.read.text(path).where(quotes % 2 == 1)
+    return lines(spark, path).where("odd").select("value")
 
 
 def labels_to_text(df: DataFrame) -> DataFrame:
@@ -88,7 +90,7 @@ def extract_orders(spark: SparkSession, path: str, second_path: str | None = Non
 
 def read_order_feed(spark: SparkSession, path: str) -> DataFrame:
     """One canonical feed: its 25 columns by name."""
-    return typed_orders(read_csv(spark, path, ORDER_COLUMNS, check_quotes=True))
+    return typed_orders(read_csv(spark, path, ORDER_COLUMNS))
 
 
 def typed_market(df: DataFrame) -> DataFrame:
@@ -99,8 +101,7 @@ def typed_market(df: DataFrame) -> DataFrame:
 
 
 def read_market_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return typed_market(read_csv(spark, f"{folder}/{name}", MARKET_TABLES[name].names,
-                                 check_quotes=True))
+    return typed_market(read_csv(spark, f"{folder}/{name}", MARKET_TABLES[name].names))
 
 
 def read_market(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

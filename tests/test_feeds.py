@@ -1,6 +1,8 @@
 """Feeds: header mapping, ids, CSV reading, paged JSON, marketplace edge cases."""
 
+import csv as python_csv
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -231,10 +233,51 @@ def test_quoted_line_breaks(spark, tmp_path):
     path = str(tmp_path / "f.csv")
     (tmp_path / "f.csv").write_text('a,b\n"one\ntwo",x\n"say ""hi""",y\n')
     assert csv.torn_records(spark, path).count() == 2
-    with pytest.raises(ValueError, match="multi_line"):
-        csv.read_csv(spark, path, check_quotes=True)
-    got = {tuple(r) for r in csv.read_csv(spark, path, multi_line=True).collect()}
-    assert got == {("one\ntwo", "x"), ('say "hi"', "y")}
+    expected = {("one\ntwo", "x"), ('say "hi"', "y")}
+    assert {tuple(r) for r in csv.read_csv(spark, path).collect()} == expected
+    assert {tuple(r) for r in csv.read_csv(spark, path, multi_line=True).collect()} == expected
+
+
+@pytest.mark.parametrize("block", [97, 1000, 1 << 20])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_line_breaks_across_blocks(spark, tmp_path, block, end):
+    """Records that begin in one block and end in another, or hold whole blocks."""
+    draw = random.Random(block)
+    rows = [(str(i), "".join(draw.choices(["x", "\n", '"', ",", "word "], k=draw.choice([0, 3, 300]))))
+            for i in range(80)] + [("last", "y")]
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    for name, part in (("a.csv", rows[:50]), ("b.csv", rows[50:])):
+        with open(folder / name, "w", newline="") as out:
+            writer = python_csv.writer(out, lineterminator=end)
+            writer.writerow(["id", "note"])
+            writer.writerows(part)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        got = [tuple(r) for r in csv.read_csv(spark, str(folder), ["id", "note"]).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(got) == sorted((i, t) for i, t in rows) or \
+        sorted((i, t or "") for i, t in got) == sorted(rows)
+
+
+def test_torn_feeds_are_read_whole_by_every_entry(spark, tmp_path):
+    row = {n: "" for n in ORDER_COLUMNS} | {"order_id": "ORD-1", "carrier": "two\nlines"}
+    with open(tmp_path / "f.csv", "w", newline="") as out:
+        writer = python_csv.DictWriter(out, ORDER_COLUMNS)
+        writer.writeheader()
+        writer.writerows([row, row | {"order_id": "ORD-2"}])
+    path = str(tmp_path / "f.csv")
+    for feed in (csv.extract_orders(spark, path), csv.read_order_feed(spark, path)):
+        assert sorted((r["order_id"], r["carrier"]) for r in feed.collect()) == [
+            ("ORD-1", "two\nlines"), ("ORD-2", "two\nlines")]
+
+
+def test_quotes_must_balance(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('a,b\n"one\ntwo,x\n')
+    with pytest.raises(ValueError, match="balance"):
+        csv.read_csv(spark, str(tmp_path / "f.csv"))
 
 
 def test_a_repeated_page_hides_no_missing_one(spark, tmp_path):
