@@ -99,6 +99,20 @@ def inferred_mode(spark, sf):
     return plan.infer_shipping_mode(stages.raw(spark, sf)).select("order_id", "shipping_mode")
 
 
+@query("c07_rejected_rows", S.with_(S.RAW, """
+SELECT step, CASE step WHEN 'dates' THEN 'no readable order date'
+    ELSE 'position missing or off the globe' END AS reason, copies, order_id, order_date, carrier,
+  product_category, destination_latitude, destination_longitude
+FROM (SELECT *, CASE WHEN try_strptime(order_date, '%Y-%m-%d') IS NULL THEN 'dates'
+    WHEN NOT coalesce(destination_latitude BETWEEN -90 AND 90
+      AND destination_longitude BETWEEN -180 AND 180, false) THEN 'coordinates' END AS step
+  FROM (SELECT *, count(*) AS copies FROM shipments_raw GROUP BY ALL)) WHERE step IS NOT NULL"""))
+def rejected_rows(spark, sf):
+    return plan.routed(stages.raw(spark, sf))[2].select(
+        "step", "reason", "copies", "order_id", "order_date", "carrier", "product_category",
+        "destination_latitude", "destination_longitude")
+
+
 @query("p22_default_category", S.with_(S.RAW, """
 SELECT order_id, coalesce(product_category, 'Unknown') AS product_category FROM shipments_raw"""))
 def default_category(spark, sf):

@@ -265,6 +265,19 @@ def postcode_centroids(spark, sf):
                          round_even("lat", 6).alias("lat"), round_even("lng", 6).alias("lng"))
 
 
+@query("p13_merged_keys", S.with_(S.JOINED, "\nUNION ALL ".join(f"""
+SELECT '{column}' AS "column", {length}::INTEGER AS length, coalesce(sum(n), 0)::BIGINT AS keys,
+  coalesce(sum(n) FILTER (n > 1), 0)::BIGINT AS merged
+FROM (SELECT count(*) AS n FROM (SELECT DISTINCT {key} AS k FROM joined WHERE {key} IS NOT NULL)
+      GROUP BY {'k' if length == 'NULL' else f'left(k, {length})'})"""
+    for column, key, length in (("customer_id", "customer_id", 12), ("product_id", "product_id", 12),
+                                ("origin_warehouse_id", "seller_id", 2), ("carrier", "seller_id", "NULL")))))
+def merged_keys(spark, sf):
+    """What cuts merge: the usual lengths, a short one, and the whole key."""
+    return marketplace.merged_keys(stages.joined(spark, sf), {
+        **marketplace.KEY_LENGTHS, "origin_warehouse_id": 2, "carrier": None})
+
+
 @query("p13_prefixed_keys", S.with_(S.MARKET, """
 SELECT 'PROD-' || left(product_id, 12) AS product, 'SELLER-' || left(seller_id, 8) AS origin,
   'Seller-' || left(seller_id, 6) AS carrier, price FROM m_items"""))

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from checks import fixture, sql as S, stages
 from checks.registry import query
-from haulmetrics.functions.dates import parse_timestamp
+from haulmetrics.functions.dates import date_formats, infer_formats, parse_timestamp
 from haulmetrics.functions.numeric import to_number
 from haulmetrics.plans import analytics, quality, report
 from haulmetrics.schema import MARKET_DATES, ORDER_COLUMNS
-from haulmetrics.session import new_path
+from haulmetrics.session import new_path, stage
 from haulmetrics.sources import csv, json_pages, tables
 
 @query("s01_csv_scan", S.with_(S.RAW, f"""
@@ -71,6 +71,51 @@ def csv_dates(spark, sf):
     return orders.select("order_id", *MARKET_DATES)
 
 
+#: Feeds that write their dates in a form of their own; the last one mixes two.
+_DATE_FEEDS = {"day first": "dd/MM/yyyy", "month first": "MM/dd/yyyy HH:mm:ss",
+               "month names": "dd-MMM-yyyy", "dots": "d.M.yyyy", "mixed": "dd/MM/yyyy"}
+
+
+def _date_feeds(spark, sf):
+    orders = fixture.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    for feed, form in _DATE_FEEDS.items():
+        text = F.date_format("o_orderdate", form)
+        if feed == "mixed":
+            text = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")) \
+                .otherwise(text)
+        yield feed, stage(orders.select("o_orderkey", text.alias("order_date")), "dates")
+
+
+@query("s04_inferred_dates", f"""
+SELECT feed, o_orderkey, strftime(o_orderdate::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS order_date
+FROM orders, (SELECT unnest({list(_DATE_FEEDS)}) AS feed)""")
+def inferred_dates(spark, sf):
+    return csv.stack([
+        df.select(F.lit(feed).alias("feed"), "o_orderkey",
+                  parse_timestamp("order_date", infer_formats(df, "order_date")).alias("order_date"))
+        for feed, df in _date_feeds(spark, sf)])
+
+
+@query("s04_date_formats", """
+WITH t AS (SELECT o_orderkey % 2 = 0 AS even, day(o_orderdate) <= 12 AS low FROM orders),
+found(feed, format, parsed, chosen, place) AS (
+  SELECT 'day first', 'd/M/yyyy[ H:mm[:ss]]', count(*), count(*), 1 FROM t
+  UNION ALL SELECT 'day first', 'M/d/yyyy[ H:mm[:ss]]', count(*) FILTER (low), 0, 2 FROM t
+  UNION ALL SELECT 'month first', 'M/d/yyyy[ H:mm[:ss]]', count(*), count(*), 1 FROM t
+  UNION ALL SELECT 'month first', 'd/M/yyyy[ H:mm[:ss]]', count(*) FILTER (low), 0, 2 FROM t
+  UNION ALL SELECT 'mixed', 'ISO', count(*) FILTER (even), count(*) FILTER (even), 1 FROM t
+  UNION ALL SELECT 'mixed', 'd/M/yyyy[ H:mm[:ss]]', count(*) FILTER (NOT even),
+    count(*) FILTER (NOT even), 2 FROM t
+  UNION ALL SELECT 'mixed', 'M/d/yyyy[ H:mm[:ss]]', count(*) FILTER (NOT even AND low), 0, 3 FROM t)
+SELECT feed, format, parsed, parsed / (SELECT count(*) FROM t) AS share,
+  parsed = (SELECT count(*) FROM t) AS fits_all, place::INTEGER AS place, chosen,
+  false AS ambiguous FROM found""")
+def date_format_report(spark, sf):
+    return csv.stack([date_formats(df, "order_date").withColumn("feed", F.lit(feed))
+                      for feed, df in _date_feeds(spark, sf)
+                      if feed in ("day first", "month first", "mixed")])
+
+
 _CONTENTS = {
     "orders": (["order_id", "customer_id", "order_status"], []),
     "items": (["order_id", "order_item_id", "product_id", "seller_id"], ["price", "freight_value"]),

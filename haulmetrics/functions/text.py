@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from haulmetrics.functions.numeric import as_col
 
 
+#: White space of Unicode, and the four separators that Python strips as well.
+BLANKS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+                           *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(value: Column | str) -> Column:
     """Drop leading and trailing white space of any kind (``trim`` drops blanks only)."""
-    return F.btrim(as_col(value), F.lit(" \t\n\r\x0b\x0c"))
+    return F.btrim(as_col(value), F.lit(BLANKS))
 
 
 def title(value: Column | str) -> Column:

@@ -12,12 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from haulmetrics.functions.dates import EXTRA_FORMATS, parse_timestamp
+from haulmetrics.functions.dates import EXTRA_FORMATS, infer_formats, parse_timestamp
 from haulmetrics.functions.numeric import binned, round_even
 from haulmetrics.functions.text import strip, title
 from haulmetrics.operators.impute import fill_from_groups
 from haulmetrics.schema import MODE_BY_PROMISED_DAYS
-from haulmetrics.session import stage
+from haulmetrics.session import new_path, stage
 
 # Columns filled from group medians, with the columns that form the group.
 IMPUTED = [
@@ -38,8 +38,14 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in doubles})
 
 
-def parse_order_dates(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS) -> DataFrame:
-    """Text dates to timestamps; malformed ones become null."""
+def parse_order_dates(df: DataFrame, formats: Sequence[str] | None = EXTRA_FORMATS) -> DataFrame:
+    """Text dates to timestamps; malformed ones become null.
+
+    ``formats=None`` takes the forms that the column itself is written in, found in one
+    pass over it.
+    """
+    if formats is None:
+        formats = infer_formats(df, "order_date")
     return df.withColumn("order_date", parse_timestamp("order_date", formats))
 
 
@@ -79,12 +85,18 @@ def convert_types(df: DataFrame) -> DataFrame:
     })
 
 
-def folded(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS) -> DataFrame:
+def folded(df: DataFrame, formats: Sequence[str] | None = EXTRA_FORMATS,
+           keep_text: bool = False) -> DataFrame:
     """Distinct rows with the number of their copies, dates parsed.
 
-    This is the only shuffle of whole rows: copies are folded before it.
+    This is the only shuffle of whole rows: copies are folded before it. ``keep_text``
+    keeps the text of the date beside it.
     """
+    if formats is None:
+        formats = infer_formats(df, "order_date")
     rows = nan_to_null(df.groupBy(*df.columns).agg(F.count("*").alias("__copies")))
+    if keep_text:
+        rows = rows.withColumn("__date_text", F.col("order_date"))
     return parse_order_dates(rows, formats)
 
 
@@ -113,7 +125,15 @@ def counters() -> list[Column]:
     return [*found, tally(valid).alias("output_rows")]
 
 
-def located(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS) -> tuple[DataFrame, DataFrame]:
+def _report_row(df: DataFrame, found: dict[str, int]) -> DataFrame:
+    found = {name: int(n) for name, n in found.items()}
+    found["rows_dropped_total"] = found["input_rows"] - found["output_rows"]
+    return df.sparkSession.createDataFrame(
+        [tuple(found.values())], ", ".join(f"{name} bigint" for name in found))
+
+
+def located(df: DataFrame,
+            formats: Sequence[str] | None = EXTRA_FORMATS) -> tuple[DataFrame, DataFrame]:
     """Rows that survive cleaning, before imputation, as a staged table, and the counters.
 
     The counters are observed while the table is written, so nothing runs twice.
@@ -122,28 +142,63 @@ def located(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS) -> tuple[Data
     rows = folded(df, formats).observe(seen, *counters()).drop("__copies")
     table = stage(standardised(rows.where("order_date is not null")).where(valid_coordinates()),
                   "located")
-    found = {name: int(n) for name, n in seen.get.items()}
-    found["rows_dropped_total"] = found["input_rows"] - found["output_rows"]
-    report = df.sparkSession.createDataFrame(
-        [tuple(found.values())], ", ".join(f"{name} bigint" for name in found))
-    return table, report
+    return table, _report_row(df, seen.get)
+
+
+#: Why a row is rejected, in the order of the steps.
+REASONS = {"dates": "no readable order date", "coordinates": "position missing or off the globe"}
+KEPT = "kept"
+
 
+def routed(df: DataFrame, formats: Sequence[str] | None = EXTRA_FORMATS,
+           ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Like ``located``, and the rejected rows.
 
-def clean_with_report(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS,
+    One pass writes every distinct row to the part of its outcome. A rejected row keeps the
+    values it came with: the columns of ``df``, the step and reason, and its copies.
+    """
+    seen = Observation("route")
+    outcome = (F.when(F.col("order_date").isNull(), "dates")
+               .when(~valid_coordinates(), "coordinates").otherwise(KEPT))
+    rows = folded(df, formats, keep_text=True).observe(seen, *counters())
+    rows = rows.withColumn("__outcome", outcome)
+    spark = df.sparkSession
+    path = new_path(spark, "routed")
+    rows.write.partitionBy("__outcome").parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    table = standardised(stored.where(F.col("__outcome") == KEPT)
+                         .drop("__outcome", "__copies", "__date_text"))
+    reasons = F.create_map(*[F.lit(x) for pair in REASONS.items() for x in pair])
+    rejected = (stored.where(F.col("__outcome") != KEPT)
+                .withColumn("order_date", F.col("__date_text"))
+                .select(F.col("__outcome").alias("step"), reasons[F.col("__outcome")].alias("reason"),
+                        F.col("__copies").alias("copies"), *df.columns))
+    return table, _report_row(df, seen.get), rejected
+
+
+def clean_with_report(df: DataFrame, formats: Sequence[str] | None = EXTRA_FORMATS,
                       **options) -> tuple[DataFrame, DataFrame]:
     """The cleaned orders table and one row of counters, from one pass over ``df``."""
     table, report = located(df, formats)
     return convert_types(fill_from_groups(table, IMPUTED, **options)), report
 
 
-def clean_orders(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS, **options) -> DataFrame:
+def clean_with_rejects(df: DataFrame, formats: Sequence[str] | None = EXTRA_FORMATS,
+                       **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The cleaned orders table, the counters and the rejected rows, from one pass."""
+    table, report, rejected = routed(df, formats)
+    return convert_types(fill_from_groups(table, IMPUTED, **options)), report, rejected
+
+
+def clean_orders(df: DataFrame, formats: Sequence[str] | None = EXTRA_FORMATS, **options) -> DataFrame:
     """The cleaned orders table."""
     return clean_with_report(df, formats, **options)[0]
 
 
-def clean_report(df: DataFrame, formats: Sequence[str] = EXTRA_FORMATS) -> DataFrame:
-    """One row of counters for ``clean_orders``."""
-    return located(df, formats)[1]
+def clean_report(df: DataFrame, formats: Sequence[str] | None = EXTRA_FORMATS) -> DataFrame:
+    """One row of counters for ``clean_orders``; nothing is written."""
+    found = folded(df, formats).agg(*counters())
+    return found.withColumn("rows_dropped_total", F.col("input_rows") - F.col("output_rows"))
 
 
 def clean_events(df: DataFrame) -> DataFrame:

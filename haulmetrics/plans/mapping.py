@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmetrics.functions.dates import EXTRA_FORMATS, parse_timestamp
+from haulmetrics.functions.dates import EXTRA_FORMATS, infer_formats, parse_timestamp
 from haulmetrics.functions.hashing import choice, uniform, uniform_int, uniform_real
 from haulmetrics.functions.numeric import round_even, to_number
 from haulmetrics.functions.text import digits_only, header_key
@@ -62,11 +63,13 @@ def duplicate_ids(df: DataFrame, column: str = "order_id") -> DataFrame:
 
 
 def id_expression(df: DataFrame) -> tuple[Column, bool]:
-    """Unique ids of the form ORD-<digits>, and whether they need ``row_number``.
+    """Ids of the form ORD-<digits>, and whether they need ``row_number``.
 
-    Without source ids, or with any repeated one, all rows are numbered.
-    Otherwise the digits of the source id are kept, and rows whose id has no
-    digits get their row number.
+    Without source ids, or with any repeated one, all rows are numbered, and
+    the ids are unique. Otherwise the digits of the source id are kept, and rows
+    whose id has no digits get their row number; source ids that differ in
+    other signs only ("A-1", "B-1") then share an id, which ``duplicate_ids``
+    counts.
     """
     facts = df.agg(F.count("*").alias("total"), F.count("order_id").alias("known"),
                    F.count_distinct("order_id").alias("ids"),
@@ -152,12 +155,14 @@ def known_counts(df: DataFrame) -> dict[str, int]:
 
 
 def map_to_schema(df: DataFrame, seed: int = 42,
-                  formats: Sequence[str] = EXTRA_FORMATS) -> DataFrame:
+                  formats: Sequence[str] | None = EXTRA_FORMATS) -> DataFrame:
     """The whole mapping. ``df`` should be a source or staged table: it is
     summarised once for ids and once for absent columns before the result is
-    planned.
+    planned. ``formats=None`` takes the date forms of the feed itself.
     """
     canonical = select_canonical(df)
+    if formats is None:
+        formats = infer_formats(canonical, "order_date")
     # Dates count as present when there is any text, even if none of it parses.
     known = known_counts(coerce_numbers(canonical))
     if not known["order_date"]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,24 +91,49 @@ def delay_reason() -> Column:
 ITEM_KEY = ("order_id", "order_item_id", "product_id", "seller_id")
 
 
-def map_to_schema(joined: DataFrame) -> DataFrame:
+# Signs of a key that its canonical id keeps; None keeps the whole key.
+KEY_LENGTHS = {"customer_id": 12, "product_id": 12, "origin_warehouse_id": 8, "carrier": 6}
+KEY_SOURCES = {"customer_id": "customer_id", "product_id": "product_id",
+               "origin_warehouse_id": "seller_id", "carrier": "seller_id"}
+
+
+def merged_keys(joined: DataFrame,
+                lengths: Mapping[str, int | None] = KEY_LENGTHS) -> DataFrame:
+    """For each canonical id: its length, the distinct keys, and how many of them share
+    their id with another key because of the cut."""
+    parts = []
+    for column, length in lengths.items():
+        source = KEY_SOURCES[column]
+        ids = (joined.where(F.col(source).isNotNull()).select(F.col(source).alias("key")).distinct()
+               .groupBy(prefixed("", "key", length)).agg(F.count("*").alias("n")))
+        parts.append(ids.agg(
+            F.lit(column).alias("column"), F.lit(length).cast("int").alias("length"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("keys"),
+            F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("merged")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def map_to_schema(joined: DataFrame,
+                  lengths: Mapping[str, int | None] = KEY_LENGTHS) -> DataFrame:
     """Canonical columns, with the four milestone times kept alongside.
 
-    ``joined`` should be a staged table.
+    ``joined`` should be a staged table. ``lengths`` are the signs that ids keep of their
+    keys, None for all; ``merged_keys`` counts what a cut merges.
     """
+    lengths = {**KEY_LENGTHS, **lengths}
     rows = number_rows(buyer_segment(joined), ITEM_KEY)
     canonical = {
         "order_id": F.format_string("ORD-OLIST-%07d", F.col("row_number")),
         "order_date": F.col("order_purchase_timestamp"),
-        "customer_id": prefixed("CUST-", "customer_id", 12),
+        "customer_id": prefixed("CUST-", "customer_id", lengths["customer_id"]),
         "customer_segment": F.col("customer_segment"),
-        "product_id": prefixed("PROD-", "product_id", 12),
+        "product_id": prefixed("PROD-", "product_id", lengths["product_id"]),
         "product_category": category_label(),
         "quantity": F.col("order_item_id"),
         "unit_price": F.col("price"),
         "discount_rate": F.lit(0.0),
         "weight_kg": F.col("product_weight_g") / 1000.0,
-        "origin_warehouse_id": prefixed("SELLER-", "seller_id", 8),
+        "origin_warehouse_id": prefixed("SELLER-", "seller_id", lengths["origin_warehouse_id"]),
         "origin_region": F.col("seller_state"),
         "destination_city": title("customer_city"),
         "destination_country": F.lit("Brazil"),
@@ -113,7 +141,7 @@ def map_to_schema(joined: DataFrame) -> DataFrame:
         "destination_latitude": F.col("geolocation_lat_cust"),
         "destination_longitude": F.col("geolocation_lng_cust"),
         "distance_km": distance(),
-        "carrier": prefixed("Seller-", "seller_id", 6),
+        "carrier": prefixed("Seller-", "seller_id", lengths["carrier"]),
         "shipping_mode": F.lit(None).cast("string"),
         "promised_delivery_days": promised_days(),
         "actual_delivery_days": actual_days(),

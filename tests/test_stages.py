@@ -9,12 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulmetrics.functions.dates import parse_timestamp, whole_days
+from haulmetrics.functions.dates import date_formats, parse_timestamp, whole_days
 from haulmetrics.functions.hashing import stable_fraction, uniform
 from haulmetrics.functions.numeric import binned, haversine_km, ratio, round_even, to_number
 from haulmetrics.functions.text import strip
 from haulmetrics.operators.attach import attach
-from haulmetrics.plans import analytics, clean, features, quality, report, split
+from haulmetrics.plans import (analytics, clean, features, marketplace, quality, report,
+                               split)
 from haulmetrics.plans.totals import group_totals, mean
 from haulmetrics.schema import (DISTANCE_BINS, FEATURE_COLUMNS, LABEL_COLUMNS, ORDER_COLUMNS,
                                 SIZE_BINS)
@@ -482,3 +483,60 @@ def test_rolling_trend_does_not_depend_on_chunks(spark):
     name = "rolling_avg_delay_7orders"
     assert by_id(analytics.rolling_delay(df), name) \
         == by_id(analytics.rolling_delay(df, chunk_rows=5), name)
+
+
+def test_formats_of_the_column_itself(spark):
+    df = raw(spark, *[dict(order_date=d) for d in (
+        "13/02/2024", "02/03/2024", "02-Jan-2024", "2024-05-06", "3 february 2024", "soon")])
+    got = {r["order_id"]: str(r["order_date"])[:10]
+           for r in clean.clean_orders(df, formats=None).collect()}
+    assert got == {"ORD-1": "2024-02-13", "ORD-2": "2024-03-02", "ORD-3": "2024-01-02",
+                   "ORD-4": "2024-05-06", "ORD-5": "2024-02-03"}
+
+
+def test_report_of_date_formats(spark):
+    def report(*texts):
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        return {r["format"][:8]: (r["parsed"], r["chosen"], r["place"], r["fits_all"], r["ambiguous"])
+                for r in date_formats(df, "t").collect()}
+
+    assert report("02/03/2024", "01/01/2024", None) == {
+        "M/d/yyyy": (2, 2, 1, True, True), "d/M/yyyy": (2, 0, 2, True, True)}
+    assert report("02/03/2024", "31/01/2024") == {
+        "d/M/yyyy": (2, 2, 1, True, False), "M/d/yyyy": (1, 0, 2, False, False)}
+    assert report("01/01/2024") == {  # both forms read the same time
+        "M/d/yyyy": (1, 1, 1, True, False), "d/M/yyyy": (1, 0, 2, True, False)}
+    assert report("2024-02-03", "13.02.2024") == {
+        "ISO": (1, 1, 1, False, False), "d.M.yyyy": (1, 1, 2, False, False)}
+    assert report() == {} and report(None, "soon") == {}
+
+
+def test_rejected_rows_keep_what_came(spark):
+    bad = dict(order_date="soon", carrier=" x ")
+    df = raw(spark, {}, bad, dict(destination_latitude=95.0), dict(destination_longitude=None))
+    df = stage(df.union(df.where("order_id = 'ORD-2'")), "twice")
+    cleaned, report, rejected = clean.clean_with_rejects(df)
+    assert rejected.columns == ["step", "reason", "copies", *df.columns]
+    got = {r["order_id"]: r for r in rejected.collect()}
+    assert {k: (r["step"], r["copies"]) for k, r in got.items()} == {
+        "ORD-2": ("dates", 2), "ORD-3": ("coordinates", 1), "ORD-4": ("coordinates", 1)}
+    assert (got["ORD-2"]["order_date"], got["ORD-2"]["carrier"]) == ("soon", " x ")
+    counts = report.first()
+    assert (counts["invalid_dates_dropped"], counts["invalid_coordinates_removed"]) == (1, 2)
+    assert [tuple(r) for r in cleaned.collect()] == [tuple(r) for r in clean.clean_orders(df).collect()]
+    assert report.collect() == clean.clean_report(df).collect()
+
+
+def test_strip_takes_every_unicode_blank(spark):
+    for blank in map(chr, range(0x3001)):
+        if blank.isspace():
+            assert one(spark, strip(F.lit(f"{blank}a b{blank}"))) == "a b"
+
+
+def test_whole_keys(spark):
+    df = spark.createDataFrame([("c1", "p", "abcdefgh1"), ("c1", "p", "abcdefgh2"), ("c2", None, "x")],
+                               "customer_id string, product_id string, seller_id string")
+    got = {r["column"]: (r["length"], r["keys"], r["merged"]) for r in marketplace.merged_keys(
+        df, {**marketplace.KEY_LENGTHS, "carrier": None}).collect()}
+    assert got == {"customer_id": (12, 2, 0), "product_id": (12, 1, 0),
+                   "origin_warehouse_id": (8, 3, 2), "carrier": (None, 3, 0)}
