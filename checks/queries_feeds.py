@@ -8,7 +8,7 @@ from checks import fixture, sql as S, stages
 from checks.registry import query
 from haulmetrics.functions.numeric import round_even
 from haulmetrics.functions.text import prefixed, title
-from haulmetrics.operators.numbering import number_rows, page_slice
+from haulmetrics.operators.numbering import number_file_rows, number_rows, page_slice
 from haulmetrics.plans import mapping, marketplace, report
 from haulmetrics.schema import (CARRIERS, CUSTOMER_SEGMENTS, LABEL_COLUMNS, LABEL_DEFAULTS,
                                 NUMERIC_COLUMNS, ORDER_COLUMNS, PRIMARY_SOURCE, SECOND_SOURCE,
@@ -186,6 +186,12 @@ def duplicate_ids(spark, sf):
     return mapping.duplicate_ids(mapping.select_canonical(stages.vendor(spark, sf, "repeated")))
 
 
+@query("w12_file_numbers", """
+SELECT o_orderkey, row_number() OVER () AS row_number FROM orders""")
+def file_numbers(spark, sf):
+    return number_file_rows(fixture.table(spark, sf, "orders")).select("o_orderkey", "row_number")
+
+
 @query("w12_row_numbers", f"""
 SELECT o_orderkey, {S.content_number(['o_orderkey'])} AS row_number FROM orders""")
 def row_numbers(spark, sf):

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulmetrics.session import stage
+
 BLOCK = 100_000
 
 
@@ -39,6 +42,27 @@ def number_rows(df: DataFrame, by: Sequence[str] | None = None, *, start: int =
     return _numbered(marked, _offsets(marked), df.columns, start, name, block)
 
 
+def number_file_rows(df: DataFrame, *, start: int = 1, name: str = "row_number") -> DataFrame:
+    """Add 1, 2, 3 ... in the order of the rows in their files, files by path.
+
+    ``df`` must be a scan of Parquet files (a source or staged table). Each file's rows
+    are counted, a prefix sum over the files gives the rows before it, and a row adds its
+    place in its file: no row is shuffled or hashed.
+    """
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias("__file"),
+                           F.col("_metadata.row_index").alias("__place"))
+    except AnalysisException as err:
+        raise ValueError("only the rows of a Parquet table have a file order") from err
+    sizes = placed.groupBy("__file").agg((F.max("__place") + 1).alias("__size"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    # a row for each file; AQE broadcasts it by its size
+    offsets = stage(sizes, "file_sizes").select(
+        "__file", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
+    return placed.join(stage(offsets, "file_offsets"), "__file").select(
+        *df.columns, (F.col("__offset") + F.col("__place") + start).cast("bigint").alias(name))
+
+
 def _numbered(marked: DataFrame, offsets: DataFrame, columns: list[str], start: int, name: str,
               block: int) -> DataFrame:
     """Number the rows of the buckets in ``offsets``."""

@@ -12,7 +12,7 @@ from haulmetrics.functions.dates import EXTRA_FORMATS, infer_formats, parse_time
 from haulmetrics.functions.hashing import choice, uniform, uniform_int, uniform_real
 from haulmetrics.functions.numeric import round_even, to_number
 from haulmetrics.functions.text import digits_only, header_key
-from haulmetrics.operators.numbering import number_rows
+from haulmetrics.operators.numbering import number_file_rows, number_rows
 from haulmetrics.schema import (CARRIERS, CUSTOMER_SEGMENTS, DISCOUNT_RATES, HEADER_ALIASES,
                                 LABEL_DEFAULTS, NUMERIC_COLUMNS, ORDER_COLUMNS, SHIPPING_MODES)
 
@@ -41,12 +41,12 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def select_canonical(df: DataFrame) -> DataFrame:
-    """The 25 canonical columns as text; absent ones are null."""
+def select_canonical(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The 25 canonical columns as text, absent ones null, and those of ``keep`` as they are."""
     found = match_headers(df.columns).matched
     return df.select(*[
         (_quoted(found[c]) if c in found else F.lit(None)).cast("string").alias(c)
-        for c in ORDER_COLUMNS])
+        for c in ORDER_COLUMNS], *keep)
 
 
 def sequence_id(number: Column, prefix: str = "ORD-") -> Column:
@@ -155,10 +155,13 @@ def known_counts(df: DataFrame) -> dict[str, int]:
 
 
 def map_to_schema(df: DataFrame, seed: int = 42,
-                  formats: Sequence[str] | None = EXTRA_FORMATS) -> DataFrame:
+                  formats: Sequence[str] | None = EXTRA_FORMATS,
+                  order: str = "content") -> DataFrame:
     """The whole mapping. ``df`` should be a source or staged table: it is
     summarised once for ids and once for absent columns before the result is
     planned. ``formats=None`` takes the date forms of the feed itself.
+    Rows are numbered by ``order``: of their content, the same however the feed is stored,
+    or "file", that of a Parquet table's files, which shuffles no row.
     """
     canonical = select_canonical(df)
     if formats is None:
@@ -175,7 +178,13 @@ def map_to_schema(df: DataFrame, seed: int = 42,
         if not known[column]:
             fills[column] = cycled(prefix, modulo, width)
     # one numbering serves all three ids
-    rows = number_rows(canonical) if numbered or len(fills) > 1 else canonical
+    if not numbered and len(fills) == 1:
+        rows = canonical
+    elif order == "file":
+        rows = select_canonical(number_file_rows(df, name="__number"), ["__number"])
+        rows = rows.withColumnRenamed("__number", "row_number")
+    else:
+        rows = number_rows(canonical)
     out = rows.withColumns(fills).drop("row_number")
     out = coerce_numbers(out).withColumn("order_date", parse_timestamp("order_date", formats))
     absent = {c for c, n in known.items() if n == 0}

@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from haulmetrics.operators.attach import attach
-from haulmetrics.operators.numbering import number_rows, page_slice
+from haulmetrics.operators.numbering import number_file_rows, number_rows, page_slice
 from haulmetrics.operators.ranking import top_with_rest
 from haulmetrics.operators.rolling import rolling_mean
+from haulmetrics.plans import mapping
 from haulmetrics.session import stage
 
 
@@ -120,3 +121,26 @@ def test_top_with_rest(spark):
     got = {(r["k"], r["is_rest"]): r["n"] for r in top_with_rest(df, "k", "n", 3).collect()}
     assert got == {("a", False): 9, ("b", False): 9, ("Other", False): 7, ("Other", True): 3}
     assert top_with_rest(df, "k", "n", 5).where("is_rest").isEmpty()
+
+
+def test_numbers_in_file_order(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for name, rows in (("b", range(5, 9)), ("a", range(0, 5)), ("c", [])):
+        spark.createDataFrame([(i, "x" * 50) for i in rows], "v int, wide string").coalesce(1) \
+            .write.parquet(f"{path}/part={name}")
+    got = number_file_rows(spark.read.parquet(path), start=10, name="n")
+    assert got.columns == ["v", "wide", "part", "n"]
+    assert sorted((r["n"], r["v"]) for r in got.collect()) == [(10 + i, i) for i in range(9)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "RoundRobin" not in plan
+    with pytest.raises(ValueError, match="file order"):
+        number_file_rows(spark.range(3))
+
+
+def test_mapping_in_file_order(spark):
+    df = stage(spark.createDataFrame([(f"2024-01-{i:02d}", f"c{i}") for i in range(1, 21)],
+                                     "order_date string, carrier string").coalesce(1), "feed")
+    got = mapping.map_to_schema(df, order="file").select("order_id", "customer_id", "carrier").collect()
+    assert sorted(map(tuple, got)) == [
+        (f"ORD-{i:07d}", f"CUST-{i - 1:05d}", f"c{i}") for i in range(1, 21)]
+    assert {r[0] for r in mapping.map_to_schema(df).select("order_id").collect()} == {r[0] for r in got}
