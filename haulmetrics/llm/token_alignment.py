@@ -36,11 +36,13 @@ from haulmetrics.llm.common import map_batches, map_joined
 from haulmetrics.session import stage
 
 #: Text aligned at once; the larger, the more often its chunks repeat.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 6 << 20
 #: Chunks and their pairs that a worker remembers before it starts anew.
-MEMORY = 300_000
-MEMORY_PAIRS = 4_000_000
-#: Chunks encoded as one text, and links of a group that are listed without counting first.
+MEMORY = 200_000
+MEMORY_PAIRS = 3_000_000
+#: Chunks sliced by one intersection, chunks encoded as one text, and links of a group
+#: that are listed without counting first.
+SLICE = 32_768
 BLOCK = 256
 SMALL = 1_024
 #: Pairs whose counts are broadcast, 16 bytes each.
@@ -203,8 +205,9 @@ class Aligner:
         """Rows of the columns, one for each chunk."""
         if len(self.rows) > MEMORY or len(self.pairs) > MEMORY_PAIRS:
             self.forget()
-        if missed := [c for c in chunks if c not in self.rows]:
-            self._align(missed)
+        missed = [c for c in chunks if c not in self.rows]
+        for at in range(0, len(missed), SLICE):
+            self._align(missed[at:at + SLICE])
         return np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
 
 

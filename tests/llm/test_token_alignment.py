@@ -113,6 +113,8 @@ def test_counts(make_docs, library, hot):
 
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(token_alignment, "MEMORY", 2)
+    monkeypatch.setattr(token_alignment, "SLICE", 7)
+    monkeypatch.setattr(token_alignment, "BLOCK", 3)
     rows = list(enumerate(strings(40)))
     aligner = token_alignment.Aligner(*PATHS)
     for _ in range(2):
