@@ -77,8 +77,53 @@ def test_empty_table(make_docs):
     assert source_mix.mix(make_docs([]), source_mix.cycled([1])).collect() == []
 
 
-def test_too_many_sources(make_docs, monkeypatch):
-    monkeypatch.setattr(source_mix, "MAX_SOURCES", 2)
-    with pytest.raises(ValueError):
-        source_mix.mix(make_docs([(i, "a", "en", str(i)) for i in range(3)]),
-                       source_mix.cycled([1]))
+@pytest.mark.parametrize("n", [7, 150])
+def test_sources_beyond_the_drivers_bound(make_docs, monkeypatch, n):
+    monkeypatch.setattr(source_mix, "MAX_SOURCES", 5)
+    monkeypatch.setattr(source_mix, "GROUP_SOURCES", 16)
+    draw = random.Random(n)
+    sources = [None, "", "z", "ä", "🙂", *[f"s{i}" for i in range(n)]]
+    rows = [(i, " ".join(["w"] * draw.randint(0, 60)), "en",
+             draw.choice(["s1", draw.choice(sources)])) for i in range(900)]
+    weigh = source_mix.cycled([3, 1, 2])
+    got = source_mix.mix(make_docs(rows), weigh).collect()
+    assert sorted(got, key=str) == sorted(source_mix.mix(make_docs(rows, 7), weigh).collect(),
+                                          key=str)
+    sizes = brute_sizes(rows)
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    words = [sum(k for _, k in sizes[s]) for s in names]
+    targets = source_mix.capped_targets(words, weigh(names), 1.5, 2.0)
+    assert len(got) == len(rows)
+    assert (sorted(((r.source, r.doc_id, r["size"]) for r in got), key=str)
+            == sorted(((s, *r) for s in sizes for r in sizes[s]), key=str))
+    for name, size, target in zip(names, words, targets):
+        own = [r for r in got if r.source == name]
+        assert all(r.source_size == size and abs(r.target - target) < 1e-6 for r in own)
+        assert all(0 <= r.taken <= 2 * r["size"] for r in own)
+        assert abs(sum(r.taken for r in own) - target) <= 4 * source_mix.BLOCK_WORDS
+
+
+def test_no_shard_above_its_bound(make_docs, monkeypatch):
+    """Rows without words, rows without keys and equal rows are many shards, too."""
+    monkeypatch.setattr(source_mix, "SHARD_ROWS", 100)
+    monkeypatch.setattr(source_mix, "COPIES", 8)
+    staged = {}
+    real = source_mix.stage
+
+    def keep(df, name):
+        staged[name] = real(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(source_mix, "stage", keep)
+    rows = ([(i, None, "en", "wordless") for i in range(1000)]
+            + [(None, f"text {i}", "en", "keyless") for i in range(1000)]
+            + [(None, "one and the same", "en", "equal")] * 1000)
+    got = source_mix.mix(make_docs(rows), source_mix.cycled([3, 1, 2])).collect()
+    assert len(got) == len(rows)
+    sizes = staged["dealt"].groupBy("__source", "__shard").sum("__n").collect()
+    assert len(sizes) > 20 and max(r[2] for r in sizes) <= 250
+    for name in ("keyless", "equal", "wordless"):
+        own = [r for r in got if r.source == name]
+        assert {r.source_size for r in own} == {sum(r["size"] for r in own)} and len(own) == 1000
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 32 * 12
+        assert all(0 <= r.taken <= 2 * r["size"] for r in own)
