@@ -11,7 +11,7 @@ from haulmetrics.functions.numeric import to_number
 from haulmetrics.plans import analytics, quality, report
 from haulmetrics.schema import MARKET_DATES, ORDER_COLUMNS
 from haulmetrics.session import new_path, stage
-from haulmetrics.sources import csv, json_pages, tables
+from haulmetrics.sources import csv, json_pages, landing, tables, versions
 
 @query("s01_csv_scan", S.with_(S.RAW, f"""
 SELECT {S.columns(ORDER_COLUMNS)} FROM shipments_raw WHERE source_system = 'dataco'"""))
@@ -175,6 +175,33 @@ def paged_json(spark, sf):
     return json_pages.extract_events(spark, path)
 
 
+@query("s07_landed_pages", _EVENTS_SQL)
+def landed_pages(spark, sf):
+    """The pages land in three parts; the last part brings all those of the first again."""
+    inbox, store = new_path(spark, "inbox"), new_path(spark, "landed")
+    pages = stage(json_pages.to_pages(stages.events(spark, sf)), "pages")
+    for parts in ([1], [2], [0, 1]):
+        pages.where((F.col("page") % 3).isin(parts)).write.mode("append").json(inbox)
+        landing.land_pages(spark, inbox, store)
+    return landing.landed_events(spark, store)
+
+
+@query("s07_page_ledger", S.with_(S.EVENTS + """,
+p AS (SELECT count(*) AS total_rows, ceil(count(*) / 500)::BIGINT AS pages FROM clean_events),
+n AS (SELECT unnest(range(1, pages + 1)) AS page, pages, total_rows FROM p)""", """
+SELECT page, 500 AS page_size, total_rows,
+  CASE WHEN page < pages THEN 500 ELSE total_rows - 500 * (pages - 1) END AS n_rows
+FROM n WHERE page % 2 = 1"""))
+def page_ledger(spark, sf):
+    """Only every other page has landed, each twice."""
+    inbox, store = new_path(spark, "inbox"), new_path(spark, "landed")
+    pages = stage(json_pages.to_pages(stages.events(spark, sf)).where("page % 2 = 1"), "pages")
+    for _ in range(2):
+        pages.write.mode("append").json(inbox)
+        landing.land_pages(spark, inbox, store)
+    return landing.ledger(spark, store).select("page", "page_size", "total_rows", "n_rows")
+
+
 @query("s08_json_object_rows", """
 SELECT k AS carrier, (props::JSON ->> k)::DOUBLE AS api_on_time_rate, event_id
 FROM (SELECT event_id, props, unnest(json_keys(props::JSON)) AS k FROM events)""")
@@ -219,6 +246,24 @@ def raw_tables(spark, sf):
         number.alias("number")) for name, (_, texts, number) in shown.items()])
 
 
+@query("s11_versioned_table", S.with_(S.CLEAN, f"""
+SELECT order_id, carrier, strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date,
+  quantity + CASE WHEN month(order_date) = 3 THEN 1000 ELSE 0 END AS quantity
+FROM clean WHERE month(order_date) <> 5"""))
+def versioned_table(spark, sf):
+    """Stored by month without March; then March comes with other quantities, and May goes."""
+    folder = new_path(spark, "versioned")
+    rows = stages.clean(spark, sf).select("order_id", "carrier", "order_date", "quantity")
+    rows = rows.withColumn("month", F.date_format("order_date", "yyyy-MM"))
+    march = F.month("order_date") == 3
+    versions.replace_table(rows.where(~march), folder, part="month")
+    versions.replace_parts(rows.where(march).withColumn("quantity", F.col("quantity") + 1000),
+                           folder)
+    may = [p for p in versions.parts(spark, folder) if p.endswith("-05")]
+    versions.drop_parts(spark, folder, may)
+    return versions.read_table(spark, folder).drop("month")
+
+
 @query("s12_parquet_sink", _EVENTS_SQL)
 def parquet_sink(spark, sf):
     path = new_path(spark, "sink")
