@@ -8,7 +8,7 @@ from checks import sql as S, stages
 from checks.registry import query
 from haulmetrics.functions.hashing import stable_fraction
 from haulmetrics.functions.numeric import round_even
-from haulmetrics.plans import analytics, report, split
+from haulmetrics.plans import analytics, increments, report, split
 from haulmetrics.schema import (DISTANCE_LABELS, FEATURE_COLUMNS, SPLIT_FEATURES, SPLIT_IDS,
                                 SPLIT_TARGETS)
 from haulmetrics.sources.json_pages import explode_rates
@@ -33,10 +33,12 @@ SELECT carrier, strftime(order_date, '%Y-%m') AS order_month, count(order_id) AS
 FROM featured GROUP BY 1, 2"""
 
 
+_CARRIER_MEANS = ["on_time_violation_rate", "avg_delivery_delay_days",
+                  "avg_shipping_cost_per_unit", "avg_carrier_performance_score"]
+
+
 def carrier_month_rounded(featured):
-    return _rounded(analytics.carrier_month(featured), [
-        "on_time_violation_rate", "avg_delivery_delay_days", "avg_shipping_cost_per_unit",
-        "avg_carrier_performance_score"], digits=8)
+    return _rounded(analytics.carrier_month(featured), _CARRIER_MEANS, digits=8)
 
 
 @query("a02_carrier_month", _featured(_CARRIER_MONTH))
@@ -44,6 +46,22 @@ def carrier_month(spark, sf):
     return carrier_month_rounded(stages.featured(spark, sf))
 
 
+@query("a02_carrier_month_kept", _featured(_CARRIER_MONTH))
+def carrier_month_kept(spark, sf):
+    """From the store of partial aggregates, one batch of which came wrong at first."""
+    return _rounded(increments.carrier_month(spark, stages.kept(spark, sf)), _CARRIER_MEANS,
+                    digits=8)
+
+
+@query("a03_region_delays_kept", _featured(f"""
+SELECT destination_region, distance_category, count(order_id) AS order_count,
+  {S.r('avg(is_delayed)', 6)} AS delay_rate, {S.r('avg(distance_km)', 6)} AS avg_distance_km
+FROM featured GROUP BY 1, 2"""))
+def region_delays_kept(spark, sf):
+    return _rounded(increments.region_delays(spark, stages.kept(spark, sf)),
+                    ["delay_rate", "avg_distance_km"])
+
+
 _REGION_ROUTE = f"""
 SELECT destination_region, distance_category, count(order_id) AS order_count,
   {S.r('avg(route_efficiency_score)', 6)} AS avg_route_efficiency_score,

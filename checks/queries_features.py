@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from checks import sql as S, stages
 from checks.registry import query
 from haulmetrics.functions.numeric import round_even
-from haulmetrics.plans import features as plan
+from haulmetrics.plans import features as plan, increments
 from haulmetrics.plans.analytics import with_month
 from haulmetrics.schema import FEATURE_COLUMNS
+from haulmetrics.session import stage
 
 
 def _feature(columns: str) -> str:
@@ -133,6 +134,15 @@ def featured_orders(spark, sf):
     return plan.engineer_features(stages.clean(spark, sf)).select("order_id", *FEATURE_COLUMNS)
 
 
+@query("w02_w09_features_of_new_months", S.with_(S.FEATURED, f"""
+SELECT order_id, {_FEATURES} FROM featured WHERE month(order_date) % 3 = 2"""))
+def features_of_new_months(spark, sf):
+    """Features of the orders of the last batch; of those before, only partial aggregates are read."""
+    rows = stage(stages.clean(spark, sf).where(F.month("order_date") % 3 == 2), "new_months")
+    known = increments.statistics(spark, stages.kept(spark, sf))
+    return plan.engineer_features(rows, known).select("order_id", *FEATURE_COLUMNS)
+
+
 @query("j08_capacity_lookup", S.with_(S.FEATURED, """
 SELECT f.origin_warehouse_id, coalesce(c.capacity_units_per_day, max(wh_units))::BIGINT AS capacity
 FROM featured f LEFT JOIN capacity c ON f.origin_warehouse_id = c.warehouse_id

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixture
-from haulmetrics.plans import marketplace, mapping
+from haulmetrics.plans import increments, marketplace, mapping
 from haulmetrics.plans.clean import clean_events, clean_orders, located
 from haulmetrics.plans.features import engineer_features
 from haulmetrics.plans.split import modelling_table, with_split
@@ -56,6 +56,21 @@ def featured(spark, sf) -> DataFrame:
     return _table(spark, sf, "orders_featured", lambda: engineer_features(clean(spark, sf)))
 
 
+def kept(spark, sf) -> str:
+    """Folder of partial aggregates of the cleaned orders, in three batches of months.
+
+    The first comes with too few orders and again whole, the second twice.
+    """
+    def build() -> str:
+        folder = new_path(spark, "kept")
+        rows, third = clean(spark, sf), F.month("order_date") % 3
+        increments.add_batch(rows.where((third == 0) & (F.col("quantity") > 10)), folder, "a")
+        for batch, n in (("b", 1), ("a", 0), ("b", 1), ("c", 2)):
+            increments.add_batch(rows.where(third == n), folder, batch)
+        return folder
+    return _once(spark, sf, "kept", build)
+
+
 def marked(spark, sf) -> DataFrame:
     return with_split(modelling_table(featured(spark, sf)))
 

@@ -181,3 +181,41 @@ def exact_median(df: DataFrame, value: str, **options) -> float | None:
     """Median of one whole column, as a driver-side number."""
     row = exact_quantiles(df, [], value, [0.5], **options).first()
     return row["q"][0] if row else None
+
+
+def counted_median(counts: DataFrame, value: str, count: str, *,
+                   small: int = SMALL_GROUP) -> float | None:
+    """Median of a column of which the distinct values and their counts are given.
+
+    ``counts`` is read several times and should be a staged table. The range that holds
+    the middle is narrowed, by a grid of the distinct values and exact sums up to its
+    lines, until ``small`` of them are left; null values and counts of 0 do not count.
+    """
+    rows = counts.select(F.col(value).cast("double").alias("v"), F.col(count).alias("c")).where(
+        "v is not null and c > 0")
+    total, left = rows.agg(F.sum("c"), F.count("*")).first()
+    if not total:
+        return None
+    first, last = (total - 1) // 2, total // 2
+    below = 0
+    while left > small:
+        steps = F.array(*[F.lit(i / GRID) for i in range(1, GRID)])
+        lines = sorted(set(rows.agg(F.percentile_approx("v", steps, ACCURACY)).first()[0]))
+        upto = rows.agg(*[F.sum(F.when(F.col("v") <= line, F.col("c")).otherwise(0))
+                          for line in lines]).first()
+        under = [(n, line) for n, line in zip(upto, lines) if below + n <= first]
+        over = [line for n, line in zip(upto, lines) if below + n > last]
+        if under:
+            rows = rows.where(F.col("v") > under[-1][1])
+            below += under[-1][0]
+        if over:
+            rows = rows.where(F.col("v") <= over[0])
+        before, left = left, rows.count()
+        if left == before:
+            break
+    # at most ``small`` rows, in one task
+    order = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ends = rows.select("v", F.sum("c").over(order).alias("upto")).agg(
+        F.min(F.when(F.col("upto") > first - below, F.col("v"))),
+        F.min(F.when(F.col("upto") > last - below, F.col("v")))).first()
+    return ends[0] + (ends[1] - ends[0]) / 2

@@ -8,6 +8,8 @@ each result is attached with one join.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,12 +44,13 @@ def cost_per_unit() -> Column:
     return round_even(ratio("shipping_cost", "quantity"), 3)
 
 
-def add_cost_per_unit(df: DataFrame, **options) -> DataFrame:
-    """Cost per unit; where it cannot be computed, the median of all others."""
+def add_cost_per_unit(df: DataFrame, fallback: float | None = None, **options) -> DataFrame:
+    """Cost per unit; where it cannot be computed, ``fallback``, else the median of all others."""
     out = df.withColumn("shipping_cost_per_unit", cost_per_unit())
-    if out.where("shipping_cost_per_unit is null").isEmpty():
-        return out
-    fallback = exact_median(out, "shipping_cost_per_unit", **options)
+    if fallback is None:
+        if out.where("shipping_cost_per_unit is null").isEmpty():
+            return out
+        fallback = exact_median(out, "shipping_cost_per_unit", **options)
     return out.withColumn("shipping_cost_per_unit",
                           F.coalesce("shipping_cost_per_unit", F.lit(fallback).cast("double")))
 
@@ -192,23 +195,49 @@ def warehouse_load(daily: DataFrame, capacity: DataFrame) -> DataFrame:
 
 # --- the stage -----------------------------------------------------------
 
-def engineer_features(orders: DataFrame, **options) -> DataFrame:
-    """All features on the cleaned orders, which should be a stored table."""
-    spark, columns = orders.sparkSession, orders.columns
-    rows = add_bins(add_cost_per_unit(add_delay(orders), **options))
+@dataclass(frozen=True)
+class GroupStatistics:
+    """The staged aggregations that the features of any rows are computed from.
+
+    ``median_cost`` stands for a cost per unit that cannot be computed; None: the median of
+    the rows at hand.
+    """
+
+    speeds: DataFrame
+    lateness: DataFrame
+    category_units: DataFrame
+    warehouse_units: DataFrame
+    median_cost: float | None = None
+
+
+def group_statistics(orders: DataFrame) -> GroupStatistics:
     base = add_delay(orders)
+    return GroupStatistics(stage(region_speed(base), "region_speed"),
+                           stage(lateness_by_carrier_category(base), "lateness"),
+                           stage(daily_category_units(base), "category_units"),
+                           daily_warehouse_units(base))
+
+
+def engineer_features(orders: DataFrame, statistics: GroupStatistics | None = None,
+                      **options) -> DataFrame:
+    """All features on the cleaned orders, which should be a stored table.
+
+    With ``statistics`` of a larger table that holds these orders, such as those that
+    ``increments`` keeps, the features are those the orders have in that table.
+    """
+    spark, columns = orders.sparkSession, orders.columns
+    known = statistics or group_statistics(orders)
+    rows = add_bins(add_cost_per_unit(add_delay(orders), known.median_cost, **options))
 
-    speeds = stage(region_speed(base), "region_speed")
-    lateness = stage(lateness_by_carrier_category(base), "lateness")
-    daily = stage(daily_category_units(base), "category_units")
+    daily = known.category_units
     months = stage(month_index(daily), "months")
-    pairs = stage(pair_scores(lateness, category_volatility(daily, months))
+    pairs = stage(pair_scores(known.lateness, category_volatility(daily, months))
                   .drop("pair_late_share"), "pairs")
     days = stage(category_days(daily, months), "category_days")
-    load = stage(warehouse_load(daily_warehouse_units(base), capacity_table(spark))
+    load = stage(warehouse_load(known.warehouse_units, capacity_table(spark))
                  .drop("units", "capacity"), "load")
 
-    rows = add_route_efficiency(rows, speeds).withColumn("order_day", day("order_date"))
+    rows = add_route_efficiency(rows, known.speeds).withColumn("order_day", day("order_date"))
     rows = attach(rows, pairs, ["carrier", "product_category"], weight="rows", null_safe=True)
     rows = attach(rows, days, ["product_category", "order_day"], weight="rows", null_safe=True)
     rows = attach(rows, load, ["origin_warehouse_id", "order_day"], weight="rows")
