@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulmetrics.functions.numeric import plain_zeros
 from haulmetrics.session import stage
 
 BLOCK = 100_000
@@ -35,8 +36,10 @@ def number_rows(df: DataFrame, by: Sequence[str] | None = None, *, start: int =
     any partitioning. ``by`` should tell rows apart, save for exact copies.
     The first four hex digits of the md5 cut the rows into 65,536 even
     buckets; bucket offsets come from their counts (a bounded table), and
-    ranks are taken inside a bucket. Exact copies are folded into one counted
+    ranks are taken inside a bucket; this is the one shuffle of whole rows. In
+    buckets of more than ``block`` rows exact copies are folded into one counted
     row first and unfolded in blocks, so many copies do not meet in one task.
+    ``df`` is read twice and should come from a stored table.
     """
     marked = _marked(df, by)
     return _numbered(marked, _offsets(marked), df.columns, start, name, block)
@@ -66,6 +69,29 @@ def number_file_rows(df: DataFrame, *, start: int = 1, name: str = "row_number")
 def _numbered(marked: DataFrame, offsets: DataFrame, columns: list[str], start: int, name: str,
               block: int) -> DataFrame:
     """Number the rows of the buckets in ``offsets``."""
+    offsets = stage(offsets, "offsets")
+    full = offsets.where(F.col("__size") > block)
+    if full.isEmpty():
+        return _ranked(marked, offsets, columns, start, name)
+    large = F.broadcast(full.select("__bucket"))
+    return _ranked(marked.join(large, "__bucket", "left_anti"), offsets, columns, start,
+                   name).unionByName(_unfolded(marked.join(large, "__bucket", "left_semi"), full,
+                                               columns, start, name, block))
+
+
+def _ranked(marked: DataFrame, offsets: DataFrame, columns: list[str], start: int,
+            name: str) -> DataFrame:
+    """Number the rows of buckets that fit a task, row by row."""
+    inside = Window.partitionBy("__bucket").orderBy("__digest", *columns)
+    ranked = plain_zeros(marked).withColumn("__rank", F.row_number().over(inside))
+    number = F.col("__offset") + F.col("__rank") + F.lit(start - 1)
+    return (ranked.join(F.broadcast(offsets.drop("__size")), "__bucket")
+            .select(*columns, number.cast("bigint").alias(name)))
+
+
+def _unfolded(marked: DataFrame, offsets: DataFrame, columns: list[str], start: int, name: str,
+              block: int) -> DataFrame:
+    """Number the rows of buckets of any size, copies folded."""
     folded = (marked.groupBy(*columns, "__digest", "__bucket")
               .agg(F.count("*").alias("__copies")))
     inside = (Window.partitionBy("__bucket").orderBy("__digest", *columns)

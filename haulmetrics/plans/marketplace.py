@@ -37,7 +37,8 @@ def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
     Plain equi-joins: table sizes known from the files decide which side is
     broadcast, and skewed partitions are split at run time. The centroids are
     staged so that their size is known too; otherwise each of their two joins
-    would shuffle the items.
+    would shuffle the items. Items meet the narrow tables first and the wide
+    orders last, so no join after that carries the columns of an order.
     """
     points = stage(centroids(tables["geolocation"]), "centroids")
     # customers have one row per order, so they are joined before the items fan out
@@ -45,9 +46,11 @@ def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
                         points, "customer_zip_code_prefix", "cust")
     sellers = near_point(tables["sellers"], points, "seller_zip_code_prefix", "sell")
     products = tables["products"].join(tables["translation"], "product_category_name", "left")
-    return (tables["items"].join(orders, "order_id", "inner")
-            .join(products, "product_id", "left")
-            .join(sellers, "seller_id", "left"))
+    columns = (tables["items"].join(orders, "order_id").join(products, "product_id", "left")
+               .join(sellers, "seller_id", "left").columns)
+    return (tables["items"].join(products, "product_id", "left")
+            .join(sellers, "seller_id", "left")
+            .join(orders, "order_id", "inner").select(*columns))
 
 
 def category_label() -> Column:
@@ -59,14 +62,16 @@ def category_label() -> Column:
 def buyer_segment(df: DataFrame) -> DataFrame:
     """Returning for customers seen on more than one item row, else New.
 
-    Missing customer ids are one group, as they compare equal to each other.
+    Missing customer ids are one group, as they compare equal to each other. The
+    customers of the smaller segment are looked up, the others are the rest.
     """
-    counts = stage(df.groupBy("customer_unique_id").agg(F.count("*").alias("n"))
-                   .where("n > 1").withColumn("repeat", F.lit(True)), "buyers")
-    rows = attach(df, counts, ["customer_unique_id"], weight="n", null_safe=True)
-    return (rows.withColumn("customer_segment",
-                            F.when(F.col("repeat"), "Returning").otherwise("New"))
-            .drop("repeat"))
+    counts = stage(df.groupBy("customer_unique_id").agg(F.count("*").alias("n")), "buyers")
+    again, once = counts.agg(F.count_if(F.col("n") > 1), F.count_if(F.col("n") == 1)).first()
+    listed, rest = ("Returning", "New") if again <= once else ("New", "Returning")
+    wanted = counts.where("n > 1" if listed == "Returning" else "n = 1")
+    rows = attach(df, wanted.withColumn("customer_segment", F.lit(listed)),
+                  ["customer_unique_id"], weight="n", null_safe=True)
+    return rows.withColumn("customer_segment", F.coalesce("customer_segment", F.lit(rest)))
 
 
 def distance() -> Column:
