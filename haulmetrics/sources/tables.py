@@ -32,29 +32,40 @@ def read_first(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+TEXT_TYPES = ("integer", "number", "timestamp")
+FIRST_ROWS = 1_000
 
 
 def describe_columns(df: DataFrame) -> DataFrame:
     """Name, position, known values and type of each column.
 
     A text column has the narrowest of integer, number, timestamp and text
-    that all its known values fit, found in one aggregation; others keep the
-    type that they have.
+    that all its known values fit, found in one aggregation of all rows; others
+    keep the type that they have. A type that some value of the first rows does
+    not fit is out already, so it is not tried on the rest.
     """
     texts = [name for name, kind in df.dtypes if kind == "string"]
 
-    def fits(name: str) -> list[Column]:
+    def fits(name: str) -> dict[str, Column]:
         c = F.col(name)
-        tests = [c.rlike(INTEGER), to_number(c).isNotNull(), parse_timestamp(c).isNotNull()]
-        return [F.count(F.when(t, 1)) for t in tests]
+        return {"integer": c.rlike(INTEGER), "number": to_number(c).isNotNull(),
+                "timestamp": parse_timestamp(c).isNotNull()}
 
-    measures = [F.array(F.count(c), *(fits(c) if c in texts else [])) for c in df.columns]
-    counts = df.agg(F.array(*measures)).first()[0]  # a few numbers a column
+    def counted(rows: DataFrame, tried: dict[str, list[str]]) -> list[list[int]]:
+        measures = [F.array(F.count(c), *[F.count(F.when(fits(c)[label], 1)) for label in tried[c]])
+                    for c in df.columns]
+        return rows.agg(F.array(*measures)).first()[0]  # a few numbers a column
+
+    def fitting(found: list[int], labels: list[str]) -> list[str]:
+        return [label for label, n in zip(labels, found[1:]) if n == found[0]]
+
+    tried = {c: list(TEXT_TYPES) if c in texts else [] for c in df.columns}
+    first = counted(df.limit(FIRST_ROWS), tried)
+    tried = {c: fitting(found, tried[c]) for c, found in zip(df.columns, first)}
     rows = []
-    for i, ((name, kind), found) in enumerate(zip(df.dtypes, counts), start=1):
+    for i, ((name, kind), found) in enumerate(zip(df.dtypes, counted(df, tried)), start=1):
         if name in texts:
-            kind = next((label for label, n in zip(("integer", "number", "timestamp"), found[1:])
-                         if n == found[0] > 0), "text")
+            kind = next(iter(fitting(found, tried[name])), "text") if found[0] else "text"
         rows.append((i, name, kind, found[0]))
     return df.sparkSession.createDataFrame(
         rows, "position int, column string, type string, known bigint")

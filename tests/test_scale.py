@@ -9,6 +9,7 @@ from haulmetrics.operators.attach import attach
 from haulmetrics.operators.numbering import number_rows
 from haulmetrics.plans import clean, marketplace
 from haulmetrics.session import stage
+from haulmetrics.sources import tables
 
 
 def plan(df):
@@ -82,3 +83,14 @@ def test_few_values_of_a_large_group_are_counted(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "_bracketed", never)
     df = stage(spark.range(1_001).select((F.col("id") % 3).cast("double").alias("v")), "t")
     assert quantiles.exact_median(df, "v", small_group=10) == 1.0
+
+
+def test_types_ruled_out_by_first_rows_and_by_later_ones(spark, monkeypatch):
+    monkeypatch.setattr(tables, "FIRST_ROWS", 2)
+    rows = [("1", "1.5", "2020-01-01", "x", None, "7", None)] * 3 + [
+        ("2", "3", "2020-02-01", "4", None, "late", "5")]
+    df = stage(spark.createDataFrame(rows, "a string, b string, c string, d string, e string, "
+                                           "f string, g string").coalesce(1), "t")
+    got = {r["column"]: (r["type"], r["known"]) for r in tables.describe_columns(df).collect()}
+    assert got == {"a": ("integer", 4), "b": ("number", 4), "c": ("timestamp", 4),
+                   "d": ("text", 4), "e": ("text", 0), "f": ("text", 4), "g": ("integer", 1)}
