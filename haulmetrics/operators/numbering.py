@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmetrics.functions.numeric import plain_zeros
@@ -14,11 +14,14 @@ from haulmetrics.session import stage
 BLOCK = 100_000
 
 
-def _marked(df: DataFrame, by: Sequence[str] | None) -> DataFrame:
-    """Add the md5 of the ``by`` columns and its bucket."""
+def _marked(df: DataFrame, by: Sequence[str] | None,
+            keep: Sequence[Column] | None = None) -> DataFrame:
+    """Add the md5 of the ``by`` columns, its bucket and a hash of the whole row."""
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by or df.columns]
-    return (df.withColumn("__digest", F.md5(F.concat_ws("|", *text)))
-            .withColumn("__bucket", F.substring("__digest", 1, 4)))
+    rows = df.select(*(["*"] if keep is None else keep),
+                     F.unhex(F.md5(F.concat_ws("|", *text))).alias("__digest"),
+                     F.xxhash64(*df.columns).alias("__tie"))
+    return rows.withColumn("__bucket", F.substring("__digest", 1, 2))
 
 
 def _offsets(marked: DataFrame) -> DataFrame:
@@ -29,11 +32,15 @@ def _offsets(marked: DataFrame) -> DataFrame:
 
 
 def number_rows(df: DataFrame, by: Sequence[str] | None = None, *, start: int = 1,
-                name: str = "row_number", block: int = BLOCK) -> DataFrame:
+                name: str = "row_number", block: int = BLOCK,
+                keep: Sequence[Column] | None = None) -> DataFrame:
     """Add 1, 2, 3 ... in order of the md5 of the ``by`` columns (default: all).
 
     Spark rows have no file order, so the order is by content and the same for
-    any partitioning. ``by`` should tell rows apart, save for exact copies.
+    any partitioning. ``by`` should tell rows apart, save for exact copies; rows
+    equal in it follow a hash of the whole row. ``keep`` are the named columns
+    that the numbered rows carry (default: those of ``df``); only what a query
+    uses of them is shuffled, beside the md5 and the hash.
     The first four hex digits of the md5 cut the rows into 65,536 even
     buckets; bucket offsets come from their counts (a bounded table), and
     ranks are taken inside a bucket; this is the one shuffle of whole rows. In
@@ -41,8 +48,9 @@ def number_rows(df: DataFrame, by: Sequence[str] | None = None, *, start: int =
     row first and unfolded in blocks, so many copies do not meet in one task.
     ``df`` is read twice and should come from a stored table.
     """
-    marked = _marked(df, by)
-    return _numbered(marked, _offsets(marked), df.columns, start, name, block)
+    marked = _marked(df, by, keep)
+    columns = [c for c in marked.columns if c not in ("__digest", "__tie", "__bucket")]
+    return _numbered(marked, _offsets(marked), columns, start, name, block)
 
 
 def number_file_rows(df: DataFrame, *, start: int = 1, name: str = "row_number") -> DataFrame:
@@ -82,7 +90,7 @@ def _numbered(marked: DataFrame, offsets: DataFrame, columns: list[str], start:
 def _ranked(marked: DataFrame, offsets: DataFrame, columns: list[str], start: int,
             name: str) -> DataFrame:
     """Number the rows of buckets that fit a task, row by row."""
-    inside = Window.partitionBy("__bucket").orderBy("__digest", *columns)
+    inside = Window.partitionBy("__bucket").orderBy("__digest", "__tie")
     ranked = plain_zeros(marked).withColumn("__rank", F.row_number().over(inside))
     number = F.col("__offset") + F.col("__rank") + F.lit(start - 1)
     return (ranked.join(F.broadcast(offsets.drop("__size")), "__bucket")
@@ -92,9 +100,9 @@ def _ranked(marked: DataFrame, offsets: DataFrame, columns: list[str], start: in
 def _unfolded(marked: DataFrame, offsets: DataFrame, columns: list[str], start: int, name: str,
               block: int) -> DataFrame:
     """Number the rows of buckets of any size, copies folded."""
-    folded = (marked.groupBy(*columns, "__digest", "__bucket")
+    folded = (marked.groupBy(*columns, "__digest", "__tie", "__bucket")
               .agg(F.count("*").alias("__copies")))
-    inside = (Window.partitionBy("__bucket").orderBy("__digest", *columns)
+    inside = (Window.partitionBy("__bucket").orderBy("__digest", "__tie")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (folded.join(F.broadcast(offsets.drop("__size")), "__bucket")
               .withColumn("__first", F.col("__offset")

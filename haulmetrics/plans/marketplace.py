@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from haulmetrics.functions.dates import whole_days
 from haulmetrics.functions.numeric import haversine_km, round_even
-from haulmetrics.functions.text import prefixed, title
+from haulmetrics.functions.text import packed, prefixed, title, unpacked
 from haulmetrics.operators.attach import attach
 from haulmetrics.operators.numbering import number_rows
 from haulmetrics.schema import MILESTONES, ORDER_COLUMNS
@@ -31,6 +31,15 @@ def near_point(df: DataFrame, points: DataFrame, zip_column: str, suffix: str) -
     return df.join(side, zip_column, "left")
 
 
+#: Long keys of the tables, shuffled as bytes.
+KEYS = ("order_id", "customer_id", "customer_unique_id", "product_id", "seller_id")
+
+
+def _with_keys(df: DataFrame, change: Callable[[str], Column], kind: str) -> DataFrame:
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: change(c) for c in KEYS if kinds.get(c) == kind})
+
+
 def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """Items with their order, product, customer, seller, translation and both points.
 
@@ -38,8 +47,10 @@ def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
     broadcast, and skewed partitions are split at run time. The centroids are
     staged so that their size is known too; otherwise each of their two joins
     would shuffle the items. Items meet the narrow tables first and the wide
-    orders last, so no join after that carries the columns of an order.
+    orders last, so no join after that carries the columns of an order. Keys are
+    joined as bytes, as keys in hex, which shuffles do not compress, take half.
     """
+    tables = {name: _with_keys(df, packed, "string") for name, df in tables.items()}
     points = stage(centroids(tables["geolocation"]), "centroids")
     # customers have one row per order, so they are joined before the items fan out
     orders = near_point(tables["orders"].join(tables["customers"], "customer_id", "left"),
@@ -48,9 +59,10 @@ def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
     products = tables["products"].join(tables["translation"], "product_category_name", "left")
     columns = (tables["items"].join(orders, "order_id").join(products, "product_id", "left")
                .join(sellers, "seller_id", "left").columns)
-    return (tables["items"].join(products, "product_id", "left")
-            .join(sellers, "seller_id", "left")
-            .join(orders, "order_id", "inner").select(*columns))
+    joined = (tables["items"].join(products, "product_id", "left")
+              .join(sellers, "seller_id", "left")
+              .join(orders, "order_id", "inner").select(*columns))
+    return _with_keys(joined, unpacked, "binary")
 
 
 def category_label() -> Column:
@@ -123,35 +135,40 @@ def map_to_schema(joined: DataFrame,
     """Canonical columns, with the four milestone times kept alongside.
 
     ``joined`` should be a staged table. ``lengths`` are the signs that ids keep of their
-    keys, None for all; ``merged_keys`` counts what a cut merges.
+    keys, None for all; ``merged_keys`` counts what a cut merges. Rows are mapped before
+    they are numbered, and the shuffle for that carries what a query uses of them.
     """
     lengths = {**KEY_LENGTHS, **lengths}
-    rows = number_rows(buyer_segment(joined), ITEM_KEY)
-    canonical = {
-        "order_id": F.format_string("ORD-OLIST-%07d", F.col("row_number")),
-        "order_date": F.col("order_purchase_timestamp"),
+    mapped = {
         "customer_id": prefixed("CUST-", "customer_id", lengths["customer_id"]),
         "customer_segment": F.col("customer_segment"),
         "product_id": prefixed("PROD-", "product_id", lengths["product_id"]),
         "product_category": category_label(),
         "quantity": F.col("order_item_id"),
         "unit_price": F.col("price"),
-        "discount_rate": F.lit(0.0),
         "weight_kg": F.col("product_weight_g") / 1000.0,
         "origin_warehouse_id": prefixed("SELLER-", "seller_id", lengths["origin_warehouse_id"]),
         "origin_region": F.col("seller_state"),
         "destination_city": title("customer_city"),
-        "destination_country": F.lit("Brazil"),
         "destination_region": F.col("customer_state"),
         "destination_latitude": F.col("geolocation_lat_cust"),
         "destination_longitude": F.col("geolocation_lng_cust"),
         "distance_km": distance(),
         "carrier": prefixed("Seller-", "seller_id", lengths["carrier"]),
+        "shipping_cost": F.col("freight_value"),
+        "order_status": F.upper("order_status"),
+    }
+    times = [*[c for c, _ in MILESTONES], "order_estimated_delivery_date"]
+    rows = number_rows(buyer_segment(joined), ITEM_KEY, keep=[
+        *[value.alias(c) for c, value in mapped.items()], *[F.col(c) for c in times]])
+    canonical = {c: F.col(c) for c in mapped} | {
+        "order_id": F.format_string("ORD-OLIST-%07d", F.col("row_number")),
+        "order_date": F.col("order_purchase_timestamp"),
+        "discount_rate": F.lit(0.0),
+        "destination_country": F.lit("Brazil"),
         "shipping_mode": F.lit(None).cast("string"),
         "promised_delivery_days": promised_days(),
         "actual_delivery_days": actual_days(),
-        "shipping_cost": F.col("freight_value"),
-        "order_status": F.upper("order_status"),
         "delay_reason": delay_reason(),
     }
     return rows.select(*[canonical[c].alias(c) for c in ORDER_COLUMNS],

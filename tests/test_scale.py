@@ -4,7 +4,8 @@ import math
 
 from pyspark.sql import functions as F
 
-from haulmetrics.operators import quantiles
+from haulmetrics.functions.text import packed, unpacked
+from haulmetrics.operators import impute, quantiles
 from haulmetrics.operators.attach import attach
 from haulmetrics.operators.numbering import number_rows
 from haulmetrics.plans import clean, marketplace
@@ -94,3 +95,83 @@ def test_types_ruled_out_by_first_rows_and_by_later_ones(spark, monkeypatch):
     got = {r["column"]: (r["type"], r["known"]) for r in tables.describe_columns(df).collect()}
     assert got == {"a": ("integer", 4), "b": ("number", 4), "c": ("timestamp", 4),
                    "d": ("text", 4), "e": ("text", 0), "f": ("text", 4), "g": ("integer", 1)}
+
+
+def test_numbers_need_no_column_that_is_not_used(spark):
+    df = stage(spark.range(50).select((F.col("id") % 7).alias("a"), (F.col("id") % 14).alias("b"),
+                                      F.col("id").cast("string").alias("wide")), "t")
+    numbered = number_rows(df, ["a"], keep=[(F.col("b") + 1).alias("c"), F.col("wide")])
+    assert numbered.columns == ["c", "wide", "row_number"]
+    sorts = [line for line in plan(numbered.select("c", "row_number")).splitlines()
+             if "Sort [" in line or "Window [" in line]
+    assert sorts and not [line for line in sorts if "wide" in line]
+    want = sorted(tuple(r) for r in numbered.collect())
+    assert sorted(r[2] for r in want) == list(range(1, 51))
+    # rows equal in the key get the same numbers however they lie, and without folding
+    for block in (100_000, 1):
+        again = number_rows(df.repartition(3), ["a"], block=block,
+                            keep=[(F.col("b") + 1).alias("c"), F.col("wide")])
+        assert sorted(tuple(r) for r in again.collect()) == want
+
+
+def test_keys_are_shuffled_as_bytes_and_come_back(spark):
+    keys = ["ab" * 16, "AB" * 16, "abc", "", "\x01ab", "key \u00e9", "00", "0", "zz", None]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").select(
+        "k", packed("k").alias("p"))
+    rows = df.select("k", unpacked("p").alias("u"), F.length("p").alias("n")).collect()
+    assert [r["u"] for r in rows] == keys and rows[0]["n"] == 17
+
+    def made(columns, *values):
+        return stage(spark.createDataFrame(list(values), columns), "t")
+
+    first = "ab" * 16
+    joined = marketplace.join_tables({
+        "items": made("order_id string, order_item_id int, product_id string, seller_id string",
+                      (first, 1, "p", "00"), (first, 2, None, "S"), ("none", 1, "p", "00"),
+                      (None, 1, "p", "00")),
+        "orders": made("order_id string, customer_id string", (first, "c1"), (None, "c1")),
+        "customers": made("customer_id string, customer_unique_id string, "
+                          "customer_zip_code_prefix string", ("c1", "AB", "1")),
+        "products": made("product_id string, product_category_name string", ("p", "x")),
+        "translation": made("product_category_name string, product_category_name_english string",
+                            ("x", "y")),
+        "sellers": made("seller_id string, seller_zip_code_prefix string", ("00", "1")),
+        "geolocation": made("geolocation_zip_code_prefix string, geolocation_lat double, "
+                            "geolocation_lng double", ("1", 2.0, 3.0))})
+    got = sorted((r["order_id"], r["order_item_id"], r["product_id"] or "", r["seller_id"],
+                  r["customer_unique_id"], r["product_category_name_english"],
+                  r["geolocation_lat_sell"]) for r in joined.collect())
+    assert got == [(first, 1, "p", "00", "AB", "y", 2.0), (first, 2, "", "S", "AB", None, None)]
+    assert {kind for name, kind in joined.dtypes if name in marketplace.KEYS} == {"string"}
+    assert "unhex" in plan(joined)
+
+
+def test_rows_with_a_value_are_not_looked_up(spark, monkeypatch):
+    seen = []
+
+    def counted(df, *args, **options):
+        seen.append(df.where("__group is not null").count())
+        return attach(df, *args, **options)
+
+    monkeypatch.setattr(impute, "attach", counted)
+    df = stage(spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", 5.0)],
+                                     "g string, v double"), "t")
+    got = impute.fill_from_groups(df, [("v", ["g"])])
+    assert sorted((r["g"], r["v"]) for r in got.collect()) == [
+        ("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", 5.0)]
+    assert seen == [1]
+
+
+def test_narrow_statistics_are_broadcast_by_their_bytes(spark):
+    df = stage(spark.range(900).select((F.col("id") % 300).alias("k"), "id"), "t")
+    stats = stage(df.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top")), "s")
+    near = attach(df, stats, ["k"], weight="n", broadcast_rows=10)
+    assert "Exchange hashpartitioning" not in plan(near)
+    far = attach(df, stats, ["k"], weight="n", broadcast_rows=10, broadcast_bytes=1_000, hot_keys=2)
+    assert "Exchange hashpartitioning" in plan(far)
+    wide = stage(stats.withColumn("all", F.array("top")), "s")
+    assert "Exchange hashpartitioning" in plan(attach(df, wide, ["k"], weight="n",
+                                                      broadcast_rows=10, hot_keys=2))
+    rows = sorted((r["id"], r["top"]) for r in near.collect())
+    assert rows == sorted((r["id"], r["top"]) for r in far.collect())
+    assert rows == [(i, 600 + i % 300) for i in range(900)]
