@@ -15,12 +15,14 @@ BLOCK = 100_000
 
 
 def _marked(df: DataFrame, by: Sequence[str] | None,
-            keep: Sequence[Column] | None = None) -> DataFrame:
-    """Add the md5 of the ``by`` columns, its bucket and a hash of the whole row."""
+            keep: Sequence[Column] | None = None, ties: Sequence[str] = ()) -> DataFrame:
+    """Add the md5 of the ``by`` columns, its bucket, and what orders rows equal in them."""
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by or df.columns]
     rows = df.select(*(["*"] if keep is None else keep),
                      F.unhex(F.md5(F.concat_ws("|", *text))).alias("__digest"),
-                     F.xxhash64(*df.columns).alias("__tie"))
+                     F.struct(*[(F.col(c) + F.lit(0.0)).cast(kind) if kind in ("double", "float")
+                                else F.col(c) for c, kind in df.dtypes if c in ties],
+                              F.xxhash64(*df.columns)).alias("__tie"))
     return rows.withColumn("__bucket", F.substring("__digest", 1, 2))
 
 
@@ -33,12 +35,13 @@ def _offsets(marked: DataFrame) -> DataFrame:
 
 def number_rows(df: DataFrame, by: Sequence[str] | None = None, *, start: int = 1,
                 name: str = "row_number", block: int = BLOCK,
-                keep: Sequence[Column] | None = None) -> DataFrame:
+                keep: Sequence[Column] | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Add 1, 2, 3 ... in order of the md5 of the ``by`` columns (default: all).
 
     Spark rows have no file order, so the order is by content and the same for
     any partitioning. ``by`` should tell rows apart, save for exact copies; rows
-    equal in it follow a hash of the whole row. ``keep`` are the named columns
+    equal in it follow the columns ``ties``, in the order of ``df``, and a hash
+    of the whole row. ``keep`` are the named columns
     that the numbered rows carry (default: those of ``df``); only what a query
     uses of them is shuffled, beside the md5 and the hash.
     The first four hex digits of the md5 cut the rows into 65,536 even
@@ -48,7 +51,7 @@ def number_rows(df: DataFrame, by: Sequence[str] | None = None, *, start: int =
     row first and unfolded in blocks, so many copies do not meet in one task.
     ``df`` is read twice and should come from a stored table.
     """
-    marked = _marked(df, by, keep)
+    marked = _marked(df, by, keep, ties)
     columns = [c for c in marked.columns if c not in ("__digest", "__tie", "__bucket")]
     return _numbered(marked, _offsets(marked), columns, start, name, block)
 

@@ -159,7 +159,8 @@ def map_to_schema(joined: DataFrame,
         "order_status": F.upper("order_status"),
     }
     times = [*[c for c, _ in MILESTONES], "order_estimated_delivery_date"]
-    rows = number_rows(buyer_segment(joined), ITEM_KEY, keep=[
+    # items that share all keys follow their amounts
+    rows = number_rows(buyer_segment(joined), ITEM_KEY, ties=["price", "freight_value"], keep=[
         *[value.alias(c) for c, value in mapped.items()], *[F.col(c) for c in times]])
     canonical = {c: F.col(c) for c in mapped} | {
         "order_id": F.format_string("ORD-OLIST-%07d", F.col("row_number")),
