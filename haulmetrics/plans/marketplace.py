@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from haulmetrics.functions.dates import whole_days
 from haulmetrics.functions.numeric import haversine_km, round_even
 from haulmetrics.functions.text import packed, prefixed, title, unpacked
-from haulmetrics.operators.attach import attach
+from haulmetrics.operators.attach import attach, fits
 from haulmetrics.operators.numbering import number_rows
 from haulmetrics.schema import MILESTONES, ORDER_COLUMNS
 from haulmetrics.session import stage
@@ -44,10 +44,11 @@ def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """Items with their order, product, customer, seller, translation and both points.
 
     Plain equi-joins: table sizes known from the files decide which side is
-    broadcast, and skewed partitions are split at run time. The centroids are
-    staged so that their size is known too; otherwise each of their two joins
-    would shuffle the items. Items meet the narrow tables first and the wide
-    orders last, so no join after that carries the columns of an order. Keys are
+    broadcast, and skewed partitions are split at run time. The centroids, sellers and
+    products are staged so that their size is known too; otherwise joins with them
+    would shuffle the items. Tables that ``fits`` allows are broadcast and joined after the
+    orders, so that no shuffle carries their columns; larger ones are joined to the items
+    before the wide orders. Keys are
     joined as bytes, as keys in hex, which shuffles do not compress, take half.
     """
     tables = {name: _with_keys(df, packed, "string") for name, df in tables.items()}
@@ -55,14 +56,32 @@ def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
     # customers have one row per order, so they are joined before the items fan out
     orders = near_point(tables["orders"].join(tables["customers"], "customer_id", "left"),
                         points, "customer_zip_code_prefix", "cust")
-    sellers = near_point(tables["sellers"], points, "seller_zip_code_prefix", "sell")
-    products = tables["products"].join(tables["translation"], "product_category_name", "left")
-    columns = (tables["items"].join(orders, "order_id").join(products, "product_id", "left")
+    sellers = stage(near_point(tables["sellers"], points, "seller_zip_code_prefix", "sell"),
+                    "sellers")
+    products, translation = stage(tables["products"], "products"), tables["translation"]
+    translation = stage(translation, "translation")
+    translated = products.join(translation, "product_category_name", "left")
+    columns = (tables["items"].join(orders, "order_id").join(translated, "product_id", "left")
                .join(sellers, "seller_id", "left").columns)
-    joined = (tables["items"].join(products, "product_id", "left")
-              .join(sellers, "seller_id", "left")
-              .join(orders, "order_id", "inner").select(*columns))
-    return _with_keys(joined, unpacked, "binary")
+
+    def add_sellers(df: DataFrame, small: bool) -> DataFrame:
+        return df.join(F.broadcast(sellers) if small else sellers, "seller_id", "left")
+
+    def add_products(df: DataFrame, small: bool) -> DataFrame:
+        if not small:
+            return df.join(translated, "product_id", "left")
+        # the names of categories are looked up after, so that only keys of them are broadcast
+        return (df.join(F.broadcast(products), "product_id", "left")
+                .join(translation, "product_category_name", "left"))
+
+    steps = [(add_products, fits(products)), (add_sellers, fits(sellers))]
+    joined = tables["items"]
+    for add, small in steps:
+        joined = joined if small else add(joined, small)
+    joined = joined.join(orders, "order_id", "inner")
+    for add, small in steps:
+        joined = add(joined, small) if small else joined
+    return _with_keys(joined.select(*columns), unpacked, "binary")
 
 
 def category_label() -> Column:

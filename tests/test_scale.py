@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from haulmetrics.functions.text import packed, unpacked
 from haulmetrics.operators import impute, quantiles
-from haulmetrics.operators.attach import attach
+from haulmetrics.operators.attach import attach, fits
 from haulmetrics.operators.numbering import number_rows
 from haulmetrics.plans import clean, marketplace
 from haulmetrics.session import stage
@@ -175,3 +175,41 @@ def test_narrow_statistics_are_broadcast_by_their_bytes(spark):
     rows = sorted((r["id"], r["top"]) for r in near.collect())
     assert rows == sorted((r["id"], r["top"]) for r in far.collect())
     assert rows == [(i, 600 + i % 300) for i in range(900)]
+
+
+def test_small_tables_join_after_the_orders(spark, monkeypatch):
+    def made(columns, *values):
+        return stage(spark.createDataFrame(list(values), columns), "t")
+
+    tables = {
+        "items": made("order_id string, order_item_id int, product_id string, seller_id string",
+                      ("o", 1, "p", "s"), ("o", 2, "q", "s"), ("o", 3, None, None), ("x", 1, "p", "s")),
+        "orders": made("order_id string, customer_id string", ("o", "c"), ("n", "c")),
+        "customers": made("customer_id string, customer_zip_code_prefix string", ("c", "1")),
+        "products": made("product_id string, product_category_name string",
+                         ("p", "x"), ("q", None), ("q", "z"), (None, "x")),
+        "translation": made("product_category_name string, product_category_name_english string",
+                            ("x", "y"), ("x", "Y"), (None, "none")),
+        "sellers": made("seller_id string, seller_zip_code_prefix string", ("s", "1")),
+        "geolocation": made("geolocation_zip_code_prefix string, geolocation_lat double, "
+                            "geolocation_lng double", ("1", 2.0, 3.0))}
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    value = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        near = marketplace.join_tables(tables)
+        moved = [line for line in plan(near).splitlines() if "Exchange hashpartitioning" in line]
+        assert not [line for line in moved if "product_id" in line or "seller_id" in line]
+        monkeypatch.setattr(marketplace, "fits", lambda table: False)
+        far = marketplace.join_tables(tables)
+        assert "hashpartitioning(product_id" in plan(far)
+    finally:
+        spark.conf.set(name, value)
+    assert near.columns == far.columns
+    assert shown(near.collect()) == shown(far.collect()) and near.count() == 5
+
+
+def test_bytes_decide_whether_a_table_fits(spark):
+    df = stage(spark.createDataFrame([("a" * 100, 1), (None, 2)], "k string, n int"), "t")
+    assert fits(df, 2 * (48 + 16) + 100) and not fits(df, 2 * (48 + 16) + 99)
+    assert fits(df.where("n > 2"), 0) and not fits(df.select(F.array("k")), 10_000)
