@@ -136,12 +136,19 @@ KEY_SOURCES = {"customer_id": "customer_id", "product_id": "product_id",
 def merged_keys(joined: DataFrame,
                 lengths: Mapping[str, int | None] = KEY_LENGTHS) -> DataFrame:
     """For each canonical id: its length, the distinct keys, and how many of them share
-    their id with another key because of the cut."""
+    their id with another key because of the cut.
+
+    The distinct keys of all columns come from one pass, which reads only the keys, so
+    ``joined`` need not be a stored table.
+    """
+    sources = sorted({KEY_SOURCES[column] for column in lengths})
+    pairs = F.array(*[F.struct(F.lit(s).alias("source"), packed(s).alias("key")) for s in sources])
+    keys = stage(joined.select(F.explode(pairs).alias("p")).select("p.*")
+                 .where("key is not null").distinct(), "keys")
     parts = []
     for column, length in lengths.items():
-        source = KEY_SOURCES[column]
-        ids = (joined.where(F.col(source).isNotNull()).select(F.col(source).alias("key")).distinct()
-               .groupBy(prefixed("", "key", length)).agg(F.count("*").alias("n")))
+        ids = (keys.where(F.col("source") == KEY_SOURCES[column])
+               .groupBy(prefixed("", unpacked("key"), length)).agg(F.count("*").alias("n")))
         parts.append(ids.agg(
             F.lit(column).alias("column"), F.lit(length).cast("int").alias("length"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("keys"),

@@ -213,3 +213,22 @@ def test_bytes_decide_whether_a_table_fits(spark):
     df = stage(spark.createDataFrame([("a" * 100, 1), (None, 2)], "k string, n int"), "t")
     assert fits(df, 2 * (48 + 16) + 100) and not fits(df, 2 * (48 + 16) + 99)
     assert fits(df.where("n > 2"), 0) and not fits(df.select(F.array("k")), 10_000)
+
+
+def test_merged_keys_are_taken_in_one_pass_of_the_keys(spark, monkeypatch):
+    staged = []
+
+    def seen(df, name):
+        staged.append(plan(df))
+        return stage(df, name)
+
+    monkeypatch.setattr(marketplace, "stage", seen)
+    df = stage(spark.createDataFrame(
+        [("a" * 12 + "1", "P", "s1", "w"), ("a" * 12 + "2", "P", "s2", "w"), (None, None, None, "w"),
+         ("a" * 12 + "1", "p", "", "w")],
+        "customer_id string, product_id string, seller_id string, wide string"), "t")
+    got = {r["column"]: (r["length"], r["keys"], r["merged"])
+           for r in marketplace.merged_keys(df).collect()}
+    assert got == {"customer_id": (12, 2, 2), "product_id": (12, 2, 0),
+                   "origin_warehouse_id": (8, 3, 0), "carrier": (6, 3, 0)}
+    assert len(staged) == 1 and staged[0].count("FileScan") == 1 and "wide" not in staged[0]
