@@ -232,7 +232,8 @@ def top_warehouses(spark, sf):
 SELECT * REPLACE (strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date)
 FROM (SELECT {S.columns(_MODEL)} FROM train ORDER BY order_id LIMIT 5)"""))
 def first_rows(spark, sf):
-    return stages.train(spark, sf).orderBy("order_id").limit(5)
+    rows = split.modelling_table(stages.new_features(spark, sf))
+    return split.train_test(rows)[0].orderBy("order_id").limit(5)
 
 
 @query("a16_carrier_exploration", S.with_(S.SPLIT, f"""
@@ -349,13 +350,13 @@ _SUMMARY = "\nUNION ALL ".join([
 
 @query("a23_summary", S.with_(S.SPLIT, _SUMMARY))
 def summary(spark, sf):
-    return report.summary_rows(stages.featured(spark, sf))
+    return report.summary_rows(stages.summarised(spark, sf))
 
 
 @query("a23_summary_documents", S.with_(S.SPLIT, f"""
 SELECT *, '{",".join(SPLIT_TARGETS)}' AS targets FROM ({_SUMMARY})"""))
 def summary_documents(spark, sf):
-    documents = report.summary_documents(report.summary_rows(stages.featured(spark, sf)))
+    documents = report.summary_documents(report.summary_rows(stages.summarised(spark, sf)))
     return explode_rates(documents.drop("label"), "document", "label", "value",
                          keep=("section", "targets"))
 

@@ -54,6 +54,8 @@ def orders_by_month(df: DataFrame) -> DataFrame:
 
 SUMMARY_SETS = ("split", "is_delayed", "carrier", "destination_region", "product_category",
                 "distance_category", "month")
+SUMMARY_COLUMNS = ("order_id", "order_date", "is_delayed", "delivery_delay", "carrier",
+                   "destination_region", "product_category", "distance_category")
 
 
 def summary_rows(df: DataFrame, **options) -> DataFrame:

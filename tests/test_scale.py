@@ -232,3 +232,30 @@ def test_merged_keys_are_taken_in_one_pass_of_the_keys(spark, monkeypatch):
     assert got == {"customer_id": (12, 2, 2), "product_id": (12, 2, 0),
                    "origin_warehouse_id": (8, 3, 0), "carrier": (6, 3, 0)}
     assert len(staged) == 1 and staged[0].count("FileScan") == 1 and "wide" not in staged[0]
+
+
+def test_queries_store_no_more_than_they_read(spark, monkeypatch):
+    from checks import queries_analytics, queries_feeds, stages
+    from haulmetrics.plans.report import SUMMARY_COLUMNS
+
+    def never(*args):
+        raise AssertionError("stored whole")
+
+    sf = "/root/testdata/sf0.001"
+    for name in ("featured", "joined"):
+        monkeypatch.setattr(stages, name, never)
+    assert {p.rsplit("/", 2)[1].split("-")[0] for p in stages.clean(spark, sf).inputFiles()
+            if "/quantiles-" not in p} == {"located"}
+    assert stages.summarised(spark, sf).columns == list(SUMMARY_COLUMNS)
+    assert queries_analytics.summary(spark, sf).count() > 0
+    assert len(queries_analytics.first_rows(spark, sf).collect()) == 5
+    assert queries_feeds.merged_keys(spark, sf).count() == 4
+
+
+def test_lines_are_shuffled_without_the_suppliers(spark):
+    from checks import fixture
+
+    rows = fixture.star(spark, "/root/testdata/sf0.001")
+    joins = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+             if "Join Inner" in line]
+    assert "l_suppkey" in joins[0] and "l_orderkey" in joins[1]
