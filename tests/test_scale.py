@@ -1,16 +1,20 @@
 """Steps that must not send more rows than they need."""
 
 import math
+import time
 
 from pyspark.sql import functions as F
 
+from checks import fixture, registry, stages
 from haulmetrics.functions.text import packed, unpacked
 from haulmetrics.operators import impute, quantiles
 from haulmetrics.operators.attach import attach, fits
 from haulmetrics.operators.numbering import number_rows
-from haulmetrics.plans import clean, marketplace
+from haulmetrics.plans import clean, mapping, marketplace, quality
 from haulmetrics.session import stage
-from haulmetrics.sources import tables
+from haulmetrics.sources import csv, tables
+
+SF = "/root/testdata/sf0.001"
 
 
 def plan(df):
@@ -259,3 +263,22 @@ def test_lines_are_shuffled_without_the_suppliers(spark):
     joins = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
              if "Join Inner" in line]
     assert "l_suppkey" in joins[0] and "l_orderkey" in joins[1]
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_shuffle_files_go_when_a_stage_is_written(spark):
+    before = shuffle_files(spark)
+    df = spark.range(1_000).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n"))
+    stage(df.orderBy("n", "k"), "t")
+    for _ in range(50):  # they are removed beside the next step
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    rows = df.orderBy("k")
+    assert rows.collect() == rows.collect()  # a plan that runs again makes its files again
