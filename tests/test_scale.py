@@ -282,3 +282,17 @@ def test_shuffle_files_go_when_a_stage_is_written(spark):
     assert not left
     rows = df.orderBy("k")
     assert rows.collect() == rows.collect()  # a plan that runs again makes its files again
+
+
+def test_lines_are_not_shuffled_for_suppliers(spark):
+    """One exchange of the lines by part and one by order at most; none by supplier or nation."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        text = plan(fixture.star(spark, SF))
+    finally:
+        spark.conf.set(limit, old)
+    assert "hashpartitioning(l_partkey" in text and "hashpartitioning(l_orderkey" in text
+    assert "hashpartitioning(l_suppkey" not in text and "nationkey" not in "".join(
+        part.split(")")[0] for part in text.split("hashpartitioning(")[1:])
