@@ -296,3 +296,14 @@ def test_lines_are_not_shuffled_for_suppliers(spark):
     assert "hashpartitioning(l_partkey" in text and "hashpartitioning(l_orderkey" in text
     assert "hashpartitioning(l_suppkey" not in text and "nationkey" not in "".join(
         part.split(")")[0] for part in text.split("hashpartitioning(")[1:])
+
+
+def test_copies_are_dropped_by_hash(spark):
+    rows = ([("a", 1.0), ("a", 1.0), (None, None), (None, None), ("z", 0.0), ("z", -0.0),
+             ("y", -0.0), ("n", math.nan), ("n", math.nan)] + [(f"r{i}", 1.0) for i in range(50)])
+    df = stage(spark.createDataFrame(rows, "k string, v double"), "t")
+    got = clean.drop_copies(df)
+    assert shown(got.collect()) == shown(df.dropDuplicates().collect())
+    # what travels are the rows of repeated hashes, as the join before the exchange tells
+    exchange = plan(clean.drop_copies(df)).split("Exchange hashpartitioning")
+    assert len(exchange) == 2 and "LeftSemi" in exchange[1]
