@@ -131,7 +131,7 @@ def orders_by_category(spark, sf):
 @query("a08_delay_by_distance", _featured(f"""
 SELECT distance_category, {S.r('avg(delivery_delay)', 3)} AS avg_delay FROM featured GROUP BY 1"""))
 def delay_by_distance(spark, sf):
-    return report.delay_by_distance(stages.featured(spark, sf))
+    return report.delay_by_distance(stages.new_features(spark, sf))
 
 
 @query("a09_orders_by_month", _featured("""
@@ -242,7 +242,7 @@ SELECT carrier, count(*) AS orders, {S.r('1 - avg(is_delayed)', 4)} AS on_time_r
   {S.r('avg(shipping_cost_per_unit)', 2)} AS avg_cost_per_unit
 FROM train GROUP BY 1 ORDER BY 3 DESC, 1"""))
 def carrier_exploration(spark, sf):
-    return report.carrier_exploration(stages.train(spark, sf))
+    return report.carrier_exploration(stages.new_train(spark, sf))
 
 
 @query("a17_distance_exploration", S.with_(S.SPLIT, f"""

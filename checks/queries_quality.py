@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import sql as S, stages
 from checks.registry import query
 from haulmetrics.plans import quality
+from haulmetrics.schema import FEATURE_COLUMNS
 from haulmetrics.sources.tables import require_nonempty
 
 _SHOWN = ["rule", "success", "element_count", "unexpected_count"]
@@ -52,7 +53,8 @@ def _kind(name: str, kind: str) -> None:
 
     @query(name, _suite_sql(suite))
     def run(spark, sf):
-        return quality.compile_rules(stages.featured(spark, sf), suite).select(*_SHOWN)
+        rows = stages.featured(spark, sf, *quality.columns_of(suite))
+        return quality.compile_rules(rows, suite).select(*_SHOWN)
 
 
 _kind("q01_unique", quality.UNIQUE)
@@ -109,8 +111,9 @@ def report(spark, sf):
 @query("q10_pass_rate_gate", S.with_(_REPORT, f"""
 SELECT {S.r('100 * count(*) FILTER (success) / count(*)', 2)} AS success_rate_pct FROM checks"""))
 def pass_rate_gate(spark, sf):
-    df = stages.featured(spark, sf)
-    summary = quality.report(quality.validate(df), len(df.columns))
+    df = stages.featured(spark, sf, *quality.columns_of(quality.ORDER_SUITE))
+    width = len(stages.clean(spark, sf).columns) + len(FEATURE_COLUMNS)
+    summary = quality.report(quality.validate(df), width)
     return quality.require_pass_rate(summary, 90.0).select("success_rate_pct")
 
 

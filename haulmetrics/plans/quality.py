@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmetrics.functions.numeric import round_even
+from haulmetrics.plans.clean import counted_rows
 from haulmetrics.schema import (DISTANCE_LABELS, PRIMARY_SOURCE, SECOND_SOURCE, SHIPPING_MODES,
                                 SIZE_LABELS)
 
@@ -124,16 +125,25 @@ def violates(rule: Rule) -> Column:
 
 
 def repeated_rows(df: DataFrame, column: str) -> DataFrame:
-    """One row: how many rows carry a known value that occurs more than once."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    return counts.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
-                      .alias("repeated"))
+    """One row: how many rows carry a known value that occurs more than once.
+
+    The hashes of all values are counted, and the values themselves where a hash repeats.
+    """
+    counts = counted_rows(df.where(F.col(column).isNotNull()).select(column))
+    return counts.where("__copies > 1").agg(F.coalesce(F.sum("__copies"), F.lit(0))
+                                            .alias("repeated"))
+
+
+def columns_of(suite: Sequence[Rule]) -> list[str]:
+    """The columns that the rules read."""
+    return list(dict.fromkeys(rule.column for rule in suite))
 
 
 def compile_rules(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     """One row per rule from a single pass over ``df``.
 
-    Uniqueness needs its own grouping and comes in as a scalar subquery.
+    Uniqueness needs its own grouping and comes in as a scalar subquery, for which a stored
+    ``df`` is read again.
     """
     measures, results = [F.count("*").alias("rows")], []
     for i, rule in enumerate(suite):

@@ -307,3 +307,12 @@ def test_copies_are_dropped_by_hash(spark):
     # what travels are the rows of repeated hashes, as the join before the exchange tells
     exchange = plan(clean.drop_copies(df)).split("Exchange hashpartitioning")
     assert len(exchange) == 2 and "LeftSemi" in exchange[1]
+
+
+def test_repeated_values_are_found_by_hash(spark):
+    rows = [("a",), ("a",), ("a",), ("b",), ("c",), ("c",), (None,), (None,)]
+    df = stage(spark.createDataFrame(rows, "k string"), "t")
+    found = quality.repeated_rows(df, "k")
+    assert found.first()["repeated"] == 5
+    assert "LeftSemi" in plan(found)
+    assert quality.repeated_rows(df.where("k = 'b' or k is null"), "k").first()["repeated"] == 0
