@@ -13,6 +13,7 @@ from haulmetrics.functions.hashing import choice, uniform, uniform_int, uniform_
 from haulmetrics.functions.numeric import round_even, to_number
 from haulmetrics.functions.text import digits_only, header_key
 from haulmetrics.operators.numbering import number_file_rows, number_rows
+from haulmetrics.plans.clean import counted_rows
 from haulmetrics.schema import (CARRIERS, CUSTOMER_SEGMENTS, DISCOUNT_RATES, HEADER_ALIASES,
                                 LABEL_DEFAULTS, NUMERIC_COLUMNS, ORDER_COLUMNS, SHIPPING_MODES)
 
@@ -72,9 +73,12 @@ def id_expression(df: DataFrame) -> tuple[Column, bool]:
     counts.
     """
     facts = df.agg(F.count("*").alias("total"), F.count("order_id").alias("known"),
-                   F.count_distinct("order_id").alias("ids"),
                    F.count(F.when(F.length(digits_only("order_id")) > 0, 1)).alias("digits")).first()
-    repeated = facts["ids"] + (1 if facts["known"] < facts["total"] else 0) < facts["total"]
+    repeated = facts["total"] - facts["known"] > 1
+    if facts["known"] and not repeated:
+        # the hashes of all ids are counted, and the ids themselves where a hash repeats
+        ids = counted_rows(df.where("order_id is not null").select("order_id"))
+        repeated = not ids.where("__copies > 1").isEmpty()
     if facts["known"] and not repeated and facts["digits"] == facts["total"]:
         return F.concat(F.lit("ORD-"), digits_only("order_id")), False
     if not facts["known"] or repeated:

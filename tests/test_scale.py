@@ -316,3 +316,13 @@ def test_repeated_values_are_found_by_hash(spark):
     assert found.first()["repeated"] == 5
     assert "LeftSemi" in plan(found)
     assert quality.repeated_rows(df.where("k = 'b' or k is null"), "k").first()["repeated"] == 0
+
+
+def test_ids_are_compared_by_hash(spark):
+    for ids, numbered in ((["1", "2"], False), (["1", "1"], True), (["1", None], True),
+                          ([None, None], True), (["1", None, None], True), (["A", "2"], True)):
+        df = spark.createDataFrame([(i,) for i in ids], "order_id string")
+        assert mapping.id_expression(df)[1] == numbered
+    df = spark.createDataFrame([("1",), (None,)], "order_id string")
+    made = df.withColumn("row_number", F.lit(7)).select(mapping.id_expression(df)[0]).collect()
+    assert [r[0] for r in made] == ["ORD-1", "ORD-7"]  # one missing id repeats nothing
