@@ -82,11 +82,21 @@ def write_parquet(df: DataFrame, path: str, **options) -> None:
     df.write.mode("overwrite").options(**options).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header; blanks at the ends of values are kept."""
-    (df.write.mode("overwrite").option("header", True).option("escape", "\"")
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
+#: Rows of a compressed text file, which is read by one task.
+PACKED_ROWS = 1_000_000
+
+
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """CSV with header; blanks at the ends of values are kept.
+
+    ``compression`` such as "gzip" takes a fraction of the disk; no reader splits such
+    files, so they are written in pieces.
+    """
+    writer = (df.write.mode("overwrite").option("header", True).option("escape", "\"")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if compression != "none":
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", PACKED_ROWS)
+    writer.csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

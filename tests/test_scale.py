@@ -284,20 +284,6 @@ def test_shuffle_files_go_when_a_stage_is_written(spark):
     assert rows.collect() == rows.collect()  # a plan that runs again makes its files again
 
 
-def test_lines_are_not_shuffled_for_suppliers(spark):
-    """One exchange of the lines by part and one by order at most; none by supplier or nation."""
-    limit = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(limit)
-    spark.conf.set(limit, "-1")
-    try:
-        text = plan(fixture.star(spark, SF))
-    finally:
-        spark.conf.set(limit, old)
-    assert "hashpartitioning(l_partkey" in text and "hashpartitioning(l_orderkey" in text
-    assert "hashpartitioning(l_suppkey" not in text and "nationkey" not in "".join(
-        part.split(")")[0] for part in text.split("hashpartitioning(")[1:])
-
-
 def test_copies_are_dropped_by_hash(spark):
     rows = ([("a", 1.0), ("a", 1.0), (None, None), (None, None), ("z", 0.0), ("z", -0.0),
              ("y", -0.0), ("n", math.nan), ("n", math.nan)] + [(f"r{i}", 1.0) for i in range(50)])
@@ -326,3 +312,50 @@ def test_ids_are_compared_by_hash(spark):
     df = spark.createDataFrame([("1",), (None,)], "order_id string")
     made = df.withColumn("row_number", F.lit(7)).select(mapping.id_expression(df)[0]).collect()
     assert [r[0] for r in made] == ["ORD-1", "ORD-7"]  # one missing id repeats nothing
+
+
+def test_compressed_csv_is_cut_and_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "PACKED_ROWS", 30)
+    rows = [(f" a\n{i}", 'x "q", y' if i % 2 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    tables.write_csv(df, str(tmp_path / "c"), compression="gzip")
+    assert len(list((tmp_path / "c").glob("*.csv.gz"))) == 4
+    got = csv.read_csv(spark, str(tmp_path / "c"), ["a", "b"]).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(rows, key=str)
+
+
+def test_lines_are_not_shuffled_for_suppliers(spark):
+    """One exchange of the lines by part and one by order at most; none by supplier or nation."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        text = plan(fixture.star(spark, SF))
+    finally:
+        spark.conf.set(limit, old)
+    assert "hashpartitioning(l_partkey" in text and "hashpartitioning(l_orderkey" in text
+    assert "hashpartitioning(l_suppkey" not in text and "nationkey" not in "".join(
+        part.split(")")[0] for part in text.split("hashpartitioning(")[1:])
+
+
+def test_queries_store_what_they_read(spark, monkeypatch):
+    """Neither the whole featured orders nor the whole join, nor the mapped feed."""
+    stored = {}
+
+    def noted(df, name):
+        stored.setdefault(name, []).append(df.columns)
+        return stage(df, name)
+
+    monkeypatch.setattr(stages, "stage", noted)
+    stages.forget()
+    registry.load()
+    queries = registry.QUERIES
+    for name in ("a08_delay_by_distance", "a16_carrier_exploration", "p08_formula_fill",
+                 "p18_great_circle"):
+        queries[name](spark, SF)
+    assert not {"orders_featured", "vendor_mapped_unique", "market_joined"} & set(stored)
+    for name in ("q01_unique", "q10_pass_rate_gate", "s14_analytics_sink"):
+        queries[name](spark, SF)
+    widths = [len(columns) for columns in stored["orders_featured"]]
+    assert widths[0] == 1 and max(widths) < len(stages.clean(spark, SF).columns)
+    stages.forget()
