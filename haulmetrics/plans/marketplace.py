@@ -40,7 +40,7 @@ def _with_keys(df: DataFrame, change: Callable[[str], Column], kind: str) -> Dat
     return df.withColumns({c: change(c) for c in KEYS if kinds.get(c) == kind})
 
 
-def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
+def join_tables(tables: dict[str, DataFrame], *, staged: bool = False) -> DataFrame:
     """Items with their order, product, customer, seller, translation and both points.
 
     Plain equi-joins: table sizes known from the files decide which side is
@@ -48,7 +48,8 @@ def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
     products are staged so that their size is known too; otherwise joins with them
     would shuffle the items. Tables that ``fits`` allows are broadcast and joined after the
     orders, so that no shuffle carries their columns; larger ones are joined to the items
-    before the wide orders. Keys are
+    before the wide orders. With ``staged`` both sides are then stored, so that the files of
+    one shuffle of the items are gone when the next one is written. Keys are
     joined as bytes, as keys in hex, which shuffles do not compress, take half.
     """
     tables = {name: _with_keys(df, packed, "string") for name, df in tables.items()}
@@ -78,6 +79,8 @@ def join_tables(tables: dict[str, DataFrame]) -> DataFrame:
     joined = tables["items"]
     for add, small in steps:
         joined = joined if small else add(joined, small)
+    if staged and not all(small for _, small in steps):
+        joined, orders = stage(joined, "items"), stage(orders, "item_orders")
     joined = joined.join(orders, "order_id", "inner")
     for add, small in steps:
         joined = add(joined, small) if small else joined

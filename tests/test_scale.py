@@ -359,3 +359,24 @@ def test_queries_store_what_they_read(spark, monkeypatch):
     widths = [len(columns) for columns in stored["orders_featured"]]
     assert widths[0] == 1 and max(widths) < len(stages.clean(spark, SF).columns)
     stages.forget()
+
+
+def test_items_are_stored_between_shuffles(spark, monkeypatch):
+    def rows(joined):
+        columns = sorted(joined.columns)
+        return sorted(map(str, joined.select(columns).collect()))
+
+    tables_ = stages.market(spark, SF)
+    want = rows(marketplace.join_tables(tables_))
+    monkeypatch.setattr(marketplace, "fits", lambda table: "seller_id" in table.columns)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        joined = marketplace.join_tables(tables_, staged=True)
+        text = plan(joined)
+        assert rows(joined) == want
+    finally:
+        spark.conf.set(limit, old)
+    # the items and the orders by order; products, customers and points met theirs before
+    assert text.count("Exchange hashpartitioning") == 2
